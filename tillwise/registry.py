@@ -29,3 +29,22 @@ register("same_store_panel", abt.same_store_panel_q, O.same_store_panel_sql(AS_O
 register("daily_value_by_segment", abt.daily_value_by_segment_q, O.daily_value_by_segment_sql(AS_OF))
 register("calendar_features", abt.calendar_features_q, O.calendar_features_data_sql())
 register("holiday_union", abt.holiday_union_q, O.holiday_union_sql())
+
+from tillwise.plans import billing  # noqa: E402
+
+register("priced_usage", billing.priced_usage_q, O.priced_usage_sql())
+register("sku_family_daily", billing.sku_family_daily_q, O.sku_family_daily_sql())
+register("daily_rollup_all", billing.daily_rollup_all_q, O.daily_rollup_all_sql())
+
+from tillwise.plans import retail  # noqa: E402
+
+FC = retail.FORECAST_AS_OF
+register("outlier_bounds_quantile", lambda s, d: retail.outlier_bounds_q(s, d, "quantile"),
+         O.outlier_bounds_sql(FC, START, "quantile"))
+register("outlier_bounds_tukey", lambda s, d: retail.outlier_bounds_q(s, d, "tukey"),
+         O.outlier_bounds_sql(FC, START, "tukey"))
+register("outlier_class", retail.outlier_class_q, O.outlier_class_sql(FC, START))
+register("date_part_features", retail.date_part_features_q, O.date_part_features_sql(FC, START))
+register("date_holdout_split", retail.date_holdout_split_q, O.date_holdout_split_sql(FC, START))
+register("contiguous_folds", retail.contiguous_folds_q, O.contiguous_folds_sql(FC, START))
+register("seasonal_naive_metrics", retail.seasonal_naive_metrics_q, O.seasonal_naive_metrics_sql(FC, START))
