@@ -48,3 +48,12 @@ register("date_part_features", retail.date_part_features_q, O.date_part_features
 register("date_holdout_split", retail.date_holdout_split_q, O.date_holdout_split_sql(FC, START))
 register("contiguous_folds", retail.contiguous_folds_q, O.contiguous_folds_sql(FC, START))
 register("seasonal_naive_metrics", retail.seasonal_naive_metrics_q, O.seasonal_naive_metrics_sql(FC, START))
+
+from tillwise.plans import text  # noqa: E402
+
+register("clean_text", text.clean_text_q, O.clean_text_sql())
+register("token_ngrams", text.token_ngrams_q, O.token_ngrams_sql())
+register("tfidf_long", text.tfidf_long_q, O.tfidf_long_sql())
+register("label_index", text.label_index_q, O.label_index_sql())
+register("threshold_sweep", text.threshold_sweep_q, O.threshold_sweep_only_sql())
+register("best_threshold", text.best_threshold_q, O.best_threshold_sql())

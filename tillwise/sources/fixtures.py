@@ -130,3 +130,13 @@ def slots(spark, n: int = 8) -> DataFrame:
         F.struct(F.concat(F.lit("nome_"), k.cast("string")).alias("name"), (x + 95).alias("x"), y.alias("y")),
         F.struct(F.concat(F.lit("preco_"), k.cast("string")).alias("name"), x.alias("x"), (y + 110).alias("y")),
     )))
+
+
+def scored_labels(t: Tables) -> DataFrame:
+    """Scored-text stand-in: truth = quality label, confidence a fixed arithmetic of doc_id.
+
+    Confidences are multiples of 0.001, so some equal a sweep threshold exactly.
+    """
+    lab = t.labels
+    conf = F.pmod(F.col("doc_id") * 7919 + F.col("quality") * 400, F.lit(1000)).cast("double") / 1000
+    return lab.select("doc_id", F.col("quality").alias("truth"), conf.alias("conf"))
