@@ -57,3 +57,13 @@ register("tfidf_long", text.tfidf_long_q, O.tfidf_long_sql())
 register("label_index", text.label_index_q, O.label_index_sql())
 register("threshold_sweep", text.threshold_sweep_q, O.threshold_sweep_only_sql())
 register("best_threshold", text.best_threshold_q, O.best_threshold_sql())
+
+from tillwise.plans import flyer  # noqa: E402
+
+register("top_sellers", flyer.top_sellers_q, O.top_sellers_sql())
+register("party_split", flyer.party_split_q, O.party_split_sql())
+register("price_request", flyer.price_request_q)
+register("pref_ingest", flyer.pref_ingest_q, O.pref_ingest_sql())
+register("resolve_prices", flyer.resolve_prices_q, O.resolve_prices_sql())
+register("flyer_feed", flyer.flyer_feed_q, O.flyer_feed_sql())
+register("wrap_caption", flyer.wrap_caption_q)

@@ -114,7 +114,7 @@ def catalogue(t: Tables) -> DataFrame:
     return p.select(
         product_id(F.col("p_partkey")).alias("idproduto"),
         F.concat_ws(" ", F.col("p_name"), F.col("p_brand"), F.col("p_type")).alias("descproduto"),
-        F.concat(F.lit("https://img.example/p/"), F.col("p_partkey").cast("string"), F.lit("-300x.jpg")).alias("url_imagem"),
+        F.concat(F.lit("https://img.example/p/"), F.col("p_partkey").cast("string"), F.lit(".jpeg")).alias("url_imagem"),
     )
 
 
@@ -140,3 +140,80 @@ def scored_labels(t: Tables) -> DataFrame:
     lab = t.labels
     conf = F.pmod(F.col("doc_id") * 7919 + F.col("quality") * 400, F.lit(1000)).cast("double") / 1000
     return lab.select("doc_id", F.col("quality").alias("truth"), conf.alias("conf"))
+
+
+def best_sellers(t: Tables) -> DataFrame:
+    """(codcli, codmersrr, partkey, qty): quantity bought per customer and product.
+
+    The ranking is (qty desc, partkey asc); it is applied where needed (top-k),
+    never as a full sort of one customer's list.
+    """
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
+    od = t.orders.select("o_orderkey", "o_custkey")
+    agg = (li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
+           .groupBy("o_custkey", "l_partkey").agg(F.sum("l_quantity").alias("qty")))
+    return agg.select(F.col("o_custkey").alias("codcli"), product_id(F.col("l_partkey")).alias("codmersrr"),
+                      F.col("l_partkey").alias("partkey"), "qty")
+
+
+def preference_responses(t: Tables) -> DataFrame:
+    """Landed customer-preference responses (codcli, body JSON) built from customer + nation.
+
+    Every 9th customer has no delivery branch field, every 13th no payment
+    condition; names arrive in lower case.
+    """
+    c = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    key = F.col("c_custkey")
+    restriction = F.struct(
+        F.when(key % 9 != 0, F.lower(F.col("n_name"))).alias("fil_delivery"),
+        F.lower(F.substring("n_name", 1, 2)).alias("ufFilialFaturamento"),
+        F.concat(F.lit("WB"), F.col("n_nationkey").cast("string")).alias("codeWarehouseBilling"),
+        F.concat(F.lit("WD"), (F.col("n_nationkey") % 5).cast("string")).alias("codeWarehouseDelivery"))
+    condition = F.struct(
+        F.concat(F.lit("C"), (key % 4).cast("string")).alias("CODIGO_CONDICAO"),
+        F.concat(F.lit(" - "), F.col("c_mktsegment")).alias("observacao"))
+    body = F.struct(
+        F.array(restriction).alias("listCustomerRestriction"),
+        F.when(key % 13 != 0, F.array(condition)).otherwise(F.array()).alias("lstCondicoesPamento"))
+    return c.select(key.alias("codcli"), F.to_json(body).alias("body"))
+
+
+def price_responses(t: Tables, paged: DataFrame) -> DataFrame:
+    """Landed price-service responses, one per (customer, page) request.
+
+    Prices follow fixed rules on the part key so every resolution case occurs:
+    own products (even keys) price 0 when key % 10 == 0, box price absent when
+    key % 3 == 0 and 0 when key % 3 == 1; seller products price 0 when
+    key % 9 == 1, are listed twice (second entry +1) when key % 5 == 3, are
+    also in the own list when key % 7 == 2, and get no answer when key % 11 == 4.
+    """
+    part = t.part.select(F.col("p_partkey").alias("partkey"),
+                         F.col("p_retailprice").cast("decimal(12,2)").alias("p_retailprice"))
+    r = paged.join(part, "partkey").where(F.col("partkey") % 11 != 4)
+    k, price = F.col("partkey"), F.col("p_retailprice")
+    own = F.col("party") == "1P"
+    def scaled(f: str) -> F.Column:  # decimal arithmetic: cents rounded half-up
+        return F.round(price * F.lit(f).cast("decimal(4,2)"), 2).cast("double")
+
+    box = (F.when(k % 3 == 0, F.lit(None).cast("double")).when(k % 3 == 1, F.lit(0.0))
+           .otherwise(scaled("11.5")))
+    e1 = F.struct(F.col("codmersrr").alias("codigoMercadoria"),
+                  F.array(F.struct(F.when(k % 10 == 0, F.lit(0.0)).otherwise(price.cast("double")).alias("precoNormal"),
+                                   box.alias("precoCaixa"))).alias("precos"))
+    e1_also = F.struct(F.col("codmersrr").alias("codigoMercadoria"),
+                       F.array(F.struct(scaled("1.1").alias("precoNormal"),
+                                        F.lit(None).cast("double").alias("precoCaixa"))).alias("precos"))
+    p3 = F.when(k % 9 == 1, F.lit(0.0)).otherwise(scaled("0.95"))
+    e3 = F.struct(F.col("codmersrr").alias("codigoMercadoria"), p3.alias("preco"))
+    e3_dup = F.struct(F.col("codmersrr").alias("codigoMercadoria"), (p3 + 1).alias("preco"))
+    item = F.struct((-F.col("qty")).alias("_k1"), k.alias("_k2"))
+    grouped = r.groupBy("codcli", "page").agg(
+        F.array_sort(F.collect_list(F.when(own, F.struct(item.alias("k"), e1.alias("e"))))).alias("a1"),
+        F.array_sort(F.collect_list(F.when(~own & (k % 7 == 2), F.struct(item.alias("k"), e1_also.alias("e"))))).alias("a1b"),
+        F.array_sort(F.collect_list(F.when(~own, F.struct(item.alias("k"), e3.alias("e"))))).alias("a3"),
+        F.array_sort(F.collect_list(F.when(~own & (k % 5 == 3), F.struct(item.alias("k"), e3_dup.alias("e"))))).alias("a3b"),
+    )
+    body = F.struct(
+        F.concat(F.transform("a1", lambda s: s["e"]), F.transform("a1b", lambda s: s["e"])).alias("resultado"),
+        F.concat(F.transform("a3", lambda s: s["e"]), F.transform("a3b", lambda s: s["e"])).alias("lstPrecoSeller"))
+    return grouped.select("codcli", "page", F.to_json(body).alias("body"))
