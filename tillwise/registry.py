@@ -67,3 +67,12 @@ register("pref_ingest", flyer.pref_ingest_q, O.pref_ingest_sql())
 register("resolve_prices", flyer.resolve_prices_q, O.resolve_prices_sql())
 register("flyer_feed", flyer.flyer_feed_q, O.flyer_feed_sql())
 register("wrap_caption", flyer.wrap_caption_q)
+
+from tillwise.plans import tracking  # noqa: E402
+
+register("upsert_forecast", tracking.upsert_forecast_q,
+         O.upsert_forecast_sql(FC, START, tracking.UPSERT_FIRST_RUN, tracking.UPSERT_SECOND_RUN))
+register("forecast_tracking", tracking.forecast_tracking_q, O.forecast_tracking_sql(FC, START, tracking.TRACK_MONTH))
+register("best_params", tracking.best_params_q, O.best_params_sql(FC, START, tracking.LAG_GRID))
+register("run_log", tracking.run_log_q)
+register("csv_roundtrip", tracking.csv_roundtrip_q, O.csv_roundtrip_sql(FC, START))
