@@ -76,3 +76,9 @@ register("forecast_tracking", tracking.forecast_tracking_q, O.forecast_tracking_
 register("best_params", tracking.best_params_q, O.best_params_sql(FC, START, tracking.LAG_GRID))
 register("run_log", tracking.run_log_q)
 register("csv_roundtrip", tracking.csv_roundtrip_q, O.csv_roundtrip_sql(FC, START))
+
+from tillwise.plans import models  # noqa: E402
+
+register("tune_additive", models.tune_additive_q)
+register("additive_forecast", models.additive_forecast_q)
+register("cost_forecast", models.cost_forecast_q)
