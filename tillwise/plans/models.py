@@ -17,6 +17,7 @@ from tillwise.plans.billing import global_cost_series
 from tillwise.plans.retail import FORECAST_AS_OF, long_series
 
 COST_AS_OF = "2024-01-31"
+ROWS_PER_PARTITION = 100_000
 COST_HOLDOUT_DAYS = 7  # the billing stand-in covers 30 days; a 31-day holdout would leave no training data
 
 
@@ -59,3 +60,77 @@ def cost_forecast_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = forecast_result(fc, hist, COST_AS_OF)
     previous = forecast_result(fc, hist, "1900-01-01").where(F.col("data") < F.to_date(F.lit(COST_AS_OF)))
     return merge_frames(previous, source, ["data"])
+
+
+# --------------------------------------------------------------------------- boosted trees (M1-M7)
+def retail_model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long rows of every label with model features: date parts, outlier class, train folds."""
+    from tillwise.plans.retail import _split_long, add_date_parts, add_folds, add_outlier
+    df = add_outlier(_split_long(spark, sf_dir))
+    df = add_date_parts(df, ["series", "split"])
+    train = add_folds(df.where(F.col("split") == "train"))
+    test = df.where(F.col("split") == "test").withColumn("fold", F.lit(-1))
+    return train.unionByName(test)
+
+
+def train_retail_gbt(spark: SparkSession, sf_dir: str, grid: list[dict] | None = None):
+    """Per label: CV over the grid, refit the winner on all training days, score the test month.
+
+    Returns (predictions, importances, fold-mean metrics) DataFrames."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tillwise.operators import boosted
+    from tillwise.plans.retail import LABELS, feature_columns
+    grid = grid or boosted.DEFAULT_GRID
+    base = retail_model_frame(spark, sf_dir).cache()
+    n_rows = base.count()
+    # partitions sized by rows: per-task overhead dominates fits on small frames
+    frame = base.repartition(max(1, -(-n_rows // ROWS_PER_PARTITION))).cache()
+    frame.count()
+    base.unpersist()
+    frames = {label: frame.where(F.col("series") == label) for label in LABELS}
+    trains = {label: f.where(F.col("split") == "train") for label, f in frames.items()}
+    feats = {label: feature_columns(label) for label in LABELS}
+    means = boosted.fold_means(boosted.cross_validate(trains, feats, grid), ["series"]).cache()
+    chosen = {}
+    for label, spec in LABELS.items():
+        row = boosted.choose(means.where(F.col("series") == label), spec["refit"]).first()
+        chosen[label] = int(row["param_id"])
+
+    def refit(label: str):
+        return label, boosted.estimator(grid[chosen[label]], feats[label]).fit(trains[label])
+
+    with ThreadPoolExecutor(max_workers=len(LABELS)) as pool:
+        models_ = dict(pool.map(refit, list(LABELS)))
+    preds, imps = [], []
+    for label, model in models_.items():
+        test = frames[label].where(F.col("split") == "test")
+        preds.append(model.transform(test).select(
+            F.lit(label).alias("series"), "DATA", "y", F.col("prediction").alias("PREVISAO"),
+            F.lit(chosen[label]).alias("param_id")))
+        imps.append(spark.createDataFrame(
+            [(label, f, v) for f, v in boosted.importances(model, feats[label])],
+            "series string, feature string, importance double"))
+
+    def union(parts):
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    return union(preds), union(imps), means
+
+
+def gbt_forecast_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M5, M7: test-month predictions of each label's chosen model."""
+    return train_retail_gbt(spark, sf_dir)[0]
+
+
+def feature_importance_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: feature importances of each label's chosen model."""
+    return train_retail_gbt(spark, sf_dir)[1]
+
+
+def assemble_forecasts(preds: DataFrame) -> DataFrame:
+    """M7: one row per date with one prediction column per label."""
+    return preds.groupBy("DATA").pivot("series").agg(F.first("PREVISAO"))

@@ -26,18 +26,21 @@ _HOLIDAY_FEATURES = ["ANO_NOVO", "CARNAVAL1", "CARNAVAL2", "CARNAVAL3", "PAIXAO_
                      "DIA_DOS_PAIS", "INDEPENDENCIA", "APARECIDA", "FINADOS", "PROC_REPUBLICA",
                      "BLACK_THURSDAY", "BLACK_FRIDAY", "VESPERA_NATAL", "NATAL", "VESPERA_ANO_NOVO"]
 
-# Model feature list per label, outlier method per label, and
-# whether the test-set outlier flag is reset to 0 at scoring.
+# Model feature list per label, outlier method per label,
+# whether the test-set outlier flag is reset to 0 at scoring, and the metric
+# that picks the refit parameters.
 LABELS: dict[str, dict] = {
     "VALOR_SMART_TOTAL": {
         "bounds": "quantile",
         "reset_test_outlier": True,
+        "refit": "MAPE",
         "features": _COMMON + ["VESPERA", "BRIDGE"] + _HOLIDAY_FEATURES
         + ["OUTLIER", "POS_SEXTA", "VESPERA_SEXTA", "SEX", "SAB", "DOM", "PIX_CATEG"],
     },
     "VALOR_TOTAL": {
         "bounds": "tukey",
         "reset_test_outlier": False,
+        "refit": "MAPE",
         "features": _COMMON + ["BRIDGE", "VESPERA"] + _HOLIDAY_FEATURES
         + ["OUTLIER", "SEX", "SAB", "DOM", "SEMANA_PASCOA", "POS_SEXTA", "VESPERA_SEXTA", "PIX_CATEG"],
     },
