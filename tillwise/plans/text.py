@@ -50,3 +50,21 @@ def threshold_sweep_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def best_threshold_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_threshold(threshold_sweep(fixtures.scored_labels(Tables(spark, sf_dir))))
+
+
+def _classifier_scores(spark: SparkSession, sf_dir: str, kind: str = "svm") -> DataFrame:
+    from tillwise.operators import text_model as TM
+    docs = TM.split_holdout(Tables(spark, sf_dir).documents.select("doc_id", "text", "lang"), "doc_id")
+    train, test = docs.where(~F.col("is_test")), docs.where(F.col("is_test"))
+    models = TM.train_classifier(train, "doc_id", "lang", kind=kind)
+    return TM.score(models, test, "doc_id", "lang")
+
+
+def text_classifier_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out documents with predicted language, calibrated confidence, correct flag."""
+    return _classifier_scores(spark, sf_dir)
+
+
+def classifier_threshold_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A13 on the classifier's own output: truth = correct flag, score = confidence."""
+    return threshold_sweep(_classifier_scores(spark, sf_dir), conf="conf", truth="correct")
