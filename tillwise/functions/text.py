@@ -44,7 +44,15 @@ def bigrams(toks: Column) -> Column:
         F.array().cast("array<string>"))
 
 
-def terms(text: Column, stop_words: list[str] = STOP_WORDS, clean: bool = True) -> Column:
-    """Unigrams followed by bigrams of the cleaned, stop-word-free tokens."""
-    t = drop_stop_words(tokens(clean_special(text) if clean else text), stop_words)
-    return F.concat(t, bigrams(t))
+def terms(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
+    """Unigrams followed by bigrams of the cleaned, stop-word-free tokens.
+
+    Cleaning (T1) only turns non-word characters into spaces, so it never
+    changes the runs of word characters the tokenizer extracts: the tokens of
+    the cleaned text equal the tokens of the raw text, and the two whole-text
+    regex passes are skipped here (``clean_special`` still gives T1's output).
+    """
+    toks = drop_stop_words(tokens(text), stop_words)
+    # bind the token array to a lambda variable so the regex runs once per
+    # text (inlining ``toks`` in concat/size/slice would evaluate it six times)
+    return F.element_at(F.transform(F.array(toks), lambda t: F.concat(t, bigrams(t))), 1)

@@ -13,14 +13,21 @@ document key.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def term_counts(docs: DataFrame, id_col: str, terms_col) -> DataFrame:
-    """(doc_id, term, tf) from a column of term arrays."""
-    return (docs.select(F.col(id_col).alias("doc_id"), F.explode(terms_col).alias("term"))
-            .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+def term_counts(docs: DataFrame, id_col: str, terms_col, persist: bool = False) -> DataFrame:
+    """(doc_id, term, tf) from a column of term arrays.
+
+    ``persist=True`` keeps the counts (memory, spilling to disk) for plans that
+    read them several times - document frequencies, weights and norms - so the
+    text is tokenised once; lost blocks are recomputed from lineage.
+    """
+    tf = (docs.select(F.col(id_col).alias("doc_id"), F.explode(terms_col).alias("term"))
+          .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    return tf.persist(StorageLevel.MEMORY_AND_DISK) if persist else tf
 
 
 def fit_idf(tf: DataFrame, n_docs) -> DataFrame:

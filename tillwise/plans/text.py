@@ -10,22 +10,27 @@ from tillwise.functions.text import clean_special, terms
 from tillwise.operators.tfidf import fit_idf, term_counts, tfidf
 from tillwise.operators.threshold import best_threshold, threshold_sweep
 from tillwise.sources import fixtures
-from tillwise.sources.tables import Tables
+from tillwise.sources.tables import Tables, ensure_parallelism
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents spread over the cluster's cores before per-row text work."""
+    return ensure_parallelism(Tables(spark, sf_dir).documents)
 
 
 def clean_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).documents
+    docs = _documents(spark, sf_dir)
     return docs.select("doc_id", clean_special(F.col("text")).alias("clean"))
 
 
 def token_ngrams_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).documents
+    docs = _documents(spark, sf_dir)
     return term_counts(docs, "doc_id", terms(F.col("text")))
 
 
 def tfidf_long_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).documents
-    tf = term_counts(docs, "doc_id", terms(F.col("text")))
+    docs = _documents(spark, sf_dir)
+    tf = term_counts(docs, "doc_id", terms(F.col("text")), persist=True)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     w = tfidf(tf, fit_idf(tf, n_docs))
     return w.select("doc_id", "term", "tf", "df", F.round("idf", 9).alias("idf"),
@@ -54,7 +59,7 @@ def best_threshold_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _classifier_scores(spark: SparkSession, sf_dir: str, kind: str = "svm") -> DataFrame:
     from tillwise.operators import text_model as TM
-    docs = TM.split_holdout(Tables(spark, sf_dir).documents.select("doc_id", "text", "lang"), "doc_id")
+    docs = TM.split_holdout(_documents(spark, sf_dir).select("doc_id", "text", "lang"), "doc_id")
     train, test = docs.where(~F.col("is_test")), docs.where(F.col("is_test"))
     models = TM.train_classifier(train, "doc_id", "lang", kind=kind)
     return TM.score(models, test, "doc_id", "lang")

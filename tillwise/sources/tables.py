@@ -57,3 +57,14 @@ class Tables:
         if name.startswith("_"):
             raise AttributeError(name)
         return read_table(self.spark, self.sf_dir, name)
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over at least the default parallelism before CPU-heavy per-row work.
+
+    Large tables made of many files / row groups already scan in thousands of
+    splits and are returned unchanged (no extra shuffle); a table stored as one
+    row group would otherwise be processed by a single task.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= target else df.repartition(target)
