@@ -86,3 +86,4 @@ register("gbt_forecast", models.gbt_forecast_q)
 register("feature_importance", models.feature_importance_q)
 register("text_classifier", text.text_classifier_q)
 register("classifier_threshold", text.classifier_threshold_q)
+register("text_classifier_gbt", text.text_classifier_gbt_q)
