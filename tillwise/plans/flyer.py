@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,8 +14,12 @@ PAGE_SIZE = 50
 
 
 def _paged(t: Tables) -> DataFrame:
-    best = fixtures.best_sellers(t)
-    return FL.assign_pages(best.select("*", *FL.party_columns(F.col("codmersrr"))), PAGE_SIZE)
+    """Best sellers with party and page, kept (memory + disk) for the several branches
+    that read them - requests, responses, resolution, feed - so orders x lineitem is
+    joined once; lost blocks are recomputed from lineage."""
+    best = fixtures.best_sellers(t).persist(StorageLevel.MEMORY_AND_DISK)
+    paged = FL.assign_pages(best.select("*", *FL.party_columns(F.col("codmersrr"))), PAGE_SIZE)
+    return paged.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def top_sellers_q(spark: SparkSession, sf_dir: str, k: int = FL.MAX_PRODUCTS) -> DataFrame:
