@@ -10,6 +10,7 @@ Decimal sums are exact, so the pre-aggregation does not change results.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,11 +22,19 @@ def month_start_key(as_of: Column) -> Column:
     return F.date_format(F.trunc(as_of, "MM"), "yyyyMMdd")
 
 
-def store_day_values(transactions: DataFrame) -> DataFrame:
-    """(store, data_trn, anomes, is_pix) -> exact decimal sum of valor."""
-    return (transactions
+def store_day_values(transactions: DataFrame, persist: bool = True) -> DataFrame:
+    """(store, data_trn, anomes, is_pix) -> exact decimal sum of valor.
+
+    Persisted (memory + disk) by default: the month counts, the cohort and the
+    daily sums all read it, and without it Catalyst pushes the past-months
+    filter below the aggregate and scans the fact once per branch.  The
+    persisted table is stores x days x 2 rows - orders of magnitude smaller
+    than the fact - and lost blocks are recomputed from lineage.
+    """
+    days = (transactions
             .groupBy("store", "data_trn", "anomes", (F.col("tipo") == PIX).alias("is_pix"))
             .agg(F.sum("valor").alias("valor")))
+    return days.persist(StorageLevel.MEMORY_AND_DISK) if persist else days
 
 
 def store_months(store_days: DataFrame, as_of: Column) -> DataFrame:
