@@ -30,10 +30,10 @@ def frames(spark):
     return usage, prices
 
 
-@pytest.mark.parametrize("broadcast_bytes", [1 << 30, 0])  # broadcast path and month-bucket path
-def test_containment_join(frames, broadcast_bytes):
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])  # broadcast path and month-bucket path
+def test_containment_join(frames, broadcast_rows):
     usage, prices = frames
-    j = containment_join(usage, prices, ["cloud", "sku_name"], "s", "e", "ps", "pe", broadcast_bytes)
+    j = containment_join(usage, prices, ["cloud", "sku_name"], "s", "e", "ps", "pe", broadcast_rows)
     got = sorted((r.id, r.price) for r in j.select("id", "price").collect())
     assert got == [(1, 1.0), (3, 2.0), (4, 3.0), (4, 4.0)]
 

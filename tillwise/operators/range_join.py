@@ -4,9 +4,10 @@ Semantics: equal keys, ``left.start >= right.start`` and
 ``(left.end <= right.end OR right.end IS NULL)``.  A left row straddling a
 change of the right row is dropped; overlapping right rows duplicate it.
 
-Plan choice, by the optimizer's size estimate of the right side:
+Plan choice, by a row count of the right side (a price list is a dimension,
+so counting it is cheap):
 
-* small (at most ``broadcast_bytes``): broadcast hash join on the equi keys
+* small (at most ``broadcast_rows``): broadcast hash join on the equi keys
   with the interval test as residual.  Low-cardinality keys (a few hundred
   SKUs) would make a shuffled hash join put a whole SKU in one task, so the
   broadcast path is preferred whenever it is safe.
@@ -23,20 +24,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate (an upper bound for scans, filters, projections, aggregates)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # estimates unavailable (e.g. Spark Connect): take the safe path
-        return 1 << 62
+# A price row is a few keys, two timestamps and a price: 1M rows stay well
+# under 100 MB on every executor.
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def containment_join(left: DataFrame, right: DataFrame, keys: list[str],
                      left_start: str, left_end: str, right_start: str, right_end: str,
-                     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Inner join of ``left`` rows whose [start, end] lies inside a ``right`` interval.
 
     ``right`` columns other than the keys keep their names; callers select what
@@ -45,7 +40,7 @@ def containment_join(left: DataFrame, right: DataFrame, keys: list[str],
     cond = [left[k] == right[k] for k in keys]
     inside = ((left[left_start] >= right[right_start])
               & ((left[left_end] <= right[right_end]) | right[right_end].isNull()))
-    if estimated_bytes(right) <= broadcast_bytes:
+    if right.count() <= broadcast_rows:
         joined = left.join(F.broadcast(right), cond + [inside], "inner")
         return joined.drop(*[right[k] for k in keys])
 

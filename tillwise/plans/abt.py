@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ def data_span_dims(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 
 def abt_daily(spark: SparkSession, sf_dir: str, as_of: str = COHORT_AS_OF,
-              start: str = ABT_START) -> DataFrame:
+              start: str = ABT_START, persist: bool = False) -> DataFrame:
     """Calendar features for ``[start, last_day(as_of)]`` + cohort daily values, zero-filled.
 
     ``PIX_CATEG`` is 1 when the day has any cohort transaction (the Pix sum
@@ -52,11 +53,13 @@ def abt_daily(spark: SparkSession, sf_dir: str, as_of: str = COHORT_AS_OF,
         "DATA_V", F.to_date("data_trn", "yyyyMMdd")).drop("data_trn")
     out = feats.join(values, feats["DATA"] == values["DATA_V"], "left")
     value_cols = ["VLR_SMART_PIX", "VLR_TOTAL_PIX", "VALOR_TOTAL", "VALOR_SMART_TOTAL"]
-    return out.select(
+    table = out.select(
         *[feats[c] for c in feats.columns],
         F.col("VLR_TOTAL_PIX").isNotNull().cast("int").alias("PIX_CATEG"),
         *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in value_cols],
     ).orderBy("DATA")
+    # the feature table is one row per day and feeds every model job: keep it
+    return table.persist(StorageLevel.MEMORY_AND_DISK) if persist else table
 
 
 def same_store_panel_q(spark: SparkSession, sf_dir: str, as_of: str = COHORT_AS_OF) -> DataFrame:

@@ -22,7 +22,7 @@ COST_HOLDOUT_DAYS = 7  # the billing stand-in covers 30 days; a 31-day holdout w
 
 
 def _retail_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long_df = long_series(abt_daily(spark, sf_dir, as_of=FORECAST_AS_OF, start=ABT_START))
+    long_df = long_series(abt_daily(spark, sf_dir, as_of=FORECAST_AS_OF, start=ABT_START, persist=True))
     series = long_df.select("series", F.col("DATA").alias("ds"), "y")
     return additive.prepare_history(series, holiday_union_q(spark, sf_dir), FORECAST_AS_OF)
 

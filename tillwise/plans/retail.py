@@ -148,7 +148,7 @@ def seasonal_naive(long_df: DataFrame, lag_days: int = 7) -> DataFrame:
 
 # --------------------------------------------------------------------------- registered jobs
 def _long_abt(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
-    return long_series(abt_daily(spark, sf_dir, as_of=as_of, start=ABT_START))
+    return long_series(abt_daily(spark, sf_dir, as_of=as_of, start=ABT_START, persist=True))
 
 
 def _split_long(spark: SparkSession, sf_dir: str, as_of: str = FORECAST_AS_OF) -> DataFrame:

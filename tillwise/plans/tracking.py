@@ -74,7 +74,7 @@ def _runs(spark: SparkSession, dates: list[str]) -> DataFrame:
 
 
 def _retail_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return long_series(abt_daily(spark, sf_dir, as_of=FORECAST_AS_OF, start=ABT_START))
+    return long_series(abt_daily(spark, sf_dir, as_of=FORECAST_AS_OF, start=ABT_START, persist=True))
 
 
 FORECAST_COLS = ["data", "previsao", "real", "previsao_superior", "previsao_inferior"]
@@ -148,7 +148,7 @@ CSV_SCHEMA = T.StructType([T.StructField("DATA", T.StringType()),
 
 def csv_roundtrip_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S11 then S3: ABT values written as CSV with dd-mm-yy dates and read back."""
-    abt = abt_daily(spark, sf_dir, as_of=FORECAST_AS_OF, start=ABT_START)
+    abt = abt_daily(spark, sf_dir, as_of=FORECAST_AS_OF, start=ABT_START, persist=True)
     out = abt.select(F.date_format("DATA", "dd-MM-yy").alias("DATA"), "VALOR_TOTAL", "VALOR_SMART_TOTAL")
     path = scratch_dir(spark, "abt-csv")
     write_csv(out, path)

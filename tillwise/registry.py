@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwise import oracle as O
+from tillwise.session import apply_job_conf
 from tillwise.plans import abt
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -16,7 +17,13 @@ ORACLES: dict[str, str] = {}
 
 
 def register(name: str, builder: Builder, sql: str | None = None) -> None:
-    QUERIES[name] = builder
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_job_conf(spark)  # UTC day boundaries, AQE: whatever session the caller brings
+        return builder(spark, sf_dir)
+
+    run.__name__ = name
+    run.__doc__ = builder.__doc__
+    QUERIES[name] = run
     if sql is not None:
         ORACLES[name] = sql
 

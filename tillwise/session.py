@@ -34,7 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in JOB_CONF.items():
