@@ -31,6 +31,10 @@ CAPTION_LINES = 4
 CAPTION_WIDTH = 22
 
 PRICED, ZERO, MISSING = "priced", "zero", "missing"
+# The two "price not found" texts - a zero price from the
+# service, and a product the service did not answer for.
+ZERO_PRICE_TEXT = "Preço não encontrado"
+MISSING_PRICE_TEXT = "preço não encontrado"
 
 PRICE_RESPONSE_SCHEMA = T.StructType([
     T.StructField("resultado", T.ArrayType(T.StructType([
@@ -194,8 +198,8 @@ def price_text(preco: Column, preco_cx: Column, status: Column) -> Column:
     """'R$<unit> und | R$<box> cx' (box falls back to unit); unpriced -> status text."""
     unit = preco.cast("string")
     box = F.coalesce(preco_cx, preco).cast("string")
-    return F.when(preco.isNotNull(), F.concat(F.lit("R$"), unit, F.lit(" und | R$"), box, F.lit(" cx"))) \
-        .otherwise(F.lit("Preço não encontrado"))
+    return (F.when(preco.isNotNull(), F.concat(F.lit("R$"), unit, F.lit(" und | R$"), box, F.lit(" cx")))
+            .when(status == MISSING, F.lit(MISSING_PRICE_TEXT)).otherwise(F.lit(ZERO_PRICE_TEXT)))
 
 
 def flyer_feed(best: DataFrame, catalogue: DataFrame, prices: DataFrame, slots: DataFrame,

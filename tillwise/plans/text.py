@@ -10,6 +10,7 @@ from tillwise.functions.text import clean_special, terms
 from tillwise.operators.tfidf import fit_idf, term_counts, tfidf
 from tillwise.operators.threshold import best_threshold, threshold_sweep
 from tillwise.sources import fixtures
+from tillwise.session import per_application
 from tillwise.sources.tables import Tables, ensure_parallelism
 
 
@@ -58,11 +59,16 @@ def best_threshold_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _classifier_scores(spark: SparkSession, sf_dir: str, kind: str = "svm") -> DataFrame:
+    """Held-out scores of the classifier trained on the other 80 %; trained once per application."""
     from tillwise.operators import text_model as TM
-    docs = TM.split_holdout(_documents(spark, sf_dir).select("doc_id", "text", "lang"), "doc_id")
-    train, test = docs.where(~F.col("is_test")), docs.where(F.col("is_test"))
-    models = TM.train_classifier(train, "doc_id", "lang", kind=kind)
-    return TM.score(models, test, "doc_id", "lang")
+
+    def build():
+        docs = TM.split_holdout(_documents(spark, sf_dir).select("doc_id", "text", "lang"), "doc_id")
+        train, test = docs.where(~F.col("is_test")), docs.where(F.col("is_test"))
+        models = TM.train_classifier(train, "doc_id", "lang", kind=kind)
+        return TM.score(models, test, "doc_id", "lang").persist()
+
+    return per_application(spark, ("text_classifier", sf_dir, kind), build)
 
 
 def text_classifier_q(spark: SparkSession, sf_dir: str) -> DataFrame:

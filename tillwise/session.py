@@ -76,3 +76,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for materialised tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+_TRAINED: dict[tuple, object] = {}
+
+
+def per_application(spark: SparkSession, key: tuple, build):
+    """Memoise ``build()`` for this Spark application (e.g. trained models shared by
+    several jobs of one run); a new application trains afresh."""
+    full = (spark.sparkContext.applicationId, *key)
+    if full not in _TRAINED:
+        _TRAINED[full] = build()
+    return _TRAINED[full]
