@@ -52,3 +52,14 @@ def test_overwrite_table(spark, tmp_path):
     overwrite_table(spark.createDataFrame([(1,)], "x int"), "tw_test.t")
     overwrite_table(spark.createDataFrame([(2,), (3,)], "x int"), "tw_test.t")
     assert sorted(r.x for r in spark.table("tw_test.t").collect()) == [2, 3]
+
+
+def test_read_holiday_table(spark, tmp_path):
+    import datetime as dt
+
+    from tillwise.sources.tables import read_holiday_table
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tw_hol LOCATION '{tmp_path}'")
+    spark.createDataFrame([(dt.date(2024, 1, 1), "Confraternizacao Universal")], "DATA date, holiday string") \
+        .write.mode("overwrite").saveAsTable("tw_hol.feriados")
+    assert [tuple(r) for r in read_holiday_table(spark, "tw_hol.feriados").collect()] == \
+        [(dt.date(2024, 1, 1), "Confraternizacao Universal")]

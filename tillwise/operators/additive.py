@@ -72,10 +72,16 @@ class AdditiveModel:
                 ang = 2.0 * np.pi * k * days / period
                 cols += [np.sin(ang), np.cos(ang)]
                 pen += [NOISE_VAR / SEASONALITY_PRIOR_SCALE ** 2] * 2
-        for name in self.holiday_names:
-            cols.append(np.array([1.0 if (h is not None and name in h) else 0.0 for h in holidays]))
-            pen.append(NOISE_VAR / self.hps ** 2)
-        return np.column_stack(cols), np.array(pen)
+        hol = np.zeros((len(days), len(self.holiday_names)))
+        index = {n: j for j, n in enumerate(self.holiday_names)}
+        for i, names in enumerate(holidays):  # only rows carrying holidays do work
+            if names is not None:
+                for n in names:
+                    j = index.get(n)
+                    if j is not None:
+                        hol[i, j] = 1.0
+        pen += [NOISE_VAR / self.hps ** 2] * len(self.holiday_names)
+        return np.column_stack(cols + [hol]), np.array(pen)
 
     def fit(self, ds: pd.Series, y: pd.Series, holidays: list) -> "AdditiveModel":
         days = self._days(ds)

@@ -68,3 +68,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= target else df.repartition(target)
+
+
+def read_holiday_table(spark: SparkSession, name: str, date_col: str = "DATA",
+                       name_col: str = "holiday") -> DataFrame:
+    """A catalog holiday table as ``(ds, holiday)``.  It stays a DataFrame (joined or
+    broadcast where used), never collected to the driver."""
+    from pyspark.sql import functions as F
+
+    return spark.table(name).select(F.col(date_col).cast("date").alias("ds"), F.col(name_col).alias("holiday"))
