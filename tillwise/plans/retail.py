@@ -125,8 +125,10 @@ def add_outlier(long_split: DataFrame, reference_mode: bool = False) -> DataFram
 
 def add_date_parts(df: DataFrame, group: list[str]) -> DataFrame:
     """C10 + C11 + C12: date parts with overrides; DECORRIDO = max(DATA) of the group - DATA."""
-    last = df.groupBy(*group).agg(F.max("DATA").alias("_last"))
-    j = df.join(F.broadcast(last), group) if group else df.join(F.broadcast(last))
+    if group:  # one row per group: broadcast with a bound of the number of groups
+        j = df.join(F.broadcast(df.groupBy(*group).agg(F.max("DATA").alias("_last"))), group)
+    else:
+        j = df.withColumn("_last", df.agg(F.max("DATA")).scalar())
     parts = date_part_columns(F.col("DATA"), F.col("PRIMEIRO_DIA"))
     keep = [c for c in df.columns if c not in DATE_PART_NAMES]
     return j.select(*keep, *parts, F.datediff(F.col("_last"), F.col("DATA")).alias("DECORRIDO"))
