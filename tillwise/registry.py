@@ -65,6 +65,7 @@ register("label_index", text.label_index_q, O.label_index_sql())
 register("threshold_sweep", text.threshold_sweep_q, O.threshold_sweep_only_sql())
 register("best_threshold", text.best_threshold_q, O.best_threshold_sql())
 
+from tillwise.operators import flyer as FL  # noqa: E402
 from tillwise.plans import flyer  # noqa: E402
 
 register("top_sellers", flyer.top_sellers_q, O.top_sellers_sql())
@@ -73,7 +74,7 @@ register("price_request", flyer.price_request_q)
 register("pref_ingest", flyer.pref_ingest_q, O.pref_ingest_sql())
 register("resolve_prices", flyer.resolve_prices_q, O.resolve_prices_sql())
 register("flyer_feed", flyer.flyer_feed_q, O.flyer_feed_sql())
-register("wrap_caption", flyer.wrap_caption_q)
+register("wrap_caption", flyer.wrap_caption_q, O.wrap_caption_sql(FL.CAPTION_WIDTH, FL.CAPTION_LINES))
 
 from tillwise.plans import tracking  # noqa: E402
 
