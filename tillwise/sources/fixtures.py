@@ -59,6 +59,7 @@ SKU_BY_EVENT = {
 }
 SKU_ODD_PURCHASE = "PREMIUM_JOBS_SQL_COMPUTE"
 SKU_ODD_SIGNUP = "ENTERPRISE_NETWORKING"
+STORAGE_SKU = "PREMIUM_STORAGE"
 
 
 def _sku_name() -> F.Column:
@@ -70,18 +71,27 @@ def _sku_name() -> F.Column:
 
 
 def usage(t: Tables) -> DataFrame:
-    """Billing usage rows: one per event, one hour long, DBU except every 10th id."""
+    """Billing usage: one DBU row per event (one hour long), plus one storage row
+    ('GB', a whole day) per workspace and day with the day's event count as volume."""
     ev = t.events
-    return ev.select(
-        F.concat(F.lit("ws"), (F.col("user_id") % 4).cast("string")).alias("workspace_id"),
+    workspace = F.concat(F.lit("ws"), (F.col("user_id") % 4).cast("string"))
+    compute = ev.select(
+        workspace.alias("workspace_id"),
         F.to_date("ts").alias("usage_date"),
         _sku_name().alias("sku_name"),
         F.col("value").cast("decimal(18,2)").alias("usage_quantity"),
         F.lit("AWS").alias("cloud"),
         F.col("ts").alias("usage_start_time"),
         (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("usage_end_time"),
-        F.when(F.col("event_id") % 10 == 9, F.lit("STORAGE_GB")).otherwise(F.lit("DBU")).alias("usage_unit"),
+        F.lit("DBU").alias("usage_unit"),
     )
+    storage = (ev.groupBy(workspace.alias("workspace_id"), F.to_date("ts").alias("usage_date"))
+               .agg(F.count(F.lit(1)).cast("decimal(18,2)").alias("usage_quantity"))
+               .select("workspace_id", "usage_date", F.lit(STORAGE_SKU).alias("sku_name"), "usage_quantity",
+                       F.lit("AWS").alias("cloud"), F.col("usage_date").cast("timestamp").alias("usage_start_time"),
+                       F.date_add("usage_date", 1).cast("timestamp").alias("usage_end_time"),
+                       F.lit("GB").alias("usage_unit")))
+    return compute.unionByName(storage)
 
 
 def list_prices(t: Tables) -> DataFrame:
@@ -90,7 +100,7 @@ def list_prices(t: Tables) -> DataFrame:
     Aggregated to (cloud, sku, week) first, so the ``lead`` window runs over a
     few rows per SKU, never over the events themselves.
     """
-    u = usage(t)
+    u = usage(t).where(F.col("usage_unit") == "DBU")
     weekly = (u.groupBy("cloud", "sku_name", F.date_trunc("week", "usage_start_time").alias("price_start_time"))
               .agg(F.round(F.avg(F.col("usage_quantity").cast("double")) / 100, 4).alias("p")))
     w = Window.partitionBy("cloud", "sku_name").orderBy("price_start_time")
@@ -178,18 +188,22 @@ def preference_responses(t: Tables) -> DataFrame:
     return c.select(key.alias("codcli"), F.to_json(body).alias("body"))
 
 
+UNPRICED_SIZE = 47
+
+
 def price_responses(t: Tables, paged: DataFrame) -> DataFrame:
     """Landed price-service responses, one per (customer, page) request.
 
-    Prices follow fixed rules on the part key so every resolution case occurs:
+    Prices follow fixed rules on the part so every resolution case occurs:
     own products (even keys) price 0 when key % 10 == 0, box price absent when
     key % 3 == 0 and 0 when key % 3 == 1; seller products price 0 when
     key % 9 == 1, are listed twice (second entry +1) when key % 5 == 3, are
-    also in the own list when key % 7 == 2, and get no answer when key % 11 == 4.
+    also in the own list when key % 7 == 2.  The service has no price for the
+    largest pack sizes (p_size > 47): those products are missing from the answer.
     """
     part = t.part.select(F.col("p_partkey").alias("partkey"),
-                         F.col("p_retailprice").cast("decimal(12,2)").alias("p_retailprice"))
-    r = paged.join(part, "partkey").where(F.col("partkey") % 11 != 4)
+                         F.col("p_retailprice").cast("decimal(12,2)").alias("p_retailprice"), "p_size")
+    r = paged.join(part, "partkey").where(F.col("p_size") <= UNPRICED_SIZE)
     k, price = F.col("partkey"), F.col("p_retailprice")
     own = F.col("party") == "1P"
     def scaled(f: str) -> F.Column:  # decimal arithmetic: cents rounded half-up
