@@ -14,6 +14,7 @@ from tillwise.functions.calendar import (REGIONAL_HOLIDAYS, calendar_between, ho
 from tillwise.operators.calendar_features import calendar_features
 from tillwise.operators.cohort import daily_values_by_segment, same_store_panel, store_day_values
 from tillwise.sources import fixtures
+from tillwise.session import per_application
 from tillwise.sources.tables import Tables
 
 COHORT_AS_OF = "2001-12-15"
@@ -28,6 +29,17 @@ def _dims(spark: SparkSession, start: str, as_of: str) -> tuple[DataFrame, DataF
     return calendar_between(bounds), holidays_for_years(years_between(bounds))
 
 
+def calendar_feature_table(spark: SparkSession, start: str, as_of: str) -> DataFrame:
+    """Calendar features for ``[start, last_day(as_of)]``; generated by rule (no data read),
+    so one persisted copy per application serves every job."""
+    def build() -> DataFrame:
+        cal, hol = _dims(spark, start, as_of)
+        end = F.last_day(F.to_date(F.lit(as_of)))
+        return calendar_features(cal, hol, start=F.to_date(F.lit(start)), end=end).persist(
+            StorageLevel.MEMORY_AND_DISK)
+    return per_application(spark, ("calendar_features", start, as_of), build)
+
+
 def data_span_dims(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Calendar and holidays over the whole years the transactions span."""
     li = t.lineitem
@@ -43,10 +55,13 @@ def abt_daily(spark: SparkSession, sf_dir: str, as_of: str = COHORT_AS_OF,
     ``PIX_CATEG`` is 1 when the day has any cohort transaction (the Pix sum
     is a CASE ... ELSE 0 sum, so it is NULL only when the day has no row).
     """
+    if persist:  # one persisted feature table per (application, input, dates), shared by the model jobs
+        return per_application(spark, ("abt", sf_dir, as_of, start),
+                               lambda: abt_daily(spark, sf_dir, as_of, start, persist=False)
+                               .persist(StorageLevel.MEMORY_AND_DISK))
     t = Tables(spark, sf_dir)
     as_of_c = F.to_date(F.lit(as_of))
-    cal, hol = _dims(spark, start, as_of)
-    feats = calendar_features(cal, hol, start=F.to_date(F.lit(start)), end=F.last_day(as_of_c))
+    feats = calendar_feature_table(spark, start, as_of)
     days = store_day_values(fixtures.transactions(t))
     cohort = same_store_panel(fixtures.client_dim(t), days, as_of_c)
     values = daily_values_by_segment(days, cohort).withColumn(
@@ -58,8 +73,7 @@ def abt_daily(spark: SparkSession, sf_dir: str, as_of: str = COHORT_AS_OF,
         F.col("VLR_TOTAL_PIX").isNotNull().cast("int").alias("PIX_CATEG"),
         *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in value_cols],
     ).orderBy("DATA")
-    # the feature table is one row per day and feeds every model job: keep it
-    return table.persist(StorageLevel.MEMORY_AND_DISK) if persist else table
+    return table
 
 
 def same_store_panel_q(spark: SparkSession, sf_dir: str, as_of: str = COHORT_AS_OF) -> DataFrame:
