@@ -4,7 +4,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tillwise.operators.metrics import best_by, regression_metrics
 from tillwise.operators.threshold import best_threshold, threshold_sweep
