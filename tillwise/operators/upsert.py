@@ -33,26 +33,27 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
 
 
 class VersionedTable:
-    """Parquet table with atomic version directories under ``base``."""
+    """Parquet table with one directory per version under ``base`` (``v=0``, ``v=1``, ...).
+
+    A version appears only when its write job commits (the output committer
+    moves files into place at job commit), so readers never see a half-written
+    state and a failed job leaves the previous version current.  Writing with
+    ``errorifexists`` makes two concurrent writers unable to claim the same
+    version number.
+    """
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        hconf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.base).getFileSystem(hconf)
 
     def versions(self) -> list[int]:
-        p = self._path(self.base)
-        if not self._fs.exists(p):
-            return []
-        out = []
-        for st in self._fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v="):
-                out.append(int(name[2:]))
-        return sorted(out)
+        try:
+            listed = self.spark.read.parquet(self.base).select("v").distinct().collect()
+        except Exception as e:  # no version written yet
+            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) or "does not exist" in str(e):
+                return []
+            raise
+        return sorted(int(r["v"]) for r in listed)
 
     def read(self) -> DataFrame | None:
         v = self.versions()
@@ -61,10 +62,7 @@ class VersionedTable:
     def write(self, df: DataFrame) -> int:
         v = self.versions()
         nxt = (v[-1] + 1) if v else 0
-        tmp = f"{self.base}/_tmp_v={nxt}"
-        df.write.mode("overwrite").parquet(tmp)
-        if not self._fs.rename(self._path(tmp), self._path(f"{self.base}/v={nxt}")):
-            raise RuntimeError(f"could not publish version {nxt} of {self.base}")
+        df.write.mode("errorifexists").parquet(f"{self.base}/v={nxt}")
         return nxt
 
     def upsert(self, source: DataFrame, keys: list[str]) -> int:

@@ -62,11 +62,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
+        try:
+            current = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext on this client
+            current = None
     if not current:
         current = tempfile.mkdtemp(prefix="tillwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    try:
+        spark.sparkContext.setCheckpointDir(current)
+    except Exception:
+        pass
     return current
 
 
@@ -82,7 +88,7 @@ _TRAINED: dict[tuple, object] = {}
 def per_application(spark: SparkSession, key: tuple, build):
     """Memoise ``build()`` for this Spark application (e.g. trained models shared by
     several jobs of one run); a new application trains afresh."""
-    full = (spark.sparkContext.applicationId, *key)
+    full = (spark.conf.get("spark.app.id", None) or id(spark), *key)
     if full not in _TRAINED:
         _TRAINED[full] = build()
     return _TRAINED[full]

@@ -66,8 +66,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     splits and are returned unchanged (no extra shuffle); a table stored as one
     row group would otherwise be processed by a single task.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= target else df.repartition(target)
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the scan as planned
+        return df
+    return df if current >= target else df.repartition(target)
 
 
 def read_holiday_table(spark: SparkSession, name: str, date_col: str = "DATA",
