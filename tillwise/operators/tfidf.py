@@ -37,9 +37,15 @@ def fit_idf(tf: DataFrame, n_docs) -> DataFrame:
     return df.withColumn("idf", F.log((1 + n) / (1 + F.col("df"))) + 1)
 
 
-def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
-    """Weights for ``tf`` rows with a fitted ``idf``; terms missing from it are dropped."""
+def tfidf(tf: DataFrame, idf: DataFrame, persist: bool = False) -> DataFrame:
+    """Weights for ``tf`` rows with a fitted ``idf``; terms missing from it are dropped.
+
+    The joined rows feed both the per-document norms and the output;
+    ``persist=True`` keeps them so the term join runs once.
+    """
     w = tf.join(idf, "term", "inner").withColumn("raw", F.col("tf") * F.col("idf"))
+    if persist:
+        w = w.persist(StorageLevel.MEMORY_AND_DISK)
     norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
     return (w.join(norms, "doc_id")
             .withColumn("weight", F.col("raw") / F.col("norm"))

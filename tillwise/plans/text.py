@@ -33,7 +33,7 @@ def tfidf_long_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     tf = term_counts(docs, "doc_id", terms(F.col("text")), persist=True)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    w = tfidf(tf, fit_idf(tf, n_docs))
+    w = tfidf(tf, fit_idf(tf, n_docs), persist=True)
     return w.select("doc_id", "term", "tf", "df", F.round("idf", 9).alias("idf"),
                     F.round("weight", 9).alias("weight"))
 
