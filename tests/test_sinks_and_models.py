@@ -67,3 +67,24 @@ def test_label_registry():
     with pytest.raises(ValueError):
         label_spec("VLR_REDE")
     assert math.isclose(additive.BAND_Z, 1.2816)
+
+
+def test_outlier_modes(spark):
+    import datetime as dt
+
+    from tillwise.plans.retail import add_outlier
+    rows = [("VALOR_TOTAL", dt.date(2001, 1, d), "train", float(v)) for d, v in
+            zip(range(2, 12), [10, 11, 12, 10, 11, 12, 10, 11, 500, 12])]
+    rows += [("VALOR_TOTAL", dt.date(2001, 12, 24), "test", 900.0), ("VALOR_TOTAL", dt.date(2001, 12, 26), "test", 900.0),
+             ("VALOR_SMART_TOTAL", dt.date(2001, 1, 2), "train", 1.0), ("VALOR_SMART_TOTAL", dt.date(2001, 1, 3), "train", 9.0),
+             ("VALOR_SMART_TOTAL", dt.date(2001, 12, 24), "test", 50.0)]
+    df = spark.createDataFrame(rows, "series string, DATA date, split string, y double")
+
+    def get(mode):
+        return {(r.series, r.DATA): r.OUTLIER for r in add_outlier(df, reference_mode=mode).collect()}
+    default, ref = get(False), get(True)
+    assert default[("VALOR_TOTAL", dt.date(2001, 1, 10))] == 1           # Tukey upper fence on train
+    assert default[("VALOR_TOTAL", dt.date(2001, 12, 26))] == 0          # test: calendar only
+    assert ref[("VALOR_TOTAL", dt.date(2001, 12, 26))] == 1              # original: test actuals used
+    assert default[("VALOR_TOTAL", dt.date(2001, 12, 24))] == 1          # eve code
+    assert ref[("VALOR_SMART_TOTAL", dt.date(2001, 12, 24))] == 0        # SMART test reset erases codes
