@@ -88,3 +88,18 @@ def test_outlier_modes(spark):
     assert ref[("VALOR_TOTAL", dt.date(2001, 12, 26))] == 1              # original: test actuals used
     assert default[("VALOR_TOTAL", dt.date(2001, 12, 24))] == 1          # eve code
     assert ref[("VALOR_SMART_TOTAL", dt.date(2001, 12, 24))] == 0        # SMART test reset erases codes
+
+
+def test_jobs_write_tables(spark, tmp_path):
+    from tests.conftest import SF001
+    from tillwise.plans.billing import write_billing_tables
+    from tillwise.plans.models import run_cost_forecast_job
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tw_bill LOCATION '{tmp_path}/db'")
+    write_billing_tables(spark, SF001, "tw_bill")
+    assert spark.table("tw_bill.priced_usage").count() > 0
+    assert spark.table("tw_bill.daily_cost").where("sku = 'ALL'").count() > 0
+    base = str(tmp_path / "forecast")
+    assert run_cost_forecast_job(spark, SF001, base) == 0
+    assert run_cost_forecast_job(spark, SF001, base) == 1      # same rows merged again: no duplicates
+    t = VersionedTable(spark, base).read()
+    assert t.count() == t.select("data").distinct().count() == 30

@@ -81,3 +81,13 @@ def global_cost_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 'ALL' daily series (ds, y = cost, dbus) the cost forecast is trained on."""
     return (daily_with_rollup(_priced(spark, sf_dir)).where(F.col("sku") == ALL)
             .select("ds", F.col("custo").alias("y"), "dbus", "sku", "workspace_id"))
+
+
+def write_billing_tables(spark: SparkSession, sf_dir: str, database: str) -> None:
+    """Billing job sinks (S9): row-level priced usage and the daily sums, each in its own
+    table named for what it holds (the original stored the row-level frame under a 'daily' name)."""
+    from tillwise.sources.sinks import overwrite_table
+
+    priced = _priced(spark, sf_dir)
+    overwrite_table(priced.drop("dbus_dec", "custo_dec"), f"{database}.priced_usage")
+    overwrite_table(daily_with_rollup(priced), f"{database}.daily_cost")

@@ -142,3 +142,16 @@ def feature_importance_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def assemble_forecasts(preds: DataFrame) -> DataFrame:
     """M7: one row per date with one prediction column per label."""
     return preds.groupBy("DATA").pivot("series").agg(F.first("PREVISAO"))
+
+
+def run_cost_forecast_job(spark: SparkSession, sf_dir: str, target_base: str, as_of: str = COST_AS_OF) -> int:
+    """E2 as a job: tune, refit and forecast the 'ALL' cost series, keep rows dated on or
+    after ``as_of`` and MERGE them into the versioned target table on ``data`` (S10)."""
+    from tillwise.operators.upsert import VersionedTable
+
+    series = global_cost_series(spark, sf_dir).select(F.lit("ALL").alias("series"), "ds", "y")
+    hol = holiday_union_q(spark, sf_dir)
+    hist = additive.prepare_history(series, hol, as_of).cache()
+    best = additive.best_parameters(additive.tune(hist, as_of, holdout_days=COST_HOLDOUT_DAYS))
+    source = forecast_result(additive.forecast(hist, best, hol), hist, as_of)
+    return VersionedTable(spark, target_base).upsert(source, ["data"])
