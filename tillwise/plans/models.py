@@ -155,3 +155,21 @@ def run_cost_forecast_job(spark: SparkSession, sf_dir: str, target_base: str, as
     best = additive.best_parameters(additive.tune(hist, as_of, holdout_days=COST_HOLDOUT_DAYS))
     source = forecast_result(additive.forecast(hist, best, hol), hist, as_of)
     return VersionedTable(spark, target_base).upsert(source, ["data"])
+
+
+def run_retail_forecast_job(spark: SparkSession, sf_dir: str, run_log_path: str) -> DataFrame:
+    """E1 as a job: per label, grid search on contiguous folds, refit, score the test month;
+    the chosen parameters and their fold-mean metrics are appended to the run log (S12)."""
+    from tillwise.operators.boosted import DEFAULT_GRID, METRICS
+    from tillwise.sources.sinks import append_run_log, run_log_rows
+
+    preds, _, means = _trained_gbt(spark, sf_dir)
+    chosen = preds.select("series", "param_id").distinct()
+    best = means.join(chosen, ["series", "param_id"])
+    grid_cols = sorted({k for g in DEFAULT_GRID for k in g})
+    grid = spark.createDataFrame(
+        [(i, *[str(g.get(k, "")) for k in grid_cols]) for i, g in enumerate(DEFAULT_GRID)],
+        ", ".join(["param_id int"] + [f"{k} string" for k in grid_cols]))
+    rows = run_log_rows(best.join(F.broadcast(grid), "param_id"), FORECAST_AS_OF, ["param_id", *grid_cols], METRICS)
+    append_run_log(rows, run_log_path)
+    return preds
