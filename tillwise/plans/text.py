@@ -84,3 +84,13 @@ def classifier_threshold_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_classifier_gbt_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same held-out scoring with one-vs-rest boosted trees (100 trees, depth 3)."""
     return _classifier_scores(spark, sf_dir, kind="gbt")
+
+
+def run_text_classifier_job(spark: SparkSession, sf_dir: str, out_path: str, kind: str = "svm") -> DataFrame:
+    """Classifier as a job: held-out scores written as CSV (S11); returns the best
+    confidence threshold of its own output (A13, A14)."""
+    from tillwise.sources.sinks import write_csv
+
+    scored = _classifier_scores(spark, sf_dir, kind)
+    write_csv(scored, out_path)
+    return best_threshold(threshold_sweep(scored, conf="conf", truth="correct"))
