@@ -30,8 +30,10 @@ def top_sellers_q(spark: SparkSession, sf_dir: str, k: int = FL.MAX_PRODUCTS) ->
 
 
 def party_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 per (customer, product): party, seller and quantity (the 1P group code, a constant
+    0 implied by the party, is carried in the price request)."""
     best = fixtures.best_sellers(Tables(spark, sf_dir))
-    return best.select("codcli", "codmersrr", *FL.party_columns(F.col("codmersrr")))
+    return best.select("codcli", "codmersrr", *FL.party_columns(F.col("codmersrr"))).drop("codGroupMerFrac")
 
 
 def pref_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
