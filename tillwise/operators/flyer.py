@@ -76,12 +76,17 @@ def party_columns(product: Column) -> list[Column]:
     ]
 
 
+def product_hash(product: Column) -> Column:
+    """Portable 32-bit hash of a product id: the first 8 hex digits of its MD5."""
+    return F.conv(F.substring(F.md5(product), 1, 8), 16, 10).cast("long")
+
+
 def assign_pages(best: DataFrame, page_size: int = 50) -> DataFrame:
     """Page number per (customer, product): ceil(n / page_size) pages per customer, product hashed."""
     counts = best.groupBy("codcli").agg(F.count(F.lit(1)).alias("_n"))
     pages = F.greatest(F.ceil(F.col("_n") / page_size), F.lit(1))
     return (best.join(counts, "codcli")
-            .withColumn("page", F.pmod(F.xxhash64("codmersrr"), pages).cast("int"))
+            .withColumn("page", F.pmod(product_hash(F.col("codmersrr")), pages).cast("int"))
             .drop("_n"))
 
 

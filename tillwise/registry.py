@@ -70,7 +70,7 @@ from tillwise.plans import flyer  # noqa: E402
 
 register("top_sellers", flyer.top_sellers_q, O.top_sellers_sql())
 register("party_split", flyer.party_split_q, O.party_split_sql())
-register("price_request", flyer.price_request_q)
+register("price_request", flyer.price_request_q, O.price_request_sql(flyer.PAGE_SIZE))
 register("pref_ingest", flyer.pref_ingest_q, O.pref_ingest_sql())
 register("resolve_prices", flyer.resolve_prices_q, O.resolve_prices_sql())
 register("flyer_feed", flyer.flyer_feed_q, O.flyer_feed_sql())
