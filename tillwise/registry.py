@@ -82,7 +82,7 @@ register("upsert_forecast", tracking.upsert_forecast_q,
          O.upsert_forecast_sql(FC, START, tracking.UPSERT_FIRST_RUN, tracking.UPSERT_SECOND_RUN))
 register("forecast_tracking", tracking.forecast_tracking_q, O.forecast_tracking_sql(FC, START, tracking.TRACK_MONTH))
 register("best_params", tracking.best_params_q, O.best_params_sql(FC, START, tracking.LAG_GRID))
-register("run_log", tracking.run_log_q)
+register("run_log", tracking.run_log_q, O.run_log_sql(FC, START, tracking.LAG_GRID))
 register("csv_roundtrip", tracking.csv_roundtrip_q, O.csv_roundtrip_sql(FC, START))
 
 from tillwise.plans import models  # noqa: E402

@@ -60,7 +60,7 @@ def run_log_rows(best: DataFrame, as_of: str, param_cols: list[str], metric_cols
     params = F.map_filter(F.create_map(*[x for c in param_cols for x in (F.lit(c), F.col(c).cast("string"))]),
                           lambda k, v: v.isNotNull() & (v != ""))  # parameters a model does not use
     metrics = F.create_map(*[x for c in metric_cols for x in (F.lit(c), F.col(c).cast("double"))])
-    run_id = F.sha2(F.concat_ws("|", F.col(series_col), F.lit(as_of), params.cast("string")), 256).substr(1, 16)
+    run_id = F.sha2(F.concat_ws("|", F.col(series_col), F.lit(as_of), F.to_json(params)), 256).substr(1, 16)
     return best.select(run_id.alias("run_id"), F.col(series_col).alias("series"),
                        F.to_date(F.lit(as_of)).alias("as_of"), params.alias("params"), metrics.alias("metrics"))
 
