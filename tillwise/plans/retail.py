@@ -125,8 +125,8 @@ def add_outlier(long_split: DataFrame, reference_mode: bool = False) -> DataFram
 
 def add_date_parts(df: DataFrame, group: list[str]) -> DataFrame:
     """C10 + C11 + C12: date parts with overrides; DECORRIDO = max(DATA) of the group - DATA."""
-    if group:  # one row per group: broadcast with a bound of the number of groups
-        j = df.join(F.broadcast(df.groupBy(*group).agg(F.max("DATA").alias("_last"))), group)
+    if group:  # one row per group; the number of series is not bounded, so AQE picks the join
+        j = df.join(df.groupBy(*group).agg(F.max("DATA").alias("_last")), group)
     else:
         j = df.withColumn("_last", df.agg(F.max("DATA")).scalar())
     parts = date_part_columns(F.col("DATA"), F.col("PRIMEIRO_DIA"))
