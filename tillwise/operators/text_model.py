@@ -6,7 +6,9 @@ shifted and applied with ``ElementwiseProduct``) -> L2 ``Normalizer``.
 Terms unseen in training are dropped at transform time.
 
 Classifier: one-vs-rest linear SVM (``OneVsRest(LinearSVC)``), margins per
-class; ``kind="gbt"`` uses one-vs-rest boosted trees instead (M15).  Confidence: Platt scaling per class, fitted on out-of-fold margins
+class; ``kind="gbt"`` uses one-vs-rest boosted trees instead (M15), whose
+confidence is a softmax over the class margins, uncalibrated like the
+original boosted model's probabilities.  Confidence: Platt scaling per class, fitted on out-of-fold margins
 (k folds of the training set), then normalised to sum 1; ``conf`` is the
 largest probability, as the original reports it.  The two-parameter logistic
 fit per class is a tiny Newton solve run in a grouped map keyed by class, so
@@ -111,6 +113,8 @@ def train_classifier(train: DataFrame, id_col: str, label_col: str, kind: str =
     data.count()
     if kind == "logreg":
         return indexer, feats, _classifier(kind).fit(data), None
+    if kind == "gbt":  # boosted trees report class scores directly (softmax of margins), no calibration
+        return indexer, feats, _classifier(kind).fit(data), "softmax"
     folded = data.withColumn("_fold", F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.lit(calib_folds)))
     # the final model and the out-of-fold models are independent fits: run them together
     jobs = [None] + list(range(calib_folds))
@@ -139,6 +143,12 @@ def score(models, df: DataFrame, id_col: str, label_col: str) -> DataFrame:
         out = clf.transform(data).select(
             id_col, label_col, F.col("prediction").cast("int").alias("_p"),
             F.array_max(vector_to_array("probability")).alias("conf"))
+    elif isinstance(platt, str):  # softmax over the one-vs-rest margins, row by row
+        scored = clf.transform(data).withColumn("_r", vector_to_array("rawPrediction"))
+        top = F.array_max("_r")
+        denom = F.aggregate(F.transform("_r", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, b: a + b)
+        out = scored.select(id_col, label_col, F.col("prediction").cast("int").alias("_p"),
+                            (F.lit(1.0) / denom).alias("conf"))
     else:
         m = _margins(clf, data, id_col).join(F.broadcast(platt), "cls")
         prob = 1 / (1 + F.exp(F.col("a") * F.col("margin") + F.col("b")))
