@@ -143,20 +143,33 @@ def calendar_between(bounds: DataFrame, start_col: str = "start", end_col: str =
     )
 
 
+def _holiday_sql(rule: tuple) -> str:
+    """Spark SQL text of one holiday rule over columns ``_y`` (year) and ``_easter``."""
+    kind = rule[0]
+    if kind == "fixed":
+        return f"make_date(_y, {rule[1]}, {rule[2]})"
+    if kind == "easter":
+        return f"date_add(_easter, {rule[1]})"
+    if kind == "nth_dow":
+        first = f"make_date(_y, {rule[1]}, 1)"
+        return f"date_add({first}, pmod({rule[3]} - dayofweek({first}), 7) + {7 * (rule[2] - 1) + rule[4]})"
+    raise ValueError(f"unknown holiday rule {rule!r}")
+
+
 def holidays_for_years(years: DataFrame, year_col: str = "year") -> DataFrame:
     """Holiday table ``(data, holiday)`` for every year in ``years``.
 
     Easter is computed once per year, then one ``inline`` of an array of
     structs turns each year row into its 23 holidays (no union of 23 plans,
-    and the generated code stays small).
+    and the generated code stays small).  The array is one SQL expression
+    generated from the rule table.
     """
-    with_easter = years.select(F.col(year_col).alias("_y"), easter_sunday(F.col(year_col)).alias("_easter"))
-    y, easter = F.col("_y"), F.col("_easter")
-    items = F.array(*[
-        F.struct(holiday_date(y, rule, easter).alias("data"), F.lit(name).alias("holiday"))
-        for name, _, rule in HOLIDAYS
-    ])
-    return with_easter.select(F.inline(items))
+    with_easter = years.select(F.col(year_col).cast("int").alias("_y"),
+                               easter_sunday(F.col(year_col)).alias("_easter"))
+    items = ", ".join(
+        "named_struct('data', {}, 'holiday', '{}')".format(_holiday_sql(rule), name.replace("'", "\\'"))
+        for name, _, rule in HOLIDAYS)
+    return with_easter.selectExpr(f"inline(array({items}))")
 
 
 def years_between(bounds: DataFrame, start_col: str = "start", end_col: str = "end") -> DataFrame:

@@ -53,9 +53,8 @@ def holiday_flag_table(calendar: DataFrame, holidays: DataFrame) -> DataFrame:
         _event(F.date_sub(d, 1), "VESPERA"),
     ))).where(F.col("data").isNotNull() & F.col("flag").isNotNull())
     flags = ["FERIADO"] + NEIGHBOUR_FLAGS + HOLIDAY_FLAGS
-    return events.groupBy("data").agg(*[
-        F.max((F.col("flag") == f).cast("int")).alias(f) for f in flags
-    ])
+    # SQL strings: one expression per flag instead of a chain of column calls
+    return events.groupBy("data").agg(*[F.expr(f"max(CAST(flag = '{f}' AS INT)) AS {f}") for f in flags])
 
 
 def easter_weeks(calendar: DataFrame, holidays: DataFrame) -> DataFrame:
@@ -84,24 +83,17 @@ def calendar_features(calendar: DataFrame, holidays: DataFrame,
     joined = (cal.join(F.broadcast(flags), "data", "left")
               .join(F.broadcast(weeks), ["ano_mes", "semana_ano"], "left"))
 
-    def flag(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0)).alias(name)
-
-    easter_week = ((F.coalesce(F.col("PASCOA"), F.lit(0)) == 1)
-                   | F.col("in_easter_week").isNotNull()).cast("int")
-    cols = [
-        F.col("data").alias("DATA"),
-        F.col("dia").alias("DIA_MES"),
-        flag("FERIADO"),
-        easter_week.alias("SEMANA_PASCOA"),
-        flag("VESPERA_SEXTA"), flag("POS_SEXTA"), flag("BRIDGE"),
-        F.col("primeiro_dia").alias("PRIMEIRO_DIA"),
-        F.col("ultimo_dia").alias("ULTIMO_DIA"),
-        flag("VESPERA"),
-    ]
-    cols += [(F.col("dow") == k).cast("int").alias(name) for name, k in WEEKDAY_FLAGS]
-    cols += [F.col("semana_mes").alias("SEMANA_MES")]
-    cols += [(F.col("semana_mes") == k).cast("int").alias(f"SEMANA_{k}") for k in range(1, 6)]
+    def flag(name: str) -> str:
+        return f"coalesce({name}, 0) AS {name}"
+
+    # generated columns as SQL strings (one expression each, same types as column calls)
+    cols = ["data AS DATA", "dia AS DIA_MES", flag("FERIADO"),
+            "CAST(coalesce(PASCOA, 0) = 1 OR in_easter_week IS NOT NULL AS INT) AS SEMANA_PASCOA",
+            flag("VESPERA_SEXTA"), flag("POS_SEXTA"), flag("BRIDGE"),
+            "primeiro_dia AS PRIMEIRO_DIA", "ultimo_dia AS ULTIMO_DIA", flag("VESPERA")]
+    cols += [f"CAST(dow = {k} AS INT) AS {name}" for name, k in WEEKDAY_FLAGS]
+    cols += ["semana_mes AS SEMANA_MES"]
+    cols += [f"CAST(semana_mes = {k} AS INT) AS SEMANA_{k}" for k in range(1, 6)]
     cols += [flag(c) for c in HOLIDAY_FLAGS]
-    cols += [F.col("ano_mes").alias("ANOMES")]
-    return joined.select(*cols)
+    cols += ["ano_mes AS ANOMES"]
+    return joined.selectExpr(*cols)
