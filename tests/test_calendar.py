@@ -72,3 +72,16 @@ def test_special_date_overrides(spark):
     assert r[dt.date(2002, 1, 1)].DIA_SEMANA == 10 and r[dt.date(2002, 1, 1)].DIA_MES == 10
     assert r[dt.date(2002, 1, 1)].PRIMEIRO_DIA == -10
     assert r[dt.date(2001, 12, 25)].SEMANA_ANO == 52
+
+
+def test_tuesday_bridge_and_easter_week_across_month(spark):
+    cal = calendar_between(literal_bounds(spark, "2001-01-01", "2001-12-31"))
+    hol = holidays_for_years(years_between(literal_bounds(spark, "2001-01-01", "2001-12-31")))
+    f = calendar_features(cal, hol)
+    # 2001-05-01 (Dia do Trabalho) is a Tuesday -> Monday 2001-04-30 is a bridge day
+    assert f.where(F.col("DATA") == dt.date(2001, 4, 30)).first().BRIDGE == 1
+    cal18 = calendar_between(literal_bounds(spark, "2018-01-01", "2018-12-31"))
+    hol18 = holidays_for_years(years_between(literal_bounds(spark, "2018-01-01", "2018-12-31")))
+    wk = {r.DATA for r in calendar_features(cal18, hol18).where(F.col("SEMANA_PASCOA") == 1).collect()}
+    # Easter 2018-04-01: the week before lies in March, outside Easter's month -> only Easter itself
+    assert wk == {dt.date(2018, 4, 1)}

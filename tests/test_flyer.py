@@ -91,3 +91,16 @@ def test_slot_table_from_json(spark):
     cfg = spark.createDataFrame([(json.dumps({"imagem_1": [10, 20], "nome_1": [30, 40]}),)], "value string")
     got = sorted(tuple(r) for r in FL.slot_table_from_json(cfg).collect())
     assert got == [("imagem_1", 10, 20), ("nome_1", 30, 40)]
+
+
+def test_missing_slot_drops_that_position(spark):
+    best = spark.createDataFrame([(1, f"intenal_{k}", k, float(100 - k)) for k in range(3)],
+                                 "codcli long, codmersrr string, partkey long, qty double")
+    cat = spark.createDataFrame([(f"intenal_{k}", f"p{k}", f"http://i/{k}.jpeg") for k in range(3)],
+                                "idproduto string, descproduto string, url_imagem string")
+    prices = spark.createDataFrame([(1, f"intenal_{k}", 1.0, None, "priced") for k in range(3)],
+                                   "codcli long, codmersrr string, preco double, preco_cx double, status string")
+    slots = spark.createDataFrame([(f"{kind}_{i}", i, i) for i in (1, 3) for kind in ("imagem", "nome", "preco")],
+                                  "name string, x int, y int")
+    assert [(r.slot, r.codmersrr) for r in FL.flyer_feed(best, cat, prices, slots).orderBy("slot").collect()] == \
+        [(1, "intenal_0"), (3, "intenal_2")]

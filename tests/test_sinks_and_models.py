@@ -103,3 +103,15 @@ def test_jobs_write_tables(spark, tmp_path):
     assert run_cost_forecast_job(spark, SF001, base) == 1      # same rows merged again: no duplicates
     t = VersionedTable(spark, base).read()
     assert t.count() == t.select("data").distinct().count() == 30
+
+
+def test_outlier_class_edges(spark):
+    from tillwise.functions.columns import outlier_class
+    from tillwise.operators.outliers import series_bounds
+    df = spark.createDataFrame([("c", 5.0)] * 4 + [("v", 1.0), ("v", 2.0), ("v", 3.0), ("v", None)],
+                               "series string, y double")
+    b = {r.series: r for r in series_bounds(df.na.drop(), ["series"], "y").collect()}
+    assert b["c"].t_li == b["c"].t_ls == 5.0                     # constant series: zero IQR
+    rows = spark.createDataFrame([(5.0,), (5.0001,), (None,)], "y double")
+    got = [r.o for r in rows.select(outlier_class(F.col("y"), F.lit(5.0), F.lit(5.0)).alias("o")).collect()]
+    assert got == [0, 1, 0]                                       # on the bound -> 0, NULL -> 0
