@@ -115,3 +115,13 @@ def test_outlier_class_edges(spark):
     rows = spark.createDataFrame([(5.0,), (5.0001,), (None,)], "y double")
     got = [r.o for r in rows.select(outlier_class(F.col("y"), F.lit(5.0), F.lit(5.0)).alias("o")).collect()]
     assert got == [0, 1, 0]                                       # on the bound -> 0, NULL -> 0
+
+
+def test_gbt_recovers_planted_weekday_effect(spark):
+    from tillwise.operators.boosted import DEFAULT_GRID, estimator
+    rows = [(float(d % 7 == 5), float(d % 7 == 6), 100.0 + 80.0 * (d % 7 == 5) - 60.0 * (d % 7 == 6))
+            for d in range(300)]
+    df = spark.createDataFrame(rows, "SEX double, SAB double, y double")
+    model = estimator(DEFAULT_GRID[0], ["SEX", "SAB"]).fit(df)
+    pred = {(r.SEX, r.SAB): r.prediction for r in model.transform(df).select("SEX", "SAB", "prediction").distinct().collect()}
+    assert abs(pred[(1.0, 0.0)] - 180) < 10 and abs(pred[(0.0, 1.0)] - 40) < 10 and abs(pred[(0.0, 0.0)] - 100) < 10

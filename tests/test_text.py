@@ -42,3 +42,32 @@ def test_tfidf_matches_formula(spark):
         norm = math.sqrt(sum(v * v for v in raw.values()))
         for term, v in raw.items():
             assert math.isclose(w[(i, term)], v / norm, rel_tol=1e-12)
+
+
+def test_unseen_terms_are_dropped(spark):
+    from tillwise.operators.text_model import fit_features, transform_features
+    train = spark.createDataFrame([(1, "arroz branco"), (2, "feijao preto")], "id int, text string")
+    feats = fit_features(train)
+    out = transform_features(feats, spark.createDataFrame([(3, "cafe torrado"), (4, "arroz torrado")],
+                                                          "id int, text string")).collect()
+    by_id = {r.id: r.features for r in out}
+    assert by_id[3].numNonzeros() == 0          # only unseen terms: empty vector, no failure
+    assert by_id[4].numNonzeros() == 1          # 'arroz' kept, 'torrado' and the bigram dropped
+    assert abs(by_id[4].norm(2) - 1.0) < 1e-12
+
+
+def test_classifier_planted_signal(spark):
+    from tillwise.operators.text_model import accuracy, score, train_classifier
+    words = {"bebidas": ["suco", "refrigerante", "agua", "cerveja"], "limpeza": ["sabao", "detergente", "esponja", "alvejante"],
+             "padaria": ["pao", "bolo", "biscoito", "torrada"]}
+    rows, i = [], 0
+    for label, vocab in words.items():
+        for k in range(40):
+            rows.append((i, f"{vocab[k % 4]} {vocab[(k + 1) % 4]} marca {k % 7} embalagem {k % 3}", label))
+            i += 1
+    df = spark.createDataFrame(rows, "id int, text string, label string")
+    train, test = df.where("id % 5 <> 0"), df.where("id % 5 = 0")
+    scored = score(train_classifier(train, "id", "label", kind="svm"), test, "id", "label")
+    assert accuracy(scored).first().accuracy > 0.95
+    confs = [r.conf for r in scored.collect()]
+    assert all(0 < c <= 1 for c in confs)
