@@ -140,8 +140,10 @@ def feature_importance_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def assemble_forecasts(preds: DataFrame) -> DataFrame:
-    """M7: one row per date with one prediction column per label."""
-    return preds.groupBy("DATA").pivot("series").agg(F.first("PREVISAO"))
+    """M7: one row per date with one prediction column per label (labels from the registry,
+    so the pivot needs no extra pass to discover them)."""
+    from tillwise.plans.retail import LABELS
+    return preds.groupBy("DATA").pivot("series", list(LABELS)).agg(F.first("PREVISAO"))
 
 
 def run_cost_forecast_job(spark: SparkSession, sf_dir: str, target_base: str, as_of: str = COST_AS_OF) -> int:
@@ -173,3 +175,8 @@ def run_retail_forecast_job(spark: SparkSession, sf_dir: str, run_log_path: str)
     rows = run_log_rows(best.join(F.broadcast(grid), "param_id"), FORECAST_AS_OF, ["param_id", *grid_cols], METRICS)
     append_run_log(rows, run_log_path)
     return preds
+
+
+def gbt_forecast_wide_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: the test-month forecast assembled per date, one prediction column per label."""
+    return assemble_forecasts(_trained_gbt(spark, sf_dir)[0])

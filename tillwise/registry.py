@@ -92,6 +92,7 @@ register("additive_forecast", models.additive_forecast_q)
 register("cost_forecast", models.cost_forecast_q)
 register("gbt_forecast", models.gbt_forecast_q)
 register("feature_importance", models.feature_importance_q)
+register("gbt_forecast_wide", models.gbt_forecast_wide_q)
 register("text_classifier", text.text_classifier_q)
 register("classifier_threshold", text.classifier_threshold_q)
 register("text_classifier_gbt", text.text_classifier_gbt_q)
