@@ -30,6 +30,8 @@ def test_every_query_has_a_builder():
 
 
 def test_entry_smoke(spark):
+    from tillwise.operators.calendar_features import CALENDAR_FEATURE_COLUMNS
     df = entry.entry(spark)
     assert df.count() > 0
-    assert {"DATA", "VALOR_TOTAL", "PIX_CATEG", "FERIADO"} <= set(df.columns)
+    assert df.columns == CALENDAR_FEATURE_COLUMNS + ["PIX_CATEG", "VLR_SMART_PIX", "VLR_TOTAL_PIX",
+                                                     "VALOR_TOTAL", "VALOR_SMART_TOTAL"]

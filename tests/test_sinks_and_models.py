@@ -125,3 +125,13 @@ def test_gbt_recovers_planted_weekday_effect(spark):
     model = estimator(DEFAULT_GRID[0], ["SEX", "SAB"]).fit(df)
     pred = {(r.SEX, r.SAB): r.prediction for r in model.transform(df).select("SEX", "SAB", "prediction").distinct().collect()}
     assert abs(pred[(1.0, 0.0)] - 180) < 10 and abs(pred[(0.0, 1.0)] - 40) < 10 and abs(pred[(0.0, 0.0)] - 100) < 10
+
+
+def test_run_log_schema(spark):
+    from tillwise.sources.sinks import RUN_LOG_SCHEMA, run_log_rows
+    best = spark.createDataFrame([("s", 7, 1.0, 2.0)], "series string, lag int, MAE double, R2 double")
+    rows = run_log_rows(best, "2001-07-15", ["lag"], ["MAE", "R2"])
+    assert [(f.name, f.dataType.simpleString()) for f in rows.schema.fields] == \
+        [(f.name, f.dataType.simpleString()) for f in RUN_LOG_SCHEMA.fields]
+    r = rows.first()
+    assert r.params == {"lag": "7"} and r.metrics == {"MAE": 1.0, "R2": 2.0} and len(r.run_id) == 16

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.calendar import (REGIONAL_HOLIDAYS, calendar_between, holidays_for_years,
                                          literal_bounds, years_between)
+from tillwise.functions.columns import not_null_flag
 from tillwise.operators.calendar_features import calendar_features
 from tillwise.operators.cohort import daily_values_by_segment, same_store_panel, store_day_values
 from tillwise.sources import fixtures
@@ -70,7 +71,7 @@ def abt_daily(spark: SparkSession, sf_dir: str, as_of: str = COHORT_AS_OF,
     value_cols = ["VLR_SMART_PIX", "VLR_TOTAL_PIX", "VALOR_TOTAL", "VALOR_SMART_TOTAL"]
     table = out.select(
         *[feats[c] for c in feats.columns],
-        F.col("VLR_TOTAL_PIX").isNotNull().cast("int").alias("PIX_CATEG"),
+        not_null_flag(F.col("VLR_TOTAL_PIX")).alias("PIX_CATEG"),
         *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in value_cols],
     ).orderBy("DATA")
     return table

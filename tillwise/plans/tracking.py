@@ -77,9 +77,6 @@ def _retail_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long_series(abt_daily(spark, sf_dir, as_of=FORECAST_AS_OF, start=ABT_START, persist=True))
 
 
-FORECAST_COLS = ["data", "previsao", "real", "previsao_superior", "previsao_inferior"]
-
-
 def forecast_rows(fc: DataFrame) -> DataFrame:
     """M12 shape: target table columns, lower band clipped at 0 (NULL kept)."""
     return fc.select("data", "previsao", "real", "previsao_superior",
