@@ -63,3 +63,33 @@ def test_read_holiday_table(spark, tmp_path):
         .write.mode("overwrite").saveAsTable("tw_hol.feriados")
     assert [tuple(r) for r in read_holiday_table(spark, "tw_hol.feriados").collect()] == \
         [(dt.date(2024, 1, 1), "Confraternizacao Universal")]
+
+
+def test_build_abt_from_catalog_tables(spark, tmp_path):
+    """The switch path: original-named catalog tables -> build_abt, same result as the fixture run."""
+    from tests.conftest import SF001
+    from tillwise.functions.calendar import calendar_between, holidays_for_years, literal_bounds, years_between
+    from tillwise.plans.abt import abt_daily, build_abt
+    from tillwise.sources import fixtures
+    from tillwise.sources.tables import (Tables, read_calendar_table, read_client_table, read_holiday_table,
+                                         read_transactions_table)
+    t = Tables(spark, SF001)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tw_src LOCATION '{tmp_path}/src'")
+    fixtures.transactions(t).selectExpr("store AS CODLOJASITEF", "anomes AS NUMANOMES", "data_trn AS DATA_TRN",
+                                        "tipo AS TIPO_TRANSACAO", "valor AS VALOR") \
+        .write.mode("overwrite").saveAsTable("tw_src.resumo")
+    fixtures.client_dim(t).selectExpr("codcliend", "segment AS DESUNDNGCCLI").write.mode("overwrite").saveAsTable("tw_src.cli")
+    bounds = literal_bounds(spark, "1995-01-01", "2001-12-31")
+    calendar_between(bounds).selectExpr(
+        "data AS Data", "dia AS Dia", "ano_mes AS numero_do_ano_mes", "semana_ano AS Semanas_do_Ano",
+        "dow AS numero_do_dia_da_semana", "primeiro_dia AS flag_primeiro_dia_do_mes",
+        "ultimo_dia AS flag_ultimo_dia_do_mes", "semana_mes AS numero_da_semana_no_mes") \
+        .write.mode("overwrite").saveAsTable("tw_src.dim_pod")
+    holidays_for_years(years_between(bounds)).selectExpr("data AS DATA", "holiday") \
+        .write.mode("overwrite").saveAsTable("tw_src.feriados")
+    got = build_abt(read_transactions_table(spark, "tw_src.resumo"), read_client_table(spark, "tw_src.cli"),
+                    read_calendar_table(spark, "tw_src.dim_pod"), read_holiday_table(spark, "tw_src.feriados"),
+                    as_of="2001-12-15")
+    exp = abt_daily(spark, SF001, as_of="2001-12-15")
+    assert got.columns == exp.columns
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0

@@ -49,32 +49,47 @@ def data_span_dims(t: Tables) -> tuple[DataFrame, DataFrame]:
     return calendar_between(bounds), holidays_for_years(years_between(bounds))
 
 
-def abt_daily(spark: SparkSession, sf_dir: str, as_of: str = COHORT_AS_OF,
-              start: str = ABT_START, persist: bool = False) -> DataFrame:
-    """Calendar features for ``[start, last_day(as_of)]`` + cohort daily values, zero-filled.
-
-    ``PIX_CATEG`` is 1 when the day has any cohort transaction (the Pix sum
-    is a CASE ... ELSE 0 sum, so it is NULL only when the day has no row).
+def build_abt(transactions: DataFrame, client_dim: DataFrame, calendar: DataFrame, holidays: DataFrame,
+              as_of: str, start: str = ABT_START) -> DataFrame:
+    """C8 on caller-supplied tables: calendar features for ``[start, last_day(as_of)]`` plus
+    the same-store cohort's daily values, zero-filled.
+
+    ``transactions``: store, anomes, data_trn (yyyyMMdd), tipo, valor;
+    ``client_dim``: codcliend, segment; ``calendar``/``holidays`` as produced by
+    ``sources.tables.read_calendar_table`` / ``read_holiday_table`` (or generated).
+    ``PIX_CATEG`` is 1 when the day has any cohort transaction (the Pix sum is a
+    CASE ... ELSE 0 sum, so it is NULL only when the day has no row).
     """
-    if persist:  # one persisted feature table per (application, input, dates), shared by the model jobs
-        return per_application(spark, ("abt", sf_dir, as_of, start),
-                               lambda: abt_daily(spark, sf_dir, as_of, start, persist=False)
-                               .persist(StorageLevel.MEMORY_AND_DISK))
-    t = Tables(spark, sf_dir)
     as_of_c = F.to_date(F.lit(as_of))
-    feats = calendar_feature_table(spark, start, as_of)
-    days = store_day_values(fixtures.transactions(t))
-    cohort = same_store_panel(fixtures.client_dim(t), days, as_of_c)
+    hol = holidays.select(F.col(holidays.columns[0]).cast("date").alias("data"), "holiday")
+    feats = calendar_features(calendar, hol, start=F.to_date(F.lit(start)), end=F.last_day(as_of_c))
+    return _with_values(feats, transactions, client_dim, as_of_c)
+
+
+def _with_values(feats: DataFrame, transactions: DataFrame, client_dim: DataFrame, as_of_c) -> DataFrame:
+    days = store_day_values(transactions)
+    cohort = same_store_panel(client_dim, days, as_of_c)
     values = daily_values_by_segment(days, cohort).withColumn(
         "DATA_V", F.to_date("data_trn", "yyyyMMdd")).drop("data_trn")
     out = feats.join(values, feats["DATA"] == values["DATA_V"], "left")
     value_cols = ["VLR_SMART_PIX", "VLR_TOTAL_PIX", "VALOR_TOTAL", "VALOR_SMART_TOTAL"]
-    table = out.select(
+    return out.select(
         *[feats[c] for c in feats.columns],
         not_null_flag(F.col("VLR_TOTAL_PIX")).alias("PIX_CATEG"),
         *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in value_cols],
     ).orderBy("DATA")
-    return table
+
+
+def abt_daily(spark: SparkSession, sf_dir: str, as_of: str = COHORT_AS_OF,
+              start: str = ABT_START, persist: bool = False) -> DataFrame:
+    """C8 on the supplied test tables with a rule-generated calendar (see ``build_abt``)."""
+    if persist:  # one persisted feature table per (application, input, dates), shared by the model jobs
+        return per_application(spark, ("abt", sf_dir, as_of, start),
+                               lambda: abt_daily(spark, sf_dir, as_of, start, persist=False)
+                               .persist(StorageLevel.MEMORY_AND_DISK))
+    t = Tables(spark, sf_dir)
+    feats = calendar_feature_table(spark, start, as_of)
+    return _with_values(feats, fixtures.transactions(t), fixtures.client_dim(t), F.to_date(F.lit(as_of)))
 
 
 def same_store_panel_q(spark: SparkSession, sf_dir: str, as_of: str = COHORT_AS_OF) -> DataFrame:

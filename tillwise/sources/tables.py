@@ -81,3 +81,37 @@ def read_holiday_table(spark: SparkSession, name: str, date_col: str = "DATA",
     from pyspark.sql import functions as F
 
     return spark.table(name).select(F.col(date_col).cast("date").alias("ds"), F.col(name_col).alias("holiday"))
+
+
+# Column names of the original source tables, mapped to this
+# package's names (transactions, client dimension, calendar dimension).
+TRANSACTION_COLUMNS = {"CODLOJASITEF": "store", "NUMANOMES": "anomes", "DATA_TRN": "data_trn",
+                       "TIPO_TRANSACAO": "tipo", "VALOR": "valor"}
+CLIENT_COLUMNS = {"codcliend": "codcliend", "DESUNDNGCCLI": "segment"}
+CALENDAR_COLUMNS = {"Data": "data", "Dia": "dia", "numero_do_ano_mes": "ano_mes", "Semanas_do_Ano": "semana_ano",
+                    "numero_do_dia_da_semana": "dow", "flag_primeiro_dia_do_mes": "primeiro_dia",
+                    "flag_ultimo_dia_do_mes": "ultimo_dia", "numero_da_semana_no_mes": "semana_mes"}
+
+
+def _renamed(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    lower = {c.lower(): c for c in df.columns}
+    return df.select(*[F.col(lower[src.lower()]).alias(dst) for src, dst in mapping.items()])
+
+
+def read_transactions_table(spark: SparkSession, name: str) -> DataFrame:
+    """A catalog transaction table under its original column names."""
+    return _renamed(spark.table(name), TRANSACTION_COLUMNS)
+
+
+def read_client_table(spark: SparkSession, name: str) -> DataFrame:
+    return _renamed(spark.table(name), CLIENT_COLUMNS)
+
+
+def read_calendar_table(spark: SparkSession, name: str) -> DataFrame:
+    """A catalog calendar dimension (dow 1 = Sunday) under its original column names."""
+    from pyspark.sql import functions as F
+
+    df = _renamed(spark.table(name), CALENDAR_COLUMNS)
+    return df.withColumn("data", F.col("data").cast("date"))
