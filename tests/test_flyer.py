@@ -104,3 +104,21 @@ def test_missing_slot_drops_that_position(spark):
                                   "name string, x int, y int")
     assert [(r.slot, r.codmersrr) for r in FL.flyer_feed(best, cat, prices, slots).orderBy("slot").collect()] == \
         [(1, "intenal_0"), (3, "intenal_2")]
+
+
+def test_flyer_with_rank_order_from_catalog(spark, tmp_path):
+    from tillwise.sources.tables import read_best_sellers_table, read_catalogue_table
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tw_fly LOCATION '{tmp_path}/fly'")
+    spark.createDataFrame([(1, "intenal_5", 2), (1, "intenal_7", 1)], "CODCLI long, CODMERSRR string, POS int") \
+        .write.mode("overwrite").saveAsTable("tw_fly.mais_vendidos")
+    spark.createDataFrame([("intenal_5", "cinco", "http://i/5.jpeg"), ("intenal_7", "sete", "http://i/7.jpeg")],
+                          "IDPRODUTO string, DESCPRODUTO string, URL_IMAGEM string") \
+        .write.mode("overwrite").saveAsTable("tw_fly.sup_produtos")
+    best = read_best_sellers_table(spark, "tw_fly.mais_vendidos", "POS")
+    prices = spark.createDataFrame([(1, "intenal_5", 2.0, None, "priced"), (1, "intenal_7", 3.0, None, "priced")],
+                                   "codcli long, codmersrr string, preco double, preco_cx double, status string")
+    slots = spark.createDataFrame([(f"{k}_{i}", i, i) for i in (1, 2) for k in ("imagem", "nome", "preco")],
+                                  "name string, x int, y int")
+    feed = FL.flyer_feed(best, read_catalogue_table(spark, "tw_fly.sup_produtos"), prices, slots,
+                         order=[F.col("rank")]).orderBy("slot").collect()
+    assert [r.codmersrr for r in feed] == ["intenal_7", "intenal_5"]

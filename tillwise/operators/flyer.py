@@ -208,7 +208,7 @@ def price_text(preco: Column, preco_cx: Column, status: Column) -> Column:
 
 
 def flyer_feed(best: DataFrame, catalogue: DataFrame, prices: DataFrame, slots: DataFrame,
-               keep_missing: bool = False) -> DataFrame:
+               keep_missing: bool = False, order: list[Column] | None = None) -> DataFrame:
     """First eight valid products per customer with slot, caption, price text, image URL.
 
     Valid = priced.  ``keep_missing=True`` also keeps products absent from the
@@ -221,7 +221,9 @@ def flyer_feed(best: DataFrame, catalogue: DataFrame, prices: DataFrame, slots:
          .join(prices, keys, "left")
          .withColumn("status", F.coalesce(F.col("status"), F.lit(MISSING))))
     valid = (F.col("status") == PRICED) | ((F.col("status") == MISSING) if keep_missing else F.lit(False))
-    w = Window.partitionBy("codcli").orderBy(F.col("qty").desc(), F.col("partkey").asc())
+    # best-seller order: quantity, then part key; a list stored as ranks passes ``order=[F.col("rank")]``
+    order = order or [F.col("qty").desc(), F.col("partkey").asc()]
+    w = Window.partitionBy("codcli").orderBy(*order)
     top = (p.where(valid).withColumn("slot", F.row_number().over(w))
            .where(F.col("slot") <= MAX_PRODUCTS))
     url = F.concat(F.expr("substring(url_imagem, 1, length(url_imagem) - 5)"), F.lit("100x"))

@@ -83,11 +83,15 @@ def global_cost_series(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("ds", F.col("custo").alias("y"), "dbus", "sku", "workspace_id"))
 
 
-def write_billing_tables(spark: SparkSession, sf_dir: str, database: str) -> None:
+def write_billing_tables(spark: SparkSession, sf_dir: str | None, database: str,
+                         usage: DataFrame | None = None, prices: DataFrame | None = None) -> None:
     """Billing job sinks (S9): row-level priced usage and the daily sums, each in its own
-    table named for what it holds (the original stored the row-level frame under a 'daily' name)."""
+    table named for what it holds (the original stored the row-level frame under a 'daily' name).
+
+    ``usage`` / ``prices`` take the billing system tables as they are (same column
+    names); without them the test-data stand-ins under ``sf_dir`` are used."""
     from tillwise.sources.sinks import overwrite_table
 
-    priced = _priced(spark, sf_dir)
+    priced = _priced(spark, sf_dir) if usage is None else price_usage(usage, prices)
     overwrite_table(priced.drop("dbus_dec", "custo_dec"), f"{database}.priced_usage")
     overwrite_table(daily_with_rollup(priced), f"{database}.daily_cost")

@@ -88,6 +88,8 @@ def read_holiday_table(spark: SparkSession, name: str, date_col: str = "DATA",
 TRANSACTION_COLUMNS = {"CODLOJASITEF": "store", "NUMANOMES": "anomes", "DATA_TRN": "data_trn",
                        "TIPO_TRANSACAO": "tipo", "VALOR": "valor"}
 CLIENT_COLUMNS = {"codcliend": "codcliend", "DESUNDNGCCLI": "segment"}
+BEST_SELLER_COLUMNS = {"CODCLI": "codcli", "CODMERSRR": "codmersrr"}
+CATALOGUE_COLUMNS = {"IDPRODUTO": "idproduto", "DESCPRODUTO": "descproduto", "URL_IMAGEM": "url_imagem"}
 CALENDAR_COLUMNS = {"Data": "data", "Dia": "dia", "numero_do_ano_mes": "ano_mes", "Semanas_do_Ano": "semana_ano",
                     "numero_do_dia_da_semana": "dow", "flag_primeiro_dia_do_mes": "primeiro_dia",
                     "flag_ultimo_dia_do_mes": "ultimo_dia", "numero_da_semana_no_mes": "semana_mes"}
@@ -115,3 +117,13 @@ def read_calendar_table(spark: SparkSession, name: str) -> DataFrame:
 
     df = _renamed(spark.table(name), CALENDAR_COLUMNS)
     return df.withColumn("data", F.col("data").cast("date"))
+
+
+def read_best_sellers_table(spark: SparkSession, name: str, rank_col: str) -> DataFrame:
+    """Best-seller list (customer, product) with its explicit ranking column as ``rank``
+    (a table has no row order; pass ``order=[F.col("rank")]`` to the flyer feed)."""
+    return _renamed(spark.table(name), {**BEST_SELLER_COLUMNS, rank_col: "rank"})
+
+
+def read_catalogue_table(spark: SparkSession, name: str) -> DataFrame:
+    return _renamed(spark.table(name), CATALOGUE_COLUMNS)
