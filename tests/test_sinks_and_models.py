@@ -135,3 +135,14 @@ def test_run_log_schema(spark):
         [(f.name, f.dataType.simpleString()) for f in RUN_LOG_SCHEMA.fields]
     r = rows.first()
     assert r.params == {"lag": "7"} and r.metrics == {"MAE": 1.0, "R2": 2.0} and len(r.run_id) == 16
+
+
+def test_cost_job_on_system_tables(spark, tmp_path):
+    from tests.conftest import SF001
+    from tillwise.plans.models import run_cost_forecast_job
+    from tillwise.sources import fixtures
+    from tillwise.sources.tables import Tables
+    t = Tables(spark, SF001)
+    base = str(tmp_path / "fc_sys")
+    assert run_cost_forecast_job(spark, None, base, usage=fixtures.usage(t), prices=fixtures.list_prices(t)) == 0
+    assert VersionedTable(spark, base).read().count() == 30

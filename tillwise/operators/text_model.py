@@ -163,3 +163,11 @@ def score(models, df: DataFrame, id_col: str, label_col: str) -> DataFrame:
 def accuracy(scored: DataFrame) -> DataFrame:
     """Share of correct predictions."""
     return scored.agg(F.avg("correct").alias("accuracy"), F.count(F.lit(1)).alias("n"))
+
+
+def classify_texts(labelled: DataFrame, id_col: str, text_col: str, label_col: str,
+                   kind: str = "svm", test_percent: int = 20) -> DataFrame:
+    """S4 + M13-M16 on any labelled text table: hash split, train on the rest, score the held-out rows."""
+    docs = split_holdout(labelled.select(id_col, F.col(text_col).alias("text"), label_col), id_col, test_percent)
+    train, test = docs.where(~F.col("is_test")), docs.where(F.col("is_test"))
+    return score(train_classifier(train, id_col, label_col, kind=kind), test, id_col, label_col)

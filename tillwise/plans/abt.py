@@ -117,3 +117,13 @@ def holiday_union_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     regional = spark.createDataFrame(REGIONAL_HOLIDAYS, "ds string, holiday string").select(
         F.to_date("ds").alias("ds"), "holiday")
     return regional.unionByName(hol.select(F.col("data").alias("ds"), "holiday"))
+
+
+def holidays_for_span(df: DataFrame, date_col: str) -> DataFrame:
+    """U1 for any dated frame: regional fixed holidays + generated holidays of the years it spans."""
+    spark = df.sparkSession
+    bounds = df.agg(F.min(date_col).cast("date").alias("start"), F.max(date_col).cast("date").alias("end"))
+    hol = holidays_for_years(years_between(bounds))
+    regional = spark.createDataFrame(REGIONAL_HOLIDAYS, "ds string, holiday string").select(
+        F.to_date("ds").alias("ds"), "holiday")
+    return regional.unionByName(hol.select(F.col("data").alias("ds"), "holiday"))

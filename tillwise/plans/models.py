@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tillwise.functions.columns import clip_below_zero
 from tillwise.operators import additive
 from tillwise.operators.upsert import merge_frames
-from tillwise.plans.abt import ABT_START, abt_daily, holiday_union_q
+from tillwise.plans.abt import ABT_START, abt_daily, holiday_union_q, holidays_for_span
 from tillwise.plans.billing import global_cost_series
 from tillwise.plans.retail import FORECAST_AS_OF, long_series
 from tillwise.session import per_application
@@ -54,7 +54,7 @@ def cost_forecast_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E2 end to end: priced usage -> 'ALL' daily cost -> tune -> refit -> result rows merged
     into a target holding last run's rows (the upsert's output)."""
     series = global_cost_series(spark, sf_dir).select(F.lit("ALL").alias("series"), "ds", "y")
-    hol = holiday_union_q(spark, sf_dir)
+    hol = holidays_for_span(series, "ds")
     hist = additive.prepare_history(series, hol, COST_AS_OF).cache()
     best = additive.best_parameters(additive.tune(hist, COST_AS_OF, holdout_days=COST_HOLDOUT_DAYS))
     fc = additive.forecast(hist, best, hol)
@@ -146,15 +146,25 @@ def assemble_forecasts(preds: DataFrame) -> DataFrame:
     return preds.groupBy("DATA").pivot("series", list(LABELS)).agg(F.first("PREVISAO"))
 
 
-def run_cost_forecast_job(spark: SparkSession, sf_dir: str, target_base: str, as_of: str = COST_AS_OF) -> int:
+def run_cost_forecast_job(spark: SparkSession, sf_dir: str | None, target_base: str, as_of: str = COST_AS_OF,
+                          usage: DataFrame | None = None, prices: DataFrame | None = None,
+                          holdout_days: int = COST_HOLDOUT_DAYS) -> int:
     """E2 as a job: tune, refit and forecast the 'ALL' cost series, keep rows dated on or
-    after ``as_of`` and MERGE them into the versioned target table on ``data`` (S10)."""
+    after ``as_of`` and MERGE them into the versioned target table on ``data`` (S10).
+    ``usage`` / ``prices`` take the billing system tables as they are; with a long
+    history use the original 31-day holdout."""
     from tillwise.operators.upsert import VersionedTable
-
-    series = global_cost_series(spark, sf_dir).select(F.lit("ALL").alias("series"), "ds", "y")
-    hol = holiday_union_q(spark, sf_dir)
+    from tillwise.plans.billing import ALL, daily_with_rollup, price_usage
+
+    if usage is None:
+        daily = global_cost_series(spark, sf_dir)
+    else:
+        daily = (daily_with_rollup(price_usage(usage, prices)).where(F.col("sku") == ALL)
+                 .select("ds", F.col("custo").alias("y")))
+    series = daily.select(F.lit("ALL").alias("series"), "ds", "y")
+    hol = holidays_for_span(series, "ds")
     hist = additive.prepare_history(series, hol, as_of).cache()
-    best = additive.best_parameters(additive.tune(hist, as_of, holdout_days=COST_HOLDOUT_DAYS))
+    best = additive.best_parameters(additive.tune(hist, as_of, holdout_days=holdout_days))
     source = forecast_result(additive.forecast(hist, best, hol), hist, as_of)
     return VersionedTable(spark, target_base).upsert(source, ["data"])
 

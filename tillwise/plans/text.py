@@ -63,10 +63,7 @@ def _classifier_scores(spark: SparkSession, sf_dir: str, kind: str = "svm") -> D
     from tillwise.operators import text_model as TM
 
     def build():
-        docs = TM.split_holdout(_documents(spark, sf_dir).select("doc_id", "text", "lang"), "doc_id")
-        train, test = docs.where(~F.col("is_test")), docs.where(F.col("is_test"))
-        models = TM.train_classifier(train, "doc_id", "lang", kind=kind)
-        return TM.score(models, test, "doc_id", "lang").persist()
+        return TM.classify_texts(_documents(spark, sf_dir), "doc_id", "text", "lang", kind=kind).persist()
 
     return per_application(spark, ("text_classifier", sf_dir, kind), build)
 
