@@ -59,17 +59,22 @@ def cross_validate(trains: dict[str, DataFrame], features: dict[str, list[str]],
     ``fold`` column; the fits of all series, parameter sets and folds share
     one pool of ``parallelism`` concurrent Spark jobs."""
 
-    def one(job: tuple[str, int, int]) -> DataFrame:
+    def one(job: tuple[str, int, int]) -> DataFrame | None:
         series, pid, fold = job
         train = trains[series]
-        model = estimator(grid[pid], features[series]).fit(train.where(F.col("fold") != fold))
+        try:
+            model = estimator(grid[pid], features[series]).fit(train.where(F.col("fold") != fold))
+        except Exception:  # e.g. a Tweedie GLM on an all-zero series: this candidate drops out
+            return None
         pred = model.transform(train.where(F.col("fold") == fold))
         return pred.select(F.lit(series).alias("series"), F.lit(pid).alias("param_id"),
                            F.lit(fold).alias("fold"), "y", F.col("prediction").alias("yhat"))
 
     jobs = [(s_, p, f) for s_ in trains for p in range(len(grid)) for f in range(k)]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        preds = list(pool.map(one, jobs))
+        preds = [p for p in pool.map(one, jobs) if p is not None]
+    if not preds:
+        raise ValueError("no grid candidate could be fitted on any series")
     allp = reduce(DataFrame.unionByName, preds)
     return regression_metrics(allp, ["series", "param_id", "fold"])
 
@@ -84,9 +89,11 @@ def choose(means: DataFrame, refit: str, keys: list[str] | None = None) -> DataF
     """Best parameter set by the refit metric (direction per metric; ties -> lowest id)."""
     keys = keys or []
     score = F.col(refit) if LOWER_IS_BETTER[refit] else -F.col(refit)
+    # an undefined refit metric (MAPE of an all-zero series) ranks last; MAE then decides
+    score = F.coalesce(score, F.lit(float("inf")))
     payload = F.struct("param_id", *METRICS)
-    b = means.where(F.col(refit).isNotNull()).groupBy(*keys).agg(
-        F.min_by(payload, F.struct(score, F.col("param_id"))).alias("b"))
+    b = means.groupBy(*keys).agg(
+        F.min_by(payload, F.struct(score, F.coalesce(F.col("MAE"), F.lit(float("inf"))), F.col("param_id"))).alias("b"))
     return b.select(*keys, "b.*")
 
 

@@ -64,17 +64,21 @@ def cost_forecast_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- boosted trees (M1-M7)
-def retail_model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long rows of every label with model features: date parts, outlier class, train folds."""
-    from tillwise.plans.retail import _split_long, add_date_parts, add_folds, add_outlier
-    df = add_outlier(_split_long(spark, sf_dir))
+def retail_model_frame(spark: SparkSession, sf_dir: str | None, abt: DataFrame | None = None,
+                       as_of: str = FORECAST_AS_OF) -> DataFrame:
+    """Long rows of every label with model features: date parts, outlier class, train folds.
+    ``abt`` takes a feature table built by the caller (``build_abt``); else the test data's."""
+    from tillwise.plans.retail import _split_long, add_date_parts, add_folds, add_outlier, split_months
+    split = _split_long(spark, sf_dir) if abt is None else split_months(long_series(abt), as_of)
+    df = add_outlier(split)
     df = add_date_parts(df, ["series", "split"])
     train = add_folds(df.where(F.col("split") == "train"))
     test = df.where(F.col("split") == "test").withColumn("fold", F.lit(-1))
     return train.unionByName(test)
 
 
-def train_retail_gbt(spark: SparkSession, sf_dir: str, grid: list[dict] | None = None):
+def train_retail_gbt(spark: SparkSession, sf_dir: str | None, grid: list[dict] | None = None,
+                     abt: DataFrame | None = None, as_of: str = FORECAST_AS_OF):
     """Per label: CV over the grid, refit the winner on all training days, score the test month.
 
     Returns (predictions, importances, fold-mean metrics) DataFrames."""
@@ -83,7 +87,7 @@ def train_retail_gbt(spark: SparkSession, sf_dir: str, grid: list[dict] | None =
     from tillwise.operators import boosted
     from tillwise.plans.retail import LABELS, feature_columns
     grid = grid or boosted.DEFAULT_GRID
-    base = retail_model_frame(spark, sf_dir).cache()
+    base = retail_model_frame(spark, sf_dir, abt, as_of).cache()
     n_rows = base.count()
     # partitions sized by rows: per-task overhead dominates fits on small frames
     frame = base.repartition(max(1, -(-n_rows // ROWS_PER_PARTITION))).cache()
@@ -96,13 +100,14 @@ def train_retail_gbt(spark: SparkSession, sf_dir: str, grid: list[dict] | None =
     chosen = {}
     for label, spec in LABELS.items():
         row = boosted.choose(means.where(F.col("series") == label), spec["refit"]).first()
-        chosen[label] = int(row["param_id"])
+        if row is not None:  # a series where no candidate could be fitted gets no model
+            chosen[label] = int(row["param_id"])
 
     def refit(label: str):
         return label, boosted.estimator(grid[chosen[label]], feats[label]).fit(trains[label])
 
-    with ThreadPoolExecutor(max_workers=len(LABELS)) as pool:
-        models_ = dict(pool.map(refit, list(LABELS)))
+    with ThreadPoolExecutor(max_workers=max(1, len(chosen))) as pool:
+        models_ = dict(pool.map(refit, list(chosen)))
     preds, imps = [], []
     for label, model in models_.items():
         test = frames[label].where(F.col("split") == "test")
@@ -169,20 +174,25 @@ def run_cost_forecast_job(spark: SparkSession, sf_dir: str | None, target_base:
     return VersionedTable(spark, target_base).upsert(source, ["data"])
 
 
-def run_retail_forecast_job(spark: SparkSession, sf_dir: str, run_log_path: str) -> DataFrame:
+def run_retail_forecast_job(spark: SparkSession, sf_dir: str | None, run_log_path: str,
+                            abt: DataFrame | None = None, as_of: str = FORECAST_AS_OF) -> DataFrame:
     """E1 as a job: per label, grid search on contiguous folds, refit, score the test month;
-    the chosen parameters and their fold-mean metrics are appended to the run log (S12)."""
+    the chosen parameters and their fold-mean metrics are appended to the run log (S12).
+    ``abt`` takes the caller's feature table (``build_abt``); else the test data's."""
     from tillwise.operators.boosted import DEFAULT_GRID, METRICS
     from tillwise.sources.sinks import append_run_log, run_log_rows
 
-    preds, _, means = _trained_gbt(spark, sf_dir)
+    if abt is None:
+        preds, _, means = _trained_gbt(spark, sf_dir)
+    else:
+        preds, _, means = train_retail_gbt(spark, None, abt=abt, as_of=as_of)
     chosen = preds.select("series", "param_id").distinct()
     best = means.join(chosen, ["series", "param_id"])
     grid_cols = sorted({k for g in DEFAULT_GRID for k in g})
     grid = spark.createDataFrame(
         [(i, *[str(g.get(k, "")) for k in grid_cols]) for i, g in enumerate(DEFAULT_GRID)],
         ", ".join(["param_id int"] + [f"{k} string" for k in grid_cols]))
-    rows = run_log_rows(best.join(F.broadcast(grid), "param_id"), FORECAST_AS_OF, ["param_id", *grid_cols], METRICS)
+    rows = run_log_rows(best.join(F.broadcast(grid), "param_id"), as_of, ["param_id", *grid_cols], METRICS)
     append_run_log(rows, run_log_path)
     return preds
 
