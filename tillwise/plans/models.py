@@ -175,24 +175,26 @@ def run_cost_forecast_job(spark: SparkSession, sf_dir: str | None, target_base:
 
 
 def run_retail_forecast_job(spark: SparkSession, sf_dir: str | None, run_log_path: str,
-                            abt: DataFrame | None = None, as_of: str = FORECAST_AS_OF) -> DataFrame:
+                            abt: DataFrame | None = None, as_of: str = FORECAST_AS_OF,
+                            grid: list[dict] | None = None) -> DataFrame:
     """E1 as a job: per label, grid search on contiguous folds, refit, score the test month;
     the chosen parameters and their fold-mean metrics are appended to the run log (S12).
     ``abt`` takes the caller's feature table (``build_abt``); else the test data's."""
     from tillwise.operators.boosted import DEFAULT_GRID, METRICS
     from tillwise.sources.sinks import append_run_log, run_log_rows
 
-    if abt is None:
+    grid = grid or DEFAULT_GRID  # boosted.FULL_GRID is the original 54-combination search space
+    if abt is None and grid is DEFAULT_GRID:
         preds, _, means = _trained_gbt(spark, sf_dir)
     else:
-        preds, _, means = train_retail_gbt(spark, None, abt=abt, as_of=as_of)
+        preds, _, means = train_retail_gbt(spark, sf_dir, grid=grid, abt=abt, as_of=as_of)
     chosen = preds.select("series", "param_id").distinct()
     best = means.join(chosen, ["series", "param_id"])
-    grid_cols = sorted({k for g in DEFAULT_GRID for k in g})
-    grid = spark.createDataFrame(
-        [(i, *[str(g.get(k, "")) for k in grid_cols]) for i, g in enumerate(DEFAULT_GRID)],
+    grid_cols = sorted({k for g in grid for k in g})
+    grid_df = spark.createDataFrame(
+        [(i, *[str(g.get(k, "")) for k in grid_cols]) for i, g in enumerate(grid)],
         ", ".join(["param_id int"] + [f"{k} string" for k in grid_cols]))
-    rows = run_log_rows(best.join(F.broadcast(grid), "param_id"), as_of, ["param_id", *grid_cols], METRICS)
+    rows = run_log_rows(best.join(F.broadcast(grid_df), "param_id"), as_of, ["param_id", *grid_cols], METRICS)
     append_run_log(rows, run_log_path)
     return preds
 
