@@ -61,8 +61,8 @@ def test_queue_is_ordered():
     for rank, at in put:
         queue.push(rank, at)
     out = []
-    while (rank := queue.lowest()) >= 0:
-        out.append((rank, queue.pop(rank)))
+    while queue.top:
+        out.append(queue.pop())
     assert out == sorted(put)
 
 

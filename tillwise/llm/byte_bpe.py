@@ -1,9 +1,9 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 A pre-token's bytes are a linked list.  Adjacent pairs that the vocabulary can
-merge wait in a bucket of their merge rank; a bitmap over the ranks, with a
-bitmap over its words and so on up to one word, gives the lowest waiting rank
-by find-first-set on each level.  A merge changes its two neighbours' pairs;
+merge wait in a bucket of their merge rank; a bitmap over the ranks, under a
+bitmap over its words, gives the lowest waiting rank by find-first-set on each
+level.  A merge changes its two neighbours' pairs;
 entries left behind are stale and skipped when they come up.  A merge costs a
 few word operations however long the pre-token is.
 
@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from tillwise.llm.common import blocks, raw_texts, utf8
 
 #: Pre-tokens that a generation of a worker's cache holds, and the longest it takes (characters).
-CACHE_ROWS, CACHE_LONGEST = 1 << 18, 64
+CACHE_ROWS, CACHE_LONGEST = 1 << 19, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -40,53 +40,43 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Buckets of positions by rank; the lowest rank comes from a tree of 64-bit words."""
+    """Buckets of positions by rank; the lowest rank comes from a bitmap of two levels.
+
+    A word has 256 ranks' bits; the top has a bit for each word.  Find-first-set on the
+    top and then on one word gives the lowest rank.
+    """
+
+    __slots__ = ("buckets", "top", "words")
 
     def __init__(self, ranks: int):
         self.buckets: dict[int, list[int]] = {}
-        self.levels = []
-        while True:
-            ranks = (ranks + 63) // 64
-            self.levels.append([0] * ranks)
-            if ranks == 1:
-                break
+        self.words = [0] * ((ranks >> 8) + 1)
+        self.top = 0
 
     def push(self, rank: int, at: int) -> None:
         bucket = self.buckets.get(rank)
-        if bucket is not None:
+        if bucket is None:
+            self.buckets[rank] = [at]
+            self.words[rank >> 8] |= 1 << (rank & 255)
+            self.top |= 1 << (rank >> 8)
+        else:
             heapq.heappush(bucket, at)
-            return
-        self.buckets[rank] = [at]
-        for level in self.levels:
-            word, bit = rank >> 6, 1 << (rank & 63)
-            seen = level[word]
-            level[word] = seen | bit
-            if seen:
-                break
-            rank = word
-
-    def lowest(self) -> int:
-        """Lowest waiting rank, -1 if none."""
-        word = 0
-        for level in reversed(self.levels):
-            x = level[word]
-            if not x:
-                return -1
-            word = (word << 6) + (x & -x).bit_length() - 1
-        return word
-
-    def pop(self, rank: int) -> int:
+
+    def pop(self) -> tuple[int, int]:
+        """The lowest rank that waits, and the first position of its bucket."""
+        top = self.top
+        w = (top & -top).bit_length() - 1
+        word = self.words[w]
+        rank = (w << 8) + (word & -word).bit_length() - 1
         bucket = self.buckets[rank]
-        at = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            for level in self.levels:
-                word = rank >> 6
-                level[word] &= ~(1 << (rank & 63))
-                if level[word]:
-                    break
-                rank = word
-        return at
+        if len(bucket) > 1:
+            return rank, heapq.heappop(bucket)
+        del self.buckets[rank]
+        word &= word - 1
+        self.words[w] = word
+        if not word:
+            self.top = top & (top - 1)
+        return rank, bucket[0]
 
 
 class Encoder:
@@ -107,15 +97,16 @@ class Encoder:
             return [whole]
         queue, n, get = self.queue, len(piece), ranks.get
         part: list[bytes | None] = [piece[i: i + 1] for i in range(n)]
+        push = queue.push
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         waits = [-1] * n  # rank of the pair that starts here; other entries of the queue are stale
         for i in range(n - 1):
             rank = get(piece[i: i + 2])
             if rank is not None:
                 waits[i] = rank
-                queue.push(rank, i)
-        while (rank := queue.lowest()) >= 0:
-            i = queue.pop(rank)
+                push(rank, i)
+        while queue.top:
+            rank, i = queue.pop()
             if waits[i] != rank:
                 continue
             j = after[i]
@@ -128,14 +119,14 @@ class Encoder:
                 pair = get(part[i] + part[k])
                 if pair is not None:
                     waits[i] = pair
-                    queue.push(pair, i)
+                    push(pair, i)
             if (h := before[i]) >= 0:
                 pair = get(part[h] + part[i])
                 if pair is None:
                     waits[h] = -1
                 elif waits[h] != pair:
                     waits[h] = pair
-                    queue.push(pair, h)
+                    push(pair, h)
         out, i = [], 0
         while i < n:
             out.append(ranks[part[i]])
