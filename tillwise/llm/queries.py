@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import byte_bpe, decontaminate, sharding, simhash_gray
+from tillwise.llm import byte_bpe, decontaminate, quality_rules, sharding, simhash_gray
 from tillwise.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -30,6 +30,12 @@ def op2_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document and whether the base and the certified rules keep it."""
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "judged", keep=["doc_id"])
+    return judged.select("doc_id", "judged.*")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that stand in a window of a benchmark item."""
     found = decontaminate.Decontaminator(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -44,6 +50,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_jump_sharding": op2_jump_sharding,
+    "op4_quality_rules": op4_quality_rules,
     "op5_decontamination": op5_decontamination,
     "op9_simhash": op9_simhash,
 }
