@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import byte_bpe, decontaminate, quality_rules, sharding, simhash_gray
+from tillwise.llm import byte_bpe, decontaminate, pii, quality_rules, sharding, simhash_gray
 from tillwise.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -42,6 +42,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.report().select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text."""
+    found = pii.Extractor(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    seeds, spans = F.col(found.seeds), F.col("spans")
+    base = pii.each_kind(lambda k: seeds[k], lambda k, x: F.struct(F.lit(k).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
+    return found.spans().select("doc_id", *(F.size(seeds[k]).cast("long").alias(f"n_{k}") for k in pii.KINDS), F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(spans).alias("spans"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash_gray.component_ids(table(spark, sf_dir, "documents"))
@@ -52,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jump_sharding": op2_jump_sharding,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontamination": op5_decontamination,
+    "op7_pii": op7_pii,
     "op9_simhash": op9_simhash,
 }
 
