@@ -93,6 +93,27 @@ def raw_texts(col: pa.Array) -> Iterator[bytes]:
         yield bytes(whole[a:b])
 
 
+_BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the rolling hashes' base and of its inverse modulo 2^64, ``n`` at least."""
+    if len(_POWERS.get("up", ())) < n:
+        for name, x in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            steps = np.full(n, x, np.uint64)
+            steps[:1] = 1
+            _POWERS[name] = np.cumprod(steps)
+    return _POWERS["up"], _POWERS["down"]
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Rolling hashes with their bits spread evenly."""
+    for _ in range(2):
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
 def map_batches(df: DataFrame, fn, fields: list[T.StructField], keep: list[str] | None = None) -> DataFrame:
     """Append columns that ``fn(batch) -> list of Arrow arrays`` computes; ``keep`` stays in front."""
     keep = df.columns if keep is None else keep

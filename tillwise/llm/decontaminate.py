@@ -32,17 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import Scratch, blocks, fresh, utf8
+from tillwise.llm.common import Scratch, blocks, fresh, mixed, powers, utf8
 
 SHINGLE = 3
 BITMAP_BITS = 1 << 24
 #: Counts that a task holds before it passes them on.
 HELD = 1 << 18
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2^64
-_BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _STEP = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
-_POWERS: dict[str, np.ndarray] = {}
 
 
 def _lower_words() -> np.ndarray:
@@ -59,22 +56,6 @@ def _lower_words() -> np.ndarray:
 LOWER_WORDS = _lower_words()
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least ``n``."""
-    if len(_POWERS.get("up", ())) < n:
-        for name, x in (("up", _BASE), ("down", _BACK)):
-            steps = np.full(n, x, np.uint64)
-            steps[:1] = 1
-            _POWERS[name] = np.cumprod(steps)
-    return _POWERS["up"], _POWERS["down"]
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(32))
-
-
 class Words:
     """Words and shingle hashes of consecutive texts that lie in one buffer."""
 
@@ -90,9 +71,9 @@ class Words:
         self.start = np.flatnonzero(after & (~before | edge))
         self.end = np.flatnonzero(before & (~after | edge))
         self.first = np.searchsorted(self.start, cuts)  # each text's first word
-        up, down = _powers(n + 1)
+        up, down = powers(n + 1)
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self.bytes * up[:n], dtype=np.uint64)))
-        self.hash = _mixed((sums[self.end] - sums[self.start]) * down[self.start])
+        self.hash = mixed((sums[self.end] - sums[self.start]) * down[self.start])
         self.text_of = np.repeat(np.arange(len(cuts) - 1), np.diff(self.first))
 
     def counts(self) -> np.ndarray:

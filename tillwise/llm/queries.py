@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import byte_bpe, decontaminate, pii, quality_rules, sharding, simhash_gray
+from tillwise.llm import byte_bpe, decontaminate, pii, quality_rules, sharding, simhash_gray, suffix_columns
 from tillwise.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -55,6 +55,14 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_gray.component_ids(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the bytes of strings of 400 bytes that stand elsewhere too."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
+    done = suffix_columns.RepeatedStrings(docs, keep=["doc_id", "n_bytes"]).stripped()
+    return done.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_jump_sharding": op2_jump_sharding,
@@ -62,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op7_pii": op7_pii,
     "op9_simhash": op9_simhash,
+    "op10_suffix_columns": op10_suffix_columns,
 }
 
 ORACLES: dict[str, str] = {}
