@@ -24,6 +24,7 @@ columns are left alone.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -118,20 +119,21 @@ def log_tail(k: Column, n: Column, limit: float) -> Column:
     return F.aggregate(terms, zero, step)["sum"]
 
 
-def certified(labelled: DataFrame, limit: float = LIMIT, risk: float = RISK) -> DataFrame:
+def certified(scratch: Scratch, labelled: DataFrame, limit: float = LIMIT, risk: float = RISK) -> DataFrame:
     """Every rule's and stratum's cutoffs, tested: from (stratum, good, scores as a map).
 
     The result has at most strata x rules x 100 rows.
     """
     bins = labelled.select("stratum", "good", F.explode("scores").alias("rule", "score")).groupBy("stratum", "rule", "score").agg(F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("poor"))
+    bins = scratch.save(bins)
+    tests = max(1, bins.select("stratum", "rule").distinct().count())
     grid = bins.select("stratum", "rule").distinct().withColumn("cutoff", F.explode(F.sequence(F.lit(1), F.lit(100))))
     # score 0 is below every cutoff, but counts as a document
     own = grid.join(bins.withColumnRenamed("score", "cutoff"), ["stratum", "rule", "cutoff"], "left").na.fill(0, ["good", "poor"])
     sizes = bins.groupBy("stratum", "rule").agg(F.sum("good").alias("n"))
-    tests = F.broadcast(bins.select("stratum", "rule").distinct().agg(F.count("*").alias("tests")))
     down = Window.partitionBy("stratum", "rule").orderBy(F.desc("cutoff")).rowsBetween(Window.unboundedPreceding, 0)
-    sums = own.withColumn("k", F.sum("good").over(down)).withColumn("caught", F.sum("poor").over(down)).join(sizes, ["stratum", "rule"]).join(tests)
-    level = F.log(F.lit(risk) / F.col("tests"))
+    sums = own.withColumn("k", F.sum("good").over(down)).withColumn("caught", F.sum("poor").over(down)).join(sizes, ["stratum", "rule"])
+    level = math.log(risk / tests)
     passed = (F.col("k") <= F.col("n") * limit) & (log_tail(F.col("k"), F.col("n"), limit) <= level)
     return sums.withColumn("passed", F.coalesce(passed, F.lit(False))).withColumn("certified", F.min("passed").over(down)).withColumn("gain", F.col("caught") - COST * F.col("k"))
 
@@ -153,7 +155,7 @@ def judge(df: DataFrame, labels: DataFrame, out: str, text: str = "text", doc_id
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.min("quality") > 0).alias("good")).select(F.col("doc_id").alias("_id"), "good")
     # documents that the base rules reject are gone before any cutoff is tried
     judged = made.where(~base_failed(m)).select(F.col(doc_id).alias("_id"), own.alias("stratum"), as_map.alias("scores")).join(known, "_id")
-    cutoffs = scratch.save(chosen(certified(judged, limit, risk)))
+    cutoffs = scratch.save(chosen(certified(scratch, judged, limit, risk)))
     # a row for each stratum with a certified cutoff: each of them has hundreds of labels
     wide, at = made.withColumn(fresh(made, "stratum_of"), own), fresh(made, "stratum_of")
     limits = F.broadcast(cutoffs.select(F.col("stratum").alias(f"{at}_"), F.col("cutoffs").alias(f"{at}_cutoffs")))

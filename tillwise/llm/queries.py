@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import byte_bpe, decontaminate, pii, quality_rules, sharding, simhash_gray, suffix_columns
+from tillwise.llm import byte_bpe, decontaminate, lm_mixing, pii, quality_rules, sharding, simhash_gray, suffix_columns
 from tillwise.llm.common import table
+from tillwise.session import apply_job_conf
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -30,6 +32,15 @@ def op2_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op3_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every whole text under a model learned from nine tenths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", lm_mixing.held_out(F.col("doc_id")).alias("held_out"))
+    model = lm_mixing.LanguageModel(docs, ~F.col("held_out"), group=F.col("lang"))
+    scored = model.score(docs, ["doc_id", "held_out"])
+    bits = -F.col("score") * F.lit(3.321928094887362) / F.col("n_bytes")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", bits.alias("bits_per_byte"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document and whether the base and the certified rules keep it."""
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "judged", keep=["doc_id"])
@@ -63,9 +74,19 @@ def op10_suffix_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """``query`` on a session with the settings that all jobs rely on."""
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(apply_job_conf(spark), sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_jump_sharding": op2_jump_sharding,
+    "op3_context_mixing": op3_context_mixing,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontamination": op5_decontamination,
     "op7_pii": op7_pii,
@@ -73,4 +94,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_columns": op10_suffix_columns,
 }
 
+QUERIES = {name: prepared(query) for name, query in QUERIES.items()}
+
 ORACLES: dict[str, str] = {}
