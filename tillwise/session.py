@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -50,15 +52,44 @@ def apply_job_conf(spark: SparkSession) -> SparkSession:
             spark.conf.set(key, value)
         except Exception:  # static or locked settings stay as the cluster set them
             pass
+    ship_package(spark)
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.master", "").startswith("local[") or spark.conf.get("spark.master", "") == "local"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers import this package, however the driver found it.
+
+    In local mode they get the driver's folder on their path; on a cluster the
+    package goes along as a zip file, once for each application.
+    """
+    root = Path(__file__).resolve().parents[1]
+    context = spark.sparkContext
+    if is_local(spark):
+        path = context.environment.get("PYTHONPATH", "")
+        if str(root) not in path.split(os.pathsep):
+            context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [str(root), path]))
+        return
+    if getattr(context, "_tillwise_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    target = os.path.join(tempfile.mkdtemp(prefix="tillwise-"), "tillwise.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    context.addPyFile(target)
+    context._tillwise_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared filesystem folder and
-    is used as is.  Only when it is missing (local tests) is a fresh scratch
-    folder made.
+    is used as is.  Only in local mode, where one machine does all work, is a
+    fresh scratch folder made when it is missing; a cluster without it is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
@@ -67,6 +98,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # no SparkContext on this client
             current = None
     if not current:
+        if not is_local(spark):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="tillwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     try:
