@@ -9,12 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import byte_bpe, decontaminate, lm_mixing, pii, quality_rules, sharding, simhash_gray, suffix_columns
+from tillwise.llm import byte_bpe, decontaminate, html_hosts, lm_mixing, pii, quality_rules, sharding, simhash_gray, suffix_columns, training_order
 from tillwise.llm.common import table
 from tillwise.session import apply_job_conf
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+#: Key of the training order.
+ORDER_KEY = 20_240_501
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +55,13 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.report().select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence of 512 ids as it stands in the shards, in training order."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = training_order.materialise(docs, VOCABULARY, PATTERN, ORDER_KEY)
+    return back.select("doc_id", "part", "number", "slot", "shard", "place", F.size("ids").cast("long").alias("n_ids"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every whole text."""
     found = pii.Extractor(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
@@ -61,6 +70,12 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.spans().select("doc_id", *(F.size(seeds[k]).cast("long").alias(f"n_{k}") for k in pii.KINDS), F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(spans).alias("spans"))
 
 
+def op8_host_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_hosts.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash_gray.component_ids(table(spark, sf_dir, "documents"))
@@ -89,7 +104,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_context_mixing": op3_context_mixing,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontamination": op5_decontamination,
+    "op6_training_order": op6_training_order,
     "op7_pii": op7_pii,
+    "op8_host_html": op8_host_html,
     "op9_simhash": op9_simhash,
     "op10_suffix_columns": op10_suffix_columns,
 }
