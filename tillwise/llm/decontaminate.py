@@ -243,5 +243,6 @@ class Decontaminator:
 
     def clean(self, columns: list[str]) -> DataFrame:
         """The rows without a hit."""
-        bad = self.hits.select(F.col("row").alias(self.row)).distinct()
+        # written first, so that its size is known when the join is planned
+        bad = self.scratch.save(self.hits.select(F.col("row").alias(self.row)).distinct())
         return self.marked.join(bad, self.row, "left_anti").select(columns)

@@ -254,5 +254,6 @@ def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     code, row = fresh(df, "code"), fresh(df, "row")
     marked = scratch.save(fingerprints(df.withColumn(row, F.monotonically_increasing_id()), text, code, width))
     found = near_duplicates(scratch, marked, code, doc_id, distance, tie=row)
-    kept = found.select(F.col("first_tie").alias(row)).distinct()
-    return marked.join(kept, row, "left_semi").select(df.columns)
+    # written first, so that its size is known when the join is planned
+    later = scratch.save(marked.select(row, code).join(found.select(F.col("code").alias(code), "first_tie"), code).where(F.col(row) != F.col("first_tie")).select(row))
+    return marked.join(later, row, "left_anti").select(df.columns)
