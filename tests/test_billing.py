@@ -30,14 +30,33 @@ def frames(spark):
     return usage, prices
 
 
-@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])  # broadcast path and month-bucket path
-def test_containment_join(frames, broadcast_rows):
+def test_containment_join(frames):
     usage, prices = frames
-    j = containment_join(usage, prices, ["cloud", "sku_name"], "s", "e", "ps", "pe", broadcast_rows)
+    j = containment_join(usage, prices, ["cloud", "sku_name"], "s", "e", "ps", "pe")
     got = sorted((r.id, r.price) for r in j.select("id", "price").collect())
     assert got == [(1, 1.0), (3, 2.0), (4, 3.0), (4, 4.0)]
 
 
+def test_future_reversed_and_long_intervals(spark, frames):
+    usage, _ = frames
+    prices = spark.createDataFrame([
+        ("AWS", "A", T(2031, 1, 1), None, 1.0),                   # open price from the future on
+        ("AWS", "A", T(2024, 2, 1), T(2024, 1, 1), 2.0),          # ends before it starts
+        ("AWS", "A", T(2001, 1, 1), T(2040, 1, 1), 3.0),          # over many years
+        ("AWS", "A", T(1999, 1, 1), T(1999, 2, 1), 4.0),          # long gone
+    ], "cloud string, sku_name string, ps timestamp, pe timestamp, price double")
+    j = containment_join(usage, prices, ["cloud", "sku_name"], "s", "e", "ps", "pe")
+    assert {r.price for r in j.collect()} == {3.0}
+    assert j.count() == usage.where("sku_name = 'A' and cloud = 'AWS'").count()
+
+
+def test_hot_sku(spark):
+    usage = spark.range(3000).selectExpr("id", "'AWS' AS cloud", "'A' AS sku_name", "timestamp'2024-01-01' + make_interval(0, 0, 0, int(id % 700)) AS s").selectExpr("*", "s + interval 1 hour AS e")
+    prices = spark.range(24).selectExpr("'AWS' AS cloud", "'A' AS sku_name", "add_months(date'2024-01-01', int(id))::timestamp AS ps", "add_months(date'2024-01-01', int(id) + 1)::timestamp AS pe", "double(id) AS price")
+    j = containment_join(usage, prices, ["cloud", "sku_name"], "s", "e", "ps", "pe")
+    assert j.count() == 3000 and j.where("price <> months_between(trunc(s, 'MM'), date'2024-01-01')").count() == 0
+
+
 def test_sku_family(spark):
     df = spark.createDataFrame([("PREMIUM_JOBS_SQL",), (None,), ("premium_jobs",), ("X_INFERENCE",),
                                 ("STANDARD_ALL_PURPOSE",)], "s string")

@@ -9,6 +9,7 @@ set and fold), folds are averaged, and the refit metric picks the winner.
 
 from __future__ import annotations
 
+import logging
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -27,9 +28,8 @@ LOWER_IS_BETTER = {"MAE": True, "MSE": True, "RMSE": True, "MAPE": True, "R2": F
 # objective) - 54 combinations - and the small default grid used by the
 # registered jobs (every fit is a distributed job; the full grid is 270 fits
 # per series with 5 folds).
-FULL_GRID = [dict(kind="gbt" if obj == "squared" else "tweedie", maxIter=n, maxDepth=d, stepSize=lr)
-             for n in (100, 500, 1000) for d in (3, 6, 9) for lr in (0.01, 0.1, 0.3)
-             for obj in ("squared", "tweedie")]
+FULL_GRID = [dict(kind="gbt", maxIter=n, maxDepth=d, stepSize=lr)
+             for n in (100, 500, 1000) for d in (3, 6, 9) for lr in (0.01, 0.1, 0.3)] + [dict(kind="tweedie")]
 DEFAULT_GRID = [
     dict(kind="gbt", maxIter=10, maxDepth=3, stepSize=0.3),
     dict(kind="tweedie"),
@@ -59,12 +59,18 @@ def cross_validate(trains: dict[str, DataFrame], features: dict[str, list[str]],
     ``fold`` column; the fits of all series, parameter sets and folds share
     one pool of ``parallelism`` concurrent Spark jobs."""
 
+    failed: dict[tuple[str, int], str] = {}
+
     def one(job: tuple[str, int, int]) -> DataFrame | None:
         series, pid, fold = job
         train = trains[series]
         try:
             model = estimator(grid[pid], features[series]).fit(train.where(F.col("fold") != fold))
-        except Exception:  # e.g. a Tweedie GLM on an all-zero series: this candidate drops out
+        except Exception as e:
+            if grid[pid].get("kind") != "tweedie":
+                raise
+            # a GLM cannot be fitted to an all-zero series: the candidate drops out with all its folds
+            failed[series, pid] = f"fold {fold}: {e}"
             return None
         pred = model.transform(train.where(F.col("fold") == fold))
         return pred.select(F.lit(series).alias("series"), F.lit(pid).alias("param_id"),
@@ -72,7 +78,10 @@ def cross_validate(trains: dict[str, DataFrame], features: dict[str, list[str]],
 
     jobs = [(s_, p, f) for s_ in trains for p in range(len(grid)) for f in range(k)]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        preds = [p for p in pool.map(one, jobs) if p is not None]
+        done = list(zip(jobs, pool.map(one, jobs), strict=True))
+    for (series, pid), why in failed.items():
+        logging.getLogger(__name__).warning("series %s, candidate %s dropped: %s", series, grid[pid], why.splitlines()[0])
+    preds = [p for (series, pid, _), p in done if (series, pid) not in failed]
     if not preds:
         raise ValueError("no grid candidate could be fitted on any series")
     allp = reduce(DataFrame.unionByName, preds)

@@ -242,19 +242,16 @@ def flyer_feed(best: DataFrame, catalogue: DataFrame, prices: DataFrame, slots:
 def wrap_caption(text: Column, width: int = CAPTION_WIDTH, lines: int = CAPTION_LINES) -> Column:
     """upper-case greedy line fill; a word that does not fit opens the next line
     (even when it is wider than a line); words after the last line are dropped."""
-    words = F.split(F.upper(text), " ")
-    init = F.struct(F.array_repeat(F.lit(""), lines).alias("l"), F.lit(0).alias("i"))
-
-    def step(acc, w):
-        cur = F.get(acc["l"], acc["i"])
-        candidate = F.when(cur != "", F.trim(F.concat(cur, F.lit(" "), w))).otherwise(w)
-        fits = (acc["i"] < lines) & (F.length(candidate) <= width)
-        appended = F.when(cur != "", F.concat(cur, F.lit(" "), w)).otherwise(w)
-        nxt = acc["i"] + 1
-        put = F.transform(acc["l"], lambda x, j: F.when(j == acc["i"], appended).otherwise(x))
-        move = F.transform(acc["l"], lambda x, j: F.when(j == nxt, w).otherwise(x))
-        return F.when(acc["i"] >= lines, acc).when(
-            fits, F.struct(put.alias("l"), acc["i"].alias("i"))).otherwise(
-            F.struct(move.alias("l"), nxt.alias("i")))
-
-    return F.transform(F.aggregate(words, init, step)["l"], lambda x: F.trim(x))
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("line"))
+
+    def add(state, word):
+        longer = F.when(state["line"] == "", word).otherwise(F.concat_ws(" ", state["line"], word))
+        more = F.struct(state["done"].alias("done"), longer.alias("line"))
+        full = F.struct(F.array_append(state["done"], state["line"]).alias("done"), word.alias("line"))
+        return F.when(F.length(F.trim(longer)) <= width, more).otherwise(full)
+
+    def padded(state):
+        filled = F.concat(state["done"], F.array(state["line"]), F.array_repeat(F.lit(""), lines))
+        return F.transform(F.slice(filled, 1, lines), lambda x: F.trim(x))
+
+    return F.aggregate(F.split(F.upper(text), " "), start, add, padded)

@@ -1,8 +1,8 @@
 """Forecast accuracy metrics (A11, A12, A15, A19) as one grouped aggregation.
 
-Sums are taken over exact decimals (values carry cents) and only the final
-ratios are computed in double, so the result does not depend on the order
-partial sums are combined in - the same numbers on 8 or 8,000 tasks.
+Sums are taken in double at the data's full precision; only the finished
+metrics are cut to ``DIGITS`` significant digits, which hides the order that
+partial sums were combined in.
 """
 
 from __future__ import annotations
@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEC = "decimal(38,2)"
-TERM = "decimal(38,12)"
+DIGITS = 10
 
 
-def _dsum(c: Column) -> Column:
-    return F.sum(c).cast("double")
+def significant(c: Column) -> Column:
+    """``c`` to ``DIGITS`` significant digits; null stays null."""
+    return F.when(c.isNotNull(), F.format_string(f"%.{DIGITS - 1}e", c).cast("double"))
 
 
 def regression_metrics(df: DataFrame, keys: list[str], y: str = "y", yhat: str = "yhat") -> DataFrame:
@@ -24,35 +24,23 @@ def regression_metrics(df: DataFrame, keys: list[str], y: str = "y", yhat: str =
     MAPE follows the cost forecast: ``mean(|(y - |yhat|) / y|) * 100``; days
     with y = 0 have no finite term, are counted in ``n_zero_actual`` and left
     out of the mean (ANSI division by zero would fail the job otherwise).
-    Predictions are rounded to cents first.
+    R2 is null where the actual values do not vary.
     """
-    yv = F.col(y).cast(DEC)
-    fv = F.round(F.col(yhat).cast("double"), 2).cast(DEC)
-    e = yv - fv
-    yd, fd = yv.cast("double"), fv.cast("double")
-    ape = F.when(yd != 0, F.abs((yd - F.abs(fd)) / yd)).cast(TERM)
-    agg = df.where(F.col(y).isNotNull() & F.col(yhat).isNotNull()).groupBy(*keys).agg(
+    both = df.where(F.col(y).isNotNull() & F.col(yhat).isNotNull())
+    actual, forecast = F.col(y).cast("double"), F.col(yhat).cast("double")
+    miss = actual - forecast
+    share = F.when(actual != 0, F.abs((actual - F.abs(forecast)) / F.nullif(actual, F.lit(0.0))))
+    agg = both.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        _dsum(F.abs(e)).alias("_sae"),
-        _dsum(e * e).alias("_sse"),
-        _dsum(yv).alias("_sy"),
-        _dsum(yv * yv).alias("_syy"),
-        _dsum(ape).alias("_sape"),
-        F.count(ape).alias("_nape"),
-        F.sum((yv == 0).cast("int")).alias("n_zero_actual"),
-    )
-    n = F.col("n").cast("double")
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / n
-    mse = F.col("_sse") / n
-    return agg.select(
-        *keys, "n",
-        (F.col("_sae") / n).alias("MAE"),
-        mse.alias("MSE"),
-        F.sqrt(mse).alias("RMSE"),
-        F.when(sst > 0, 1 - F.col("_sse") / sst).alias("R2"),
-        F.when(F.col("_nape") > 0, F.col("_sape") / F.col("_nape") * 100).alias("MAPE"),
-        F.col("n_zero_actual").cast("long").alias("n_zero_actual"),
+        F.avg(F.abs(miss)).alias("MAE"),
+        F.avg(miss * miss).alias("MSE"),
+        F.var_pop(actual).alias("_spread"),
+        (F.avg(share) * 100).alias("MAPE"),
+        F.count_if(actual == 0).alias("n_zero_actual"),
     )
+    r2 = F.when(F.col("_spread") > 0, 1 - F.col("MSE") / F.nullif("_spread", F.lit(0.0)))
+    named = {"MAE": F.col("MAE"), "MSE": F.col("MSE"), "RMSE": F.sqrt("MSE"), "R2": r2, "MAPE": F.col("MAPE")}
+    return agg.select(*keys, "n", *(significant(c).alias(k) for k, c in named.items()), "n_zero_actual")
 
 
 def best_by(metrics: DataFrame, keys: list[str], metric: str, tie: str, lowest: bool = True) -> DataFrame:

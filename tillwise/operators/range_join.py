@@ -4,19 +4,12 @@ Semantics: equal keys, ``left.start >= right.start`` and
 ``(left.end <= right.end OR right.end IS NULL)``.  A left row straddling a
 change of the right row is dropped; overlapping right rows duplicate it.
 
-Plan choice, by a row count of the right side (a price list is a dimension,
-so counting it is cheap):
-
-* small (at most ``broadcast_rows``): broadcast hash join on the equi keys
-  with the interval test as residual.  Low-cardinality keys (a few hundred
-  SKUs) would make a shuffled hash join put a whole SKU in one task, so the
-  broadcast path is preferred whenever it is safe.
-* large: each right row is exploded over the month buckets its interval
-  covers (open end: up to the last month present on the left), and the join
-  key gains the month of ``left.start``.  Every left row has exactly one
-  bucket, so a pair is matched at most once, and the key cardinality grows
-  with time, which spreads a hot SKU over many tasks (AQE splits what is
-  left of the skew).
+One plan for every size: each right row stands for the months its interval
+shares with the left table's span, and the join key gains the month of
+``left.start``.  Every left row has exactly one month, so a pair meets at most
+once, and a hot key is spread over time; AQE broadcasts a side that turns out
+small and splits what is left of the skew.  Intervals that start after the last
+left row, or end before they start, hold no left row and go before the explode.
 """
 
 from __future__ import annotations
@@ -24,33 +17,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A price row is a few keys, two timestamps and a price: 1M rows stay well
-# under 100 MB on every executor.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
 
 def containment_join(left: DataFrame, right: DataFrame, keys: list[str],
-                     left_start: str, left_end: str, right_start: str, right_end: str,
-                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     left_start: str, left_end: str, right_start: str, right_end: str) -> DataFrame:
     """Inner join of ``left`` rows whose [start, end] lies inside a ``right`` interval.
 
     ``right`` columns other than the keys keep their names; callers select what
     they need.  Key names must be equal on both sides.
     """
-    cond = [left[k] == right[k] for k in keys]
-    inside = ((left[left_start] >= right[right_start])
-              & ((left[left_end] <= right[right_end]) | right[right_end].isNull()))
-    if right.count() <= broadcast_rows:
-        joined = left.join(F.broadcast(right), cond + [inside], "inner")
-        return joined.drop(*[right[k] for k in keys])
-
-    last_month = left.agg(F.max(F.trunc(F.col(left_start), "MM"))).scalar()
-    r_end_month = F.coalesce(F.trunc(F.col(right_end), "MM"), last_month)
-    r = right.withColumn("_bucket", F.explode(F.sequence(
-        F.trunc(F.col(right_start), "MM"), r_end_month, F.expr("INTERVAL 1 MONTH"))))
-    l_ = left.withColumn("_bucket", F.trunc(F.col(left_start), "MM"))
-    cond = [l_[k] == r[k] for k in keys] + [l_["_bucket"] == r["_bucket"]]
+    month = lambda c: F.trunc(c, "MM")
+    span = left.agg(F.min(month(F.col(left_start))).alias("first"), F.max(month(F.col(left_start))).alias("last"))
+    first, last = span.select("first").scalar(), span.select("last").scalar()
+    begin = F.greatest(month(F.col(right_start)), first)
+    end = F.least(F.coalesce(month(F.col(right_end)), last), last)  # least skips nulls
+    months = F.when(begin <= end, F.sequence(begin, F.greatest(begin, end), F.expr("INTERVAL 1 MONTH")))
+    ordered = right.where(F.col(right_end).isNull() | (F.col(right_end) >= F.col(right_start)))
+    r = ordered.withColumn("_bucket", F.explode(months))
+    l_ = left.withColumn("_bucket", month(F.col(left_start)))
     inside = ((l_[left_start] >= r[right_start])
               & ((l_[left_end] <= r[right_end]) | r[right_end].isNull()))
-    joined = l_.join(r, cond + [inside], "inner")
+    joined = l_.join(r, [l_[k] == r[k] for k in [*keys, "_bucket"]] + [inside], "inner")
     return joined.drop(*[r[k] for k in keys], l_["_bucket"], r["_bucket"])

@@ -1,9 +1,10 @@
 """Text classifier with calibrated confidence.
 
-Features: cleaned uni+bigram terms -> counts (``CountVectorizer``) -> smoothed
+Features: cleaned uni+bigram terms -> hashed counts (``HashingTF``) -> smoothed
 IDF with the +1 term (Spark's ``IDF`` omits it, so the fitted vector is
 shifted and applied with ``ElementwiseProduct``) -> L2 ``Normalizer``.
-Terms unseen in training are dropped at transform time.
+Terms unseen in training drop out; no other term does, and the driver holds
+no vocabulary.
 
 Classifier: one-vs-rest linear SVM (``OneVsRest(LinearSVC)``), margins per
 class; ``kind="gbt"`` uses one-vs-rest boosted trees instead (M15), whose
@@ -24,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, Normalizer, StringIndexer
+from pyspark.ml.feature import ElementwiseProduct, HashingTF, IDF, Normalizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
@@ -32,12 +33,12 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.text import terms
 
-VOCAB_SIZE = 1 << 18
-# Tree split search scales with the number of features: the boosted model
-# uses the most frequent terms only.
-GBT_VOCAB_SIZE = 1 << 12
+# Feature slots: every term counts in the slot it hashes to.  Tree split search
+# scales with the number of features, so the boosted model has fewer slots.
+SLOTS = 1 << 18
+BYTES_PER_TASK = 8 << 20
+GBT_SLOTS = 1 << 12
 GBT_TREES = 100
-ROWS_PER_PARTITION = 50_000
 PLATT_SCHEMA = "cls int, a double, b double"
 
 
@@ -46,12 +47,14 @@ def split_holdout(df: DataFrame, id_col: str, test_percent: int = 20, seed: int
     return df.withColumn("is_test", F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(100)) < test_percent)
 
 
-def fit_features(train: DataFrame, text_col: str = "text", vocab_size: int = VOCAB_SIZE) -> PipelineModel:
+def fit_features(train: DataFrame, text_col: str = "text", slots: int = SLOTS) -> PipelineModel:
     """Fitted term counts + smoothed IDF (+1) + L2 normalisation."""
     with_terms = train.withColumn("_terms", terms(F.col(text_col)))
-    cv = CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=vocab_size, minDF=1.0).fit(with_terms)
+    cv = HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=slots)
     idf = IDF(inputCol="_tf", outputCol="_unused").fit(cv.transform(with_terms))
-    smooth = ElementwiseProduct(scalingVec=Vectors.dense(idf.idf.toArray() + 1.0), inputCol="_tf",
+    # slots that no training text fills weigh nothing: unseen terms drop out
+    weights = np.where(np.array(idf.docFreq) > 0, idf.idf.toArray() + 1.0, 0.0)
+    smooth = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="_tf",
                                 outputCol="_tfidf")
     norm = Normalizer(inputCol="_tfidf", outputCol="features", p=2.0)
     return PipelineModel(stages=[cv, smooth, norm])
@@ -100,17 +103,14 @@ def _margins(model, df: DataFrame, id_col: str) -> DataFrame:
     return raw.select(id_col, "label_idx", F.posexplode("_r").alias("cls", "margin"))
 
 
-def train_classifier(train: DataFrame, id_col: str, label_col: str, kind: str = "svm", calib_folds: int = 3):
+def train_classifier(train: DataFrame, id_col: str, label_col: str, kind: str = "svm", calib_folds: int = 5):
     """Fit label index, features, classifier and (for the SVM) per-class Platt parameters."""
     indexer = StringIndexer(inputCol=label_col, outputCol="label_idx", stringOrderType="alphabetAsc",
                             handleInvalid="keep").fit(train)
-    feats = fit_features(train, vocab_size=GBT_VOCAB_SIZE if kind == "gbt" else VOCAB_SIZE)
-    data = indexer.transform(transform_features(feats, train)).cache()
-    n_rows = data.count()
-    # partitions sized by rows: every optimiser step aggregates a vocabulary-wide
-    # gradient per partition, so small sets should not be spread over many tasks
-    data = data.repartition(max(1, -(-n_rows // ROWS_PER_PARTITION))).cache()
-    data.count()
+    feats = fit_features(train, slots=GBT_SLOTS if kind == "gbt" else SLOTS)
+    # an optimiser step adds up a gradient of all slots for each task, so tasks get texts by the megabyte
+    size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    data = indexer.transform(transform_features(feats, train.repartition(1 + size // BYTES_PER_TASK))).cache()
     if kind == "logreg":
         return indexer, feats, _classifier(kind).fit(data), None
     if kind == "gbt":  # boosted trees report class scores directly (softmax of margins), no calibration
@@ -150,12 +150,14 @@ def score(models, df: DataFrame, id_col: str, label_col: str) -> DataFrame:
         out = scored.select(id_col, label_col, F.col("prediction").cast("int").alias("_p"),
                             (F.lit(1.0) / denom).alias("conf"))
     else:
-        m = _margins(clf, data, id_col).join(F.broadcast(platt), "cls")
-        prob = 1 / (1 + F.exp(F.col("a") * F.col("margin") + F.col("b")))
-        per_doc = m.groupBy(id_col).agg(
-            F.max_by("cls", "margin").alias("_p"),
-            (F.max(prob) / F.sum(prob)).alias("conf"))
-        out = data.select(id_col, label_col).join(per_doc, id_col)
+        # a pair of numbers for each class, and everything else inside the row
+        ab = platt.agg(F.sort_array(F.collect_list(F.struct("cls", "a", "b")))).scalar()
+        scored = clf.transform(data).withColumn("_r", vector_to_array("rawPrediction")).withColumn("_ab", ab)
+        prob = F.zip_with("_r", "_ab", lambda m, x: 1 / (1 + F.exp(x["a"] * m + x["b"])))
+        scored = scored.withColumn("_q", prob)
+        total = F.aggregate("_q", F.lit(0.0), lambda s_, x: s_ + x)
+        out = scored.select(id_col, label_col, (F.array_position("_r", F.array_max("_r")) - 1).cast("int").alias("_p"),
+                            (F.array_max("_q") / total).alias("conf"))
     return out.select(id_col, F.col(label_col).alias("label"), names[F.col("_p")].alias("pred"), "conf",
                       (F.col(label_col) == names[F.col("_p")]).cast("int").alias("correct"))
 

@@ -171,9 +171,9 @@ def outlier_class_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def date_part_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _split_long(spark, sf_dir).where(F.col("series") == "VALOR_TOTAL")
+    df = _split_long(spark, sf_dir)
     feats = add_date_parts(df, ["series", "split"])
-    return feats.select("DATA", "split", *DATE_PART_NAMES, "DECORRIDO")
+    return feats.select("series", "DATA", "split", *DATE_PART_NAMES, "DECORRIDO")
 
 
 def date_holdout_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,6 +83,23 @@ def text_classifier_gbt_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classifier_scores(spark, sf_dir, kind="gbt")
 
 
+def _bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillwise.operators.naive_bayes import classify
+
+    docs = _documents(spark, sf_dir)
+    return classify(docs, term_counts(docs, "doc_id", terms(F.col("text"))), "doc_id", "lang")
+
+
+def bayes_classifier_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M13-M16 by naive Bayes: held-out documents with predicted language, confidence, correct flag."""
+    return _bayes(spark, sf_dir)
+
+
+def classifier_accuracy_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, and the share predicted right, for each language."""
+    return _bayes(spark, sf_dir).groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.avg("correct").alias("accuracy"))
+
+
 def run_text_classifier_job(spark: SparkSession, sf_dir: str, out_path: str, kind: str = "svm") -> DataFrame:
     """Classifier as a job: held-out scores written as CSV (S11); returns the best
     confidence threshold of its own output (A13, A14)."""

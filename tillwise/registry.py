@@ -93,6 +93,8 @@ register("cost_forecast", models.cost_forecast_q)
 register("gbt_forecast", models.gbt_forecast_q)
 register("feature_importance", models.feature_importance_q)
 register("gbt_forecast_wide", models.gbt_forecast_wide_q)
+register("bayes_classifier", text.bayes_classifier_q, O.bayes_classifier_sql())
+register("classifier_accuracy", text.classifier_accuracy_q, O.classifier_accuracy_sql())
 register("text_classifier", text.text_classifier_q)
 register("classifier_threshold", text.classifier_threshold_q)
 register("text_classifier_gbt", text.text_classifier_gbt_q)

@@ -36,7 +36,7 @@ def parse_dd_mm_yy(c: Column, pivot: int = 69) -> Column:
 def read_csv_dated(spark: SparkSession, path: str, schema: T.StructType, date_col: str,
                    sep: str = ",") -> DataFrame:
     """S3: CSV with a declared schema (date column read as text), date parsed as dd-mm-yy."""
-    raw = spark.read.schema(schema).option("header", True).option("sep", sep).csv(path)
+    raw = spark.read.schema(schema).option("header", True).option("sep", sep).option("mode", "FAILFAST").csv(path)
     return raw.withColumn(date_col, parse_dd_mm_yy(F.col(date_col)))
 
 
