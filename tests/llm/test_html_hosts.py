@@ -92,6 +92,13 @@ def test_copied_articles_stay(spark, folder):
     assert got[0] == got[3] == "the very same article on some pages of this host"
 
 
+def test_named_containers(spark, folder):
+    rows = [(i, "http://a.example/x", f"<body><div class=site-menu>Home News Contact us</div><div id=content><p>a story that several pages of this host carry in full</p><div class='reader-comments'><p>so true {i}</p></div></div><div>Imprint and terms of the site</div></body>") for i in range(6)]
+    rows += [(i, "http://a.example/y", f"<div id=content><p>{' '.join(f'w{i}x{k}' for k in range(9))}</p></div>") for i in range(6, 40)]
+    got = {r.page_id: r.text for r in queries.op8_host_html(spark, folder(pages=pages(spark, rows))).collect()}
+    assert {got[i] for i in range(6)} == {"a story that several pages of this host carry in full"}
+
+
 def test_repeats_are_counted():
     tokens = np.array([1, 2, 3, 4, 5, 9, 1, 2, 3, 4, 7, 2, 3, 4, 5, 1, 2])
     page = np.array([0] * 5 + [1] * 6 + [2] * 6)

@@ -44,7 +44,7 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 OUT_NAMES = frozenset("ad ads advert advertisement advertising adverts alert alerts banner breadcrumb breadcrumbs byline comment commentlist comments consent cookie cookies copyright disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination paywall popup promo promoted recommended related share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar widget".split())
 OUT_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 LAYOUT_NAMES = frozenset("body container content has inner layout no outer page row with wrap wrapper".split())
-MAIN_NAMES = frozenset("article article-body article-content articlebody entry-content main-content post-body post-content story-body".split())
+MAIN_NAMES = frozenset("article article-body article-content articlebody content entry entry-content main main-content post post-body post-content story story-body".split())
 
 _TAG = re.compile(r"<(?:!--|(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?|[!?][^>]*>?)")
 _COMMENT_END = re.compile(r"--!?>")
