@@ -122,3 +122,37 @@ def test_flyer_with_rank_order_from_catalog(spark, tmp_path):
     feed = FL.flyer_feed(best, read_catalogue_table(spark, "tw_fly.sup_produtos"), prices, slots,
                          order=[F.col("rank")]).orderBy("slot").collect()
     assert [r.codmersrr for r in feed] == ["intenal_7", "intenal_5"]
+
+
+def test_price_request_has_all_fields(spark):
+    paged = spark.createDataFrame([(1, 0, "intenal_5", 5, 2.0), (1, 0, "loja_7", 7, 9.0)],
+                                  "codcli long, page int, codmersrr string, partkey long, qty double")
+    paged = paged.select("*", *FL.party_columns(F.col("codmersrr")))
+    prefs = spark.createDataFrame([], "codcli long, uf_faturamento string, cond_pagamento string, "
+                                      "wh_delivery string, wh_billing string")
+    body = json.loads(FL.price_requests(paged, prefs).first().request)
+    assert list(body) == list(FL.REQUEST_FIELDS) and len(body) == 38
+    assert body["produtos"] == [{"CodigoMercadoria": "intenal_5", "Quantidade": 1, "codGroupMerFrac": 0}]
+    assert body["produtosSeller"] == [{"CodigoMercadoria": "loja_7", "Quantidade": 1, "seller": "loja"}]
+    assert body["CODBRRUNDVNDCSM"] is None and body["listaProdutosEdl"] == [] and body["ufTarget"] == ""
+
+
+@pytest.mark.parametrize("value, text", [(10.5, "10.5"), (1.0, "1.0"), (12345678.0, "12345678.0"), (0.01, "0.01"), (100.0, "100.0")])
+def test_plain_numbers(spark, value, text):
+    assert spark.createDataFrame([(value,)], "x double").select(FL.plain_number(F.col("x")).alias("t")).first().t == text
+
+
+def test_flyer_footer_and_lines(spark):
+    best = spark.createDataFrame([(1, "intenal_5", 5, 9.0), (2, "intenal_5", 5, 9.0)], "codcli long, codmersrr string, partkey long, qty double")
+    cat = spark.createDataFrame([("intenal_5", "arroz branco tipo 1 pacote 5kg", "http://i/5.jpeg")],
+                                "idproduto string, descproduto string, url_imagem string")
+    prices = spark.createDataFrame([(c, "intenal_5", 2.0, None, "priced") for c in (1, 2)],
+                                   "codcli long, codmersrr string, preco double, preco_cx double, status string")
+    slots = spark.createDataFrame([(f"{k}_1", 1, 1) for k in ("imagem", "nome", "preco")], "name string, x int, y int")
+    prefs = spark.createDataFrame([(1, "C1", " - 30 dias", "RIO", "RJ")],
+                                  "codcli long, cond_pagamento string, desc_pagamento string, fil_entrega string, uf_faturamento string")
+    one, two = FL.flyer_feed(best, cat, prices, slots, prefs=prefs).orderBy("codcli").collect()
+    assert [one[f"linha_{i}"] for i in range(1, 5)] == py_wrap("5 - arroz branco tipo 1 pacote 5kg")
+    assert one.rodape_pagamento == "Condição de Pagamento: C1 - 30 dias"
+    assert one.rodape_filial == "Vendido por RIO e faturado por RJ"
+    assert two.rodape_filial == "Vendido por  e faturado por "  # a customer without preferences

@@ -30,10 +30,9 @@ def top_sellers_q(spark: SparkSession, sf_dir: str, k: int = FL.MAX_PRODUCTS) ->
 
 
 def party_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F1 per (customer, product): party, seller and quantity (the 1P group code, a constant
-    0 implied by the party, is carried in the price request)."""
+    """F1 per (customer, product): party, seller, quantity and the 1P group code."""
     best = fixtures.best_sellers(Tables(spark, sf_dir))
-    return best.select("codcli", "codmersrr", *FL.party_columns(F.col("codmersrr"))).drop("codGroupMerFrac")
+    return best.select("codcli", "codmersrr", *FL.party_columns(F.col("codmersrr")))
 
 
 def pref_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +55,9 @@ def flyer_feed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     paged = _paged(t)
     prices = FL.resolve_prices(paged, fixtures.price_responses(t, paged))
-    return FL.flyer_feed(paged, fixtures.catalogue(t), prices, fixtures.slots(spark))
+    prefs = FL.ingest_preferences(fixtures.preference_responses(t))
+    slots = FL.slot_table_from_json(fixtures.slot_config(spark))
+    return FL.flyer_feed(paged, fixtures.catalogue(t), prices, slots, prefs=prefs)
 
 
 def wrap_caption_q(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,7 +73,7 @@ register("party_split", flyer.party_split_q, O.party_split_sql())
 register("price_request", flyer.price_request_q, O.price_request_sql(flyer.PAGE_SIZE))
 register("pref_ingest", flyer.pref_ingest_q, O.pref_ingest_sql())
 register("resolve_prices", flyer.resolve_prices_q, O.resolve_prices_sql())
-register("flyer_feed", flyer.flyer_feed_q, O.flyer_feed_sql())
+register("flyer_feed", flyer.flyer_feed_q, O.flyer_feed_sql(FL.CAPTION_WIDTH, FL.CAPTION_LINES))
 register("wrap_caption", flyer.wrap_caption_q, O.wrap_caption_sql(FL.CAPTION_WIDTH, FL.CAPTION_LINES))
 
 from tillwise.plans import tracking  # noqa: E402

@@ -142,6 +142,12 @@ def slots(spark, n: int = 8) -> DataFrame:
     )))
 
 
+def slot_config(spark) -> DataFrame:
+    """The slot layout as it is stored: one JSON object {slot name: [x, y]}."""
+    entry = F.struct("name", F.array("x", "y").alias("xy"))
+    return slots(spark).agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
+
+
 def scored_labels(t: Tables) -> DataFrame:
     """Scored-text stand-in: truth = quality label, confidence a fixed arithmetic of doc_id.
 
