@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwise.operators import additive
-from tillwise.operators.upsert import DuplicateSourceKeyError, VersionedTable, check_unique_keys, merge_frames
+from tillwise.operators.upsert import DUPLICATE_KEY, merge_frames, upsert_partitions
 from tillwise.sources.sinks import parse_dd_mm_yy, scratch_dir
 
 
@@ -17,17 +17,30 @@ def test_merge_frames(spark):
     tgt = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
     src = spark.createDataFrame([(2, "B"), (4, "D")], "k int, v string")
     assert sorted(tuple(r) for r in merge_frames(tgt, src, ["k"]).collect()) == [(1, "a"), (2, "B"), (3, "c"), (4, "D")]
-    with pytest.raises(DuplicateSourceKeyError):
-        check_unique_keys(spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string"), ["k"])
-
-
-def test_versioned_table(spark):
-    t = VersionedTable(spark, scratch_dir(spark, "vt"))
-    assert t.read() is None
-    t.upsert(spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double"), ["k"])
-    v = t.upsert(spark.createDataFrame([(2, 20.0), (3, 3.0)], "k int, v double"), ["k"])
-    assert v == 1 and t.versions() == [0, 1]
-    assert sorted(tuple(r) for r in t.read().collect()) == [(1, 1.0), (2, 20.0), (3, 3.0)]
+    with pytest.raises(Exception, match=DUPLICATE_KEY):
+        merge_frames(tgt, spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string"), ["k"]).collect()
+    nulls = spark.createDataFrame([(None, "x"), (None, "y")], "k int, v string")
+    assert merge_frames(tgt, nulls, ["k"]).count() == 5  # null keys match nothing
+
+
+def test_upsert_partitions(spark):
+    path = scratch_dir(spark, "months")
+
+    def frame(rows):
+        return spark.createDataFrame([(dt.date(*d), v) for d, v in rows], "data date, v double")
+
+    upsert_partitions(frame([((2024, 1, 5), 1.0), ((2024, 1, 9), 2.0), ((2024, 2, 1), 3.0)]), path, ["data"], "data")
+    untouched = set(spark.read.parquet(f"{path}/month=2024-02").inputFiles())
+    upsert_partitions(frame([((2024, 1, 9), 20.0), ((2024, 3, 1), 4.0)]), path, ["data"], "data")
+    got = spark.read.parquet(path)
+    assert sorted((r.data.isoformat(), r.v) for r in got.collect()) == [
+        ("2024-01-05", 1.0), ("2024-01-09", 20.0), ("2024-02-01", 3.0), ("2024-03-01", 4.0)]
+    assert set(spark.read.parquet(f"{path}/month=2024-02").inputFiles()) == untouched
+    with pytest.raises(Exception, match=DUPLICATE_KEY):
+        upsert_partitions(frame([((2024, 1, 9), 1.0), ((2024, 1, 9), 2.0)]), path, ["data"], "data")
+    assert spark.read.parquet(path).count() == 4  # a failed merge leaves the table as it was
+    with pytest.raises(ValueError):
+        upsert_partitions(frame([]), path, ["v"], "data")
 
 
 def test_two_digit_years(spark):
@@ -99,9 +112,9 @@ def test_jobs_write_tables(spark, tmp_path):
     assert spark.table("tw_bill.priced_usage").count() > 0
     assert spark.table("tw_bill.daily_cost").where("sku = 'ALL'").count() > 0
     base = str(tmp_path / "forecast")
-    assert run_cost_forecast_job(spark, SF001, base) == 0
-    assert run_cost_forecast_job(spark, SF001, base) == 1      # same rows merged again: no duplicates
-    t = VersionedTable(spark, base).read()
+    run_cost_forecast_job(spark, SF001, base)
+    run_cost_forecast_job(spark, SF001, base)      # same rows merged again: no duplicates
+    t = spark.read.parquet(base)
     assert t.count() == t.select("data").distinct().count() == 30
 
 
@@ -144,5 +157,5 @@ def test_cost_job_on_system_tables(spark, tmp_path):
     from tillwise.sources.tables import Tables
     t = Tables(spark, SF001)
     base = str(tmp_path / "fc_sys")
-    assert run_cost_forecast_job(spark, None, base, usage=fixtures.usage(t), prices=fixtures.list_prices(t)) == 0
-    assert VersionedTable(spark, base).read().count() == 30
+    run_cost_forecast_job(spark, None, base, usage=fixtures.usage(t), prices=fixtures.list_prices(t))
+    assert spark.read.parquet(base).count() == 30

@@ -153,12 +153,12 @@ def assemble_forecasts(preds: DataFrame) -> DataFrame:
 
 def run_cost_forecast_job(spark: SparkSession, sf_dir: str | None, target_base: str, as_of: str = COST_AS_OF,
                           usage: DataFrame | None = None, prices: DataFrame | None = None,
-                          holdout_days: int = COST_HOLDOUT_DAYS) -> int:
+                          holdout_days: int = COST_HOLDOUT_DAYS) -> None:
     """E2 as a job: tune, refit and forecast the 'ALL' cost series, keep rows dated on or
-    after ``as_of`` and MERGE them into the versioned target table on ``data`` (S10).
+    after ``as_of`` and MERGE them into the target table (by months) on ``data`` (S10).
     ``usage`` / ``prices`` take the billing system tables as they are; with a long
     history use the original 31-day holdout."""
-    from tillwise.operators.upsert import VersionedTable
+    from tillwise.operators.upsert import upsert_partitions
     from tillwise.plans.billing import ALL, daily_with_rollup, price_usage
 
     if usage is None:
@@ -171,7 +171,7 @@ def run_cost_forecast_job(spark: SparkSession, sf_dir: str | None, target_base:
     hist = additive.prepare_history(series, hol, as_of).cache()
     best = additive.best_parameters(additive.tune(hist, as_of, holdout_days=holdout_days))
     source = forecast_result(additive.forecast(hist, best, hol), hist, as_of)
-    return VersionedTable(spark, target_base).upsert(source, ["data"])
+    upsert_partitions(source, target_base, ["data"], "data")
 
 
 def run_retail_forecast_job(spark: SparkSession, sf_dir: str | None, run_log_path: str,
