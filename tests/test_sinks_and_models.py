@@ -73,12 +73,41 @@ def test_additive_constant_and_short_series():
     assert np.allclose(pred, 7.0, atol=1e-3)
 
 
+def test_one_design_serves_all_prior_scales():
+    days = pd.Series(pd.date_range("2021-01-01", periods=900, freq="D"))
+    rng = np.random.default_rng(5)
+    y = pd.Series(50 + rng.normal(size=900) + 5 * (days.dt.dayofweek == 4))
+    hol = [np.array(["X"]) if d.day == 25 else None for d in days]
+    shared = additive.AdditiveModel(0.3, 0.3, 100).prepare(days, y, hol)
+    for p in additive.GRID[::3]:
+        scales = p["changepoint_prior_scale"], p["holidays_prior_scale"]
+        alone = additive.AdditiveModel(*scales, 100).fit(days, y, hol)
+        assert np.array_equal(shared.solve(*scales).beta, alone.beta) and shared.sigma == alone.sigma
+
+
+def test_csv_forecast(spark):
+    from tillwise.plans import csv_forecast as CF
+    days = pd.date_range("2000-01-01", "2001-06-30", freq="D")
+    rows = [(d.strftime("%d-%m-%y"), 1000.0 if str(d.date()) == "2001-06-15" else 100.0 + 10 * d.dayofweek, 10.0 + d.dayofweek, *[0] * len(CF.FLAGS)) for d in days]
+    path = scratch_dir(spark, "rede")
+    spark.createDataFrame(rows, CF.BASE_SCHEMA).write.option("header", True).csv(path)
+    base = CF.read_base(spark, path)
+    marked = CF.model_rows(base, "2001-06-01", "2001-06-30", reference_mode=True)
+    tests = {(r.series, r.OUTLIER) for r in marked.where("split = 'test'").collect()}
+    assert {o for s, o in tests if s == "VLR_REDE"} == {0}
+    assert {o for s, o in tests if s == "VALOR_TOTAL"} == {0, 1}  # one planted test day lies over the fence
+    got = CF.forecast_csv(spark, base, "2001-06-01", "2001-06-30", trees=[dict(kind="gbt", maxIter=5, maxDepth=3, stepSize=0.3)])
+    assert got.columns == ["DATA", "PREVISAO", "PREVISAO_REDE"] and got.count() == 30
+    sat, mon = (got.where(F.col("DATA") == dt.date(2001, 6, d)).first() for d in (2, 4))
+    assert sat.PREVISAO > mon.PREVISAO + 25
+
+
 def test_label_registry():
     from tillwise.plans.retail import feature_columns, label_spec
     assert "PIX_CATEG" in feature_columns("VALOR_TOTAL") and "SEMANA_PASCOA" in feature_columns("VALOR_TOTAL")
     assert "SEMANA_PASCOA" not in feature_columns("VALOR_SMART_TOTAL")
     with pytest.raises(ValueError):
-        label_spec("VLR_REDE")
+        label_spec("no such label")
     assert math.isclose(additive.BAND_Z, 1.2816)
 
 

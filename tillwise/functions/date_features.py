@@ -35,13 +35,14 @@ DATE_PART_NAMES = ["DIA_SEMANA", "TRIMESTRE", "MES", "ANO", "DIA_ANO", "DIA_MES"
                    "QUA", "QUI", "SEX", "SAB", "DOM", "SEG", "PRIMEIRO_DIA"]
 
 
-def date_part_columns(d: Column, primeiro_dia: Column) -> list[Column]:
-    """DIA_SEMANA ... SEG with the overrides applied in the reference order."""
+def date_part_columns(d: Column, primeiro_dia: Column, special: bool = True) -> list[Column]:
+    """DIA_SEMANA ... SEG; with ``special`` the special dates' codes are laid over them."""
     wd = weekday_monday0(d)
-    dia_semana = (F.when(is_closed(d), F.lit(CLOSED_CODE))
-                  .when(is_eve(d), F.lit(EVE_CODE)).otherwise(wd))
-    dia_mes = F.when(is_new_year(d), F.lit(CLOSED_CODE)).otherwise(F.dayofmonth(d))
-    dom = F.when(is_eve(d), F.lit(0)).otherwise((wd == 6).cast("int"))
+    closed, eve, new_year = (f(d) if special else F.lit(False) for f in (is_closed, is_eve, is_new_year))
+    dia_semana = (F.when(closed, F.lit(CLOSED_CODE))
+                  .when(eve, F.lit(EVE_CODE)).otherwise(wd))
+    dia_mes = F.when(new_year, F.lit(CLOSED_CODE)).otherwise(F.dayofmonth(d))
+    dom = F.when(eve, F.lit(0)).otherwise((wd == 6).cast("int"))
     return [
         dia_semana.cast("int").alias("DIA_SEMANA"),
         F.quarter(d).alias("TRIMESTRE"),
@@ -57,7 +58,7 @@ def date_part_columns(d: Column, primeiro_dia: Column) -> list[Column]:
         (wd == 5).cast("int").alias("SAB"),
         dom.cast("int").alias("DOM"),
         (wd == 0).cast("int").alias("SEG"),
-        F.when(is_new_year(d), F.lit(FIRST_DAY_NEW_YEAR)).otherwise(primeiro_dia).cast("int").alias("PRIMEIRO_DIA"),
+        F.when(new_year, F.lit(FIRST_DAY_NEW_YEAR)).otherwise(primeiro_dia).cast("int").alias("PRIMEIRO_DIA"),
     ]
 
 

@@ -17,7 +17,7 @@ from tillwise.plans.billing import global_cost_series
 from tillwise.plans.retail import FORECAST_AS_OF, long_series
 from tillwise.session import per_application
 
-COST_AS_OF = "2024-01-31"
+COST_AS_OF, COST_PREVIOUS_RUN = "2024-01-31", "2024-01-24"
 ROWS_PER_PARTITION = 100_000
 COST_HOLDOUT_DAYS = 7  # the billing stand-in covers 30 days; a 31-day holdout would leave no training data
 
@@ -52,14 +52,15 @@ def forecast_result(fc: DataFrame, history: DataFrame, as_of: str) -> DataFrame:
 
 def cost_forecast_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E2 end to end: priced usage -> 'ALL' daily cost -> tune -> refit -> result rows merged
-    into a target holding last run's rows (the upsert's output)."""
+    into the target that a run a week earlier left: its later days are updated, new days added."""
     series = global_cost_series(spark, sf_dir).select(F.lit("ALL").alias("series"), "ds", "y")
     hol = holidays_for_span(series, "ds")
     hist = additive.prepare_history(series, hol, COST_AS_OF).cache()
     best = additive.best_parameters(additive.tune(hist, COST_AS_OF, holdout_days=COST_HOLDOUT_DAYS))
     fc = additive.forecast(hist, best, hol)
     source = forecast_result(fc, hist, COST_AS_OF)
-    previous = forecast_result(fc, hist, "1900-01-01").where(F.col("data") < F.to_date(F.lit(COST_AS_OF)))
+    before = hist.where(F.col("ds") < F.to_date(F.lit(COST_PREVIOUS_RUN)))
+    previous = forecast_result(additive.forecast(before, best, hol), before, COST_PREVIOUS_RUN)
     return merge_frames(previous, source, ["data"])
 
 
@@ -79,26 +80,34 @@ def retail_model_frame(spark: SparkSession, sf_dir: str | None, abt: DataFrame |
 
 def train_retail_gbt(spark: SparkSession, sf_dir: str | None, grid: list[dict] | None = None,
                      abt: DataFrame | None = None, as_of: str = FORECAST_AS_OF):
-    """Per label: CV over the grid, refit the winner on all training days, score the test month.
+    """``train_labels`` on the feature table of the caller or of the test data."""
+    from tillwise.operators import boosted
+    from tillwise.plans.retail import LABELS
+
+    return train_labels(spark, retail_model_frame(spark, sf_dir, abt, as_of), LABELS, grid or boosted.DEFAULT_GRID)
 
+
+def train_labels(spark: SparkSession, rows: DataFrame, labels: dict[str, dict], grid: list[dict]):
+    """Per label: CV over the grid, refit the winner on all training days, score the test days.
+
+    ``labels`` names each label's features and refit metric.
     Returns (predictions, importances, fold-mean metrics) DataFrames."""
     from concurrent.futures import ThreadPoolExecutor
 
     from tillwise.operators import boosted
-    from tillwise.plans.retail import LABELS, feature_columns
-    grid = grid or boosted.DEFAULT_GRID
-    base = retail_model_frame(spark, sf_dir, abt, as_of).cache()
+
+    base = rows.cache()
     n_rows = base.count()
     # partitions sized by rows: per-task overhead dominates fits on small frames
     frame = base.repartition(max(1, -(-n_rows // ROWS_PER_PARTITION))).cache()
     frame.count()
     base.unpersist()
-    frames = {label: frame.where(F.col("series") == label) for label in LABELS}
+    frames = {label: frame.where(F.col("series") == label) for label in labels}
     trains = {label: f.where(F.col("split") == "train") for label, f in frames.items()}
-    feats = {label: feature_columns(label) for label in LABELS}
+    feats = {label: list(spec["features"]) for label, spec in labels.items()}
     means = boosted.fold_means(boosted.cross_validate(trains, feats, grid), ["series"]).cache()
     chosen = {}
-    for label, spec in LABELS.items():
+    for label, spec in labels.items():
         row = boosted.choose(means.where(F.col("series") == label), spec["refit"]).first()
         if row is not None:  # a series where no candidate could be fitted gets no model
             chosen[label] = int(row["param_id"])

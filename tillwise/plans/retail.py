@@ -123,13 +123,13 @@ def add_outlier(long_split: DataFrame, reference_mode: bool = False) -> DataFram
     return j.withColumn("OUTLIER", out.cast("int")).drop(*[c for c in bounds.columns if c != "series"])
 
 
-def add_date_parts(df: DataFrame, group: list[str]) -> DataFrame:
-    """C10 + C11 + C12: date parts with overrides; DECORRIDO = max(DATA) of the group - DATA."""
+def add_date_parts(df: DataFrame, group: list[str], special: bool = True) -> DataFrame:
+    """C10 + C11 + C12: date parts (``special``: with overrides); DECORRIDO = max(DATA) of the group - DATA."""
     if group:  # one row per group; the number of series is not bounded, so AQE picks the join
         j = df.join(df.groupBy(*group).agg(F.max("DATA").alias("_last")), group)
     else:
         j = df.withColumn("_last", df.agg(F.max("DATA")).scalar())
-    parts = date_part_columns(F.col("DATA"), F.col("PRIMEIRO_DIA"))
+    parts = date_part_columns(F.col("DATA"), F.col("PRIMEIRO_DIA"), special)
     keep = [c for c in df.columns if c not in DATE_PART_NAMES]
     return j.select(*keep, *parts, F.datediff(F.col("_last"), F.col("DATA")).alias("DECORRIDO"))
 

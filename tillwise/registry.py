@@ -98,3 +98,9 @@ register("classifier_accuracy", text.classifier_accuracy_q, O.classifier_accurac
 register("text_classifier", text.text_classifier_q)
 register("classifier_threshold", text.classifier_threshold_q)
 register("text_classifier_gbt", text.text_classifier_gbt_q)
+
+from tillwise.plans import csv_forecast as CF  # noqa: E402
+
+register("rede_features", CF.rede_features_q, O.rede_features_sql(FC, START, CF.TEST_FROM, CF.LAST_DAY))
+register("csv_forecast_inputs", CF.csv_forecast_inputs_q, O.csv_forecast_inputs_sql(FC, START, CF.TEST_FROM, CF.LAST_DAY))
+register("csv_forecast", CF.csv_forecast_q)
