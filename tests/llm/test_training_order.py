@@ -54,6 +54,13 @@ def test_reading_goes_on_from_a_slot(spark, make_docs):
     assert n == 50 and sorted(r.slot for r in got) == list(range(20, 33))
 
 
+def test_long_texts_have_the_same_ids():
+    tokenize = training_order.worker_tokenizer(queries.VOCABULARY, queries.PATTERN)
+    own = byte_bpe.worker_encoder(queries.VOCABULARY, queries.PATTERN)
+    for text in ("", "a b", "word " * 30_000, "x" * 99_999, " " * 99_999, "\n" * 99_999 + "x", " " * 1_500_000, "é" * 150_000):
+        assert tokenize(text).tolist() == own.encode(text).tolist()
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 1000, 4097])
 def test_permutation(n):
     numbers = np.arange(n)

@@ -23,19 +23,37 @@ shards and no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm.byte_bpe import worker_encoder
+from tillwise.llm.byte_bpe import read_ranks, worker_encoder
 from tillwise.llm.common import Scratch, blocks, raw_texts, utf8
 
 WIDTH, PER_SHARD, ROUNDS = 512, 1 << 14, 8
 _NULL = -(1 << 63)
+#: Characters from which on a text is split by ``byte_bpe``: the library's splitter overflows on runs of a million blanks.
+LONG_TEXT = 100_000
+
+_LIBRARIES: dict[tuple, tiktoken.Encoding] = {}
+
+
+def worker_tokenizer(path: str, pattern: str) -> Callable[[str], np.ndarray]:
+    """This process's function from a text to its ids (2 bytes each).
+
+    The order of the sequences does not depend on how their ids are found, so the
+    tokenizer library does it; its ids are those of ``byte_bpe``.
+    """
+    key = (path, pattern)
+    if key not in _LIBRARIES:
+        _LIBRARIES[key] = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
+    short, long = _LIBRARIES[key].encode_ordinary, worker_encoder(path, pattern).encode
+    return lambda text: np.array(short(text) if len(text) < LONG_TEXT else long(text), "<u2")
 
 
 def _half_bits(n: int) -> int:
@@ -78,13 +96,13 @@ def record_type(width: int) -> np.dtype:
 def sequences(df: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """(task, place, doc_id, part, ids): the sequences of every text; ``place`` counts them in a task."""
     def cut(batches) -> Iterator[pa.RecordBatch]:
-        encoder, task, place = worker_encoder(path, pattern), TaskContext.get().partitionId(), 0
+        tokenize, task, place = worker_tokenizer(path, pattern), TaskContext.get().partitionId(), 0
         for batch in batches:
             column, keys = batch.column(1), batch.column(0).to_pylist()
             for i, j in blocks(utf8(column)[1]):
                 rows = []
                 for key, raw in zip(keys[i:j], raw_texts(column.slice(i, j - i)), strict=True):
-                    ids = encoder.encode(raw.decode()).astype("<u2")
+                    ids = tokenize(raw.decode())
                     rows += [(key, k, ids[a: a + width].tobytes()) for k, a in enumerate(range(0, max(len(ids), 1), width))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([task] * len(rows), pa.int32()), pa.array(range(place, place + len(rows)), pa.int64()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
