@@ -99,6 +99,16 @@ def test_named_containers(spark, folder):
     assert {got[i] for i in range(6)} == {"a story that several pages of this host carry in full"}
 
 
+def test_hosts_of_copies_stay(spark, folder):
+    rows = [(i, "http://a.example/x", "<article><p>one article that a host carries only</p></article>") for i in range(12)]
+    rows += [(100 + i, "http://b.example/x", "<body><div>one page without any article markup</div></body>") for i in range(5)]
+    rows += [(200 + i, "http://c.example/x", f"<article><p>{'a hot copy with some words' if i < 400 else ' '.join(f'w{i}x{k}' for k in range(9))}</p></article>") for i in range(600)]
+    got = {r.page_id: r.text for r in queries.op8_host_html(spark, folder(pages=pages(spark, rows))).collect()}
+    assert {got[i] for i in range(12)} == {"one article that a host carries only"}
+    assert {got[100 + i] for i in range(5)} == {"one page without any article markup"}
+    assert {got[200 + i] for i in range(400)} == {"a hot copy with some words"}
+
+
 def test_repeats_are_counted():
     tokens = np.array([1, 2, 3, 4, 5, 9, 1, 2, 3, 4, 7, 2, 3, 4, 5, 1, 2])
     page = np.array([0] * 5 + [1] * 6 + [2] * 6)

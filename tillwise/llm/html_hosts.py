@@ -188,7 +188,11 @@ def main_texts(pages: list[list[tuple[str, int]]]) -> list[str]:
     """Main text of each page of one group."""
     number: dict[str, int] = {}
     tokens, page, ends = [], [], [0]
-    for k, blocks in enumerate(pages):
+    # copies of a page count once: main texts where there is markup, else all blocks
+    contents: dict[tuple, int] = {}
+    for blocks in pages:
+        best = max((r for _, r in blocks), default=0)
+        k = contents.setdefault(tuple(t for t, r in blocks if r == best), len(contents))
         for text, _ in blocks:
             words = text.split(" ")
             tokens += [number.setdefault(w, len(number)) for w in words]
@@ -197,7 +201,7 @@ def main_texts(pages: list[list[tuple[str, int]]]) -> list[str]:
     spread = repeated_on(np.array(tokens, np.int64), np.array(page, np.int64))
 
     def limit(least: tuple[int, float]) -> float:
-        return max(least[0], least[1] * len(pages))
+        return max(least[0], least[1] * len(contents))
 
     sums = [np.concatenate(([0], np.cumsum(spread >= limit(x)))) for x in (OUTSIDE, INSIDE)]
     out, b = [], 0
