@@ -109,6 +109,25 @@ def test_hosts_of_copies_stay(spark, folder):
     assert {got[200 + i] for i in range(400)} == {"a hot copy with some words"}
 
 
+def test_groups_do_not_change_the_result(spark):
+    """A rare notice on a large host goes; a passage in most of its main texts goes; both as with one group."""
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(12))
+    rows = [(i, "http://a.example/x", f"<body><div>{own(i)}</div>{'<div>a rare notice of this large host</div>' * (i % 150 == 0)}</body>") for i in range(600)]
+    rows += [(1000 + i, "http://b.example/x", f"<article><p>{own(i)}</p>{'<p>read more about this on our site</p>' * (i % 10 < 7)}</article>") for i in range(40)]
+    rows += [(2000 + i, "http://c.example/x", f"<article><p>{own(i)}</p>{'<p>this one stands on half of them</p>' * (i % 2)}</article>") for i in range(40)]
+    made = [{r.page_id: r.text for r in html_hosts.extract(pages(spark, rows), pages=p).collect()} for p in (7, 512, 1000)]
+    assert made[0] == made[1] == made[2] and len(made[0]) == len(rows)
+    assert all(made[0][i] == own(i) for i in range(600)) and all(made[0][1000 + i] == own(i) for i in range(40))
+    assert made[0][2001] == f"{own(1)}\nthis one stands on half of them"
+
+
+def test_long_matches_only(spark):
+    """Phrases of four words that other pages use do not make a paragraph repeated."""
+    phrases = [" ".join(f"p{j}y{k}" for k in range(4)) for j in range(40)]
+    rows = [(i, "http://a.example/x", f"<body><p>{' '.join(phrases[(i * 7 + k * (i + 1)) % 40] for k in range(9))}</p></body>") for i in range(20)]
+    assert all(r.text for r in html_hosts.extract(pages(spark, rows)).collect())
+
+
 def test_repeats_are_counted():
     tokens = np.array([1, 2, 3, 4, 5, 9, 1, 2, 3, 4, 7, 2, 3, 4, 5, 1, 2])
     page = np.array([0] * 5 + [1] * 6 + [2] * 6)

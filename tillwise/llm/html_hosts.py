@@ -1,15 +1,17 @@
-"""Main text of web pages: page structure and a suffix array over each host.
+"""Main text of web pages: page structure and substrings that its host repeats.
 
 1. A page is cut into blocks of text.  Markup says of a block whether it stands
    in an article, in a part that never belongs to one (menus, headers, footers,
    sidebars, notices, adverts, forms, comments, scripts, styles), or neither.
-2. The token streams of a host's pages are concatenated.  Suffixes are sorted by
-   prefix doubling; neighbours that share ``LONG`` tokens or more are repeated
-   substrings, and their pages are counted.  Large hosts are dealt by page id
-   into groups of about ``PAGES`` pages: what a host repeats, it repeats in each.
-3. Blocks outside an article that are covered by substrings repeated on several
-   pages of the group go; unique runs stay.  Inside an article a block goes only
-   if most pages of the group repeat it, so copied articles stay whole.
+2. Substrings of a host's token streams are named by hashes of 64 bits, lengths
+   doubling from ``LONG`` tokens to the longest that a block needs, and the
+   distinct contents that hold each are counted over the whole host: copies of a
+   page count once.  Groups of about ``PAGES`` pages only bound what a task holds;
+   their counts are summed, so that they do not change the result.
+3. A block goes if ``COVERED`` of it lies in substrings, about half as long as
+   itself or longer, that the host repeats: on ``OUTSIDE`` contents on pages without
+   main markup; in main texts, on most of the host's main texts.  Unique runs stay,
+   and copied articles stay whole.
 
 Defined results: null or empty html, or a page without an article's text, gives
 an empty text; a null or unreadable url is a host of its own (the empty one);
@@ -19,22 +21,25 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillwise.llm.common import Scratch, fresh
+from tillwise.llm.common import Scratch, fresh, map_batches, mixed
 
 LONG, PAGES = 4, 512
 #: A block is repeated if this share of its tokens is covered.
 COVERED = 0.6
-#: Pages that must share a substring: outside an article, inside one (least number, share of the group).
-OUTSIDE, INSIDE = (3, 0.02), (8, 0.6)
+#: Contents that must share a substring: outside an article, inside one (least number, share of the host's).
+OUTSIDE, INSIDE = (3, 0.0), (8, 0.6)
 
 # HTML's elements by what they mean here, and usual class names.
 BLOCK_TAGS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -154,105 +159,250 @@ def page_blocks(html: str) -> list[tuple[str, int]]:
     return out
 
 
-def repeated_on(tokens: np.ndarray, page: np.ndarray, long: int = LONG) -> np.ndarray:
-    """For each token: on how many pages the most widespread substring of ``long`` tokens covering it stands.
+#: Odd factors that join the hashes of two halves of a window.
+_JOIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def windows(tokens: np.ndarray, page: np.ndarray, long: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, starts, hashes) of the windows of ``LONG``, 2 ``LONG``, ... up to ``long`` tokens inside one page.
 
-    The suffix array's order by the first ``long`` tokens comes from prefix
-    doubling; a suffix that runs past its page's end stands alone.
+    Lengths double: a window's hash is made of its halves' hashes.
     """
-    n = len(tokens)
-    found = np.zeros(n, np.int64)
-    if n < long:
-        return found
-    rank, depth = tokens.astype(np.int64), 1
-    while depth < long:  # equal ranks: equal first ``depth`` tokens
-        step = min(depth, long - depth)
-        ahead = np.full(n, -1, np.int64)
-        ahead[:-step] = rank[step:]
-        key = (rank - rank.min()) * (int(ahead.max()) + 2) + ahead + 1
-        rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
-        depth += step
-    start = np.flatnonzero(page[: n - long + 1] == page[long - 1:])
-    order = start[np.lexsort((page[start], rank[start]))]
-    r, p = rank[order], page[order]
-    first = np.concatenate(([True], r[1:] != r[:-1]))
-    other = first | np.concatenate(([True], p[1:] != p[:-1]))
-    group = np.cumsum(first) - 1
-    pages = np.bincount(group, other).astype(np.int64)[group]
-    for k in range(long):
-        np.maximum.at(found, order + k, pages)
+    h, depth = mixed(tokens.astype(np.uint64)), 1
+    while depth * 2 <= min(long, len(tokens)):
+        h = mixed(h[:-depth] * _JOIN[0] + h[depth:] * _JOIN[1])
+        depth *= 2
+        if depth >= LONG:
+            starts = np.flatnonzero(page[: len(h)] == page[depth - 1:])
+            yield depth, starts, h[starts]
+
+
+def page_counts(hashes: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes, and on how many pages each stands."""
+    order = np.lexsort((page, hashes))
+    r, p = hashes[order], page[order]
+    first = np.concatenate((np.ones(min(len(r), 1), bool), r[1:] != r[:-1]))
+    other = first | np.concatenate((np.ones(min(len(r), 1), bool), p[1:] != p[:-1]))
+    return r[first], np.bincount(np.cumsum(first) - 1, other, int(first.sum())).astype(np.int64)
+
+
+def repeated_on(tokens: np.ndarray, page: np.ndarray, long: int = LONG) -> np.ndarray:
+    """For each token: on how many pages the most widespread window of ``long`` tokens covering it stands."""
+    found = np.zeros(len(tokens), np.int64)
+    for depth, starts, h in windows(tokens, page, long):
+        if depth == long:
+            names, n = page_counts(h, page[starts])
+            pages = n[np.searchsorted(names, h)]
+            for k in range(long):
+                np.maximum.at(found, starts + k, pages)
     return found
 
 
-def main_texts(pages: list[list[tuple[str, int]]]) -> list[str]:
-    """Main text of each page of one group."""
-    number: dict[str, int] = {}
-    tokens, page, ends = [], [], [0]
-    # copies of a page count once: main texts where there is markup, else all blocks
-    contents: dict[tuple, int] = {}
-    for blocks in pages:
-        best = max((r for _, r in blocks), default=0)
-        k = contents.setdefault(tuple(t for t, r in blocks if r == best), len(contents))
-        for text, _ in blocks:
-            words = text.split(" ")
-            tokens += [number.setdefault(w, len(number)) for w in words]
-            ends.append(len(tokens))
-            page += [k] * len(words)
-    spread = repeated_on(np.array(tokens, np.int64), np.array(page, np.int64))
-
-    def limit(least: tuple[int, float]) -> float:
-        return max(least[0], least[1] * len(contents))
-
-    sums = [np.concatenate(([0], np.cumsum(spread >= limit(x)))) for x in (OUTSIDE, INSIDE)]
-    out, b = [], 0
-    for blocks in pages:
-        best, kept = max((r for _, r in blocks), default=0), []
-        for text, rank in blocks:
-            low, high = ends[b], ends[b + 1]
-            b += 1
-            covered = sums[1 if best else 0]
-            if rank == best and (covered[high] - covered[low]) < COVERED * (high - low):
-                kept.append(text)
-        out.append("\n".join(kept))
+def window_of(size: int) -> int:
+    """Tokens that a repeated substring must share to count for a block of ``size`` tokens."""
+    return max(LONG, 1 << max(int(COVERED * size), 1).bit_length() - 1)
+
+
+_WORDS: dict[str, int] = {}
+
+
+def token_hashes(text: str) -> list[int]:
+    if len(_WORDS) > 1_000_000:
+        _WORDS.clear()
+    out = []
+    for w in text.split(" "):
+        h = _WORDS.get(w)
+        if h is None:
+            h = _WORDS[w] = int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        out.append(h)
     return out
 
 
+def content(blocks: list[tuple[str, int]]) -> int:
+    data = "\n".join(t for t, _ in blocks).encode("utf-8", "surrogatepass")
+    return int.from_bytes(blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
+def main_blocks(blocks: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    best = max((r for _, r in blocks), default=0)
+    return [b for b in blocks if b[1] == best]
+
+
+def stream(pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Token hashes, their pages, and the longest window that a block of them needs."""
+    tokens: list[int] = []
+    page, long = [], LONG
+    for k, texts in enumerate(pages):
+        for text in texts:
+            words = token_hashes(text)
+            tokens += words
+            long = max(long, window_of(len(words)))
+            page.append((k, len(words)))
+    return np.array(tokens, np.uint64), np.repeat(*np.array(page, np.int64).reshape(-1, 2).T), long
+
+
+def window_counts(pages: list[list[str]], least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Windows on at least ``least`` of the pages, and their counts; a longer window is on no more pages than its parts."""
+    tokens, page, long = stream(pages)
+    for _, starts, h in windows(tokens, page, long):
+        names, n = page_counts(h, page[starts])
+        enough = n >= least
+        if not enough.any():
+            return
+        yield names[enough], n[enough]
+
+
+def limit(least: tuple[int, float], pages: int) -> float:
+    return max(least[0], least[1] * pages)
+
+
+def main_text(blocks: list[tuple[str, int]], often: dict[bool, np.ndarray]) -> str:
+    """The page's main blocks, without those that repeated windows of its host cover."""
+    best = max((r for _, r in blocks), default=0)
+    names = often.get(best > 0)
+    held = main_blocks(blocks) if best else blocks
+    if names is None or not len(names):
+        return "\n".join(t for t, _ in held)
+    tokens, page, long = stream([[t for t, _ in held]])
+    covered = {}
+    for depth, starts, h in windows(tokens, page, long):
+        hit = starts[np.isin(h, names)]
+        edge = np.bincount(hit, minlength=len(tokens) + 1) - np.bincount(hit + depth, minlength=len(tokens) + 1)
+        covered[depth] = np.concatenate(([0], np.cumsum(np.cumsum(edge)[:-1] > 0)))
+    kept, at = [], 0
+    for text, _ in held:
+        size = text.count(" ") + 1
+        sums = covered.get(window_of(size))
+        if sums is None or sums[at + size] - sums[at] < COVERED * size:
+            kept.append(text)
+        at += size
+    return "\n".join(kept)
+
+
 def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+#: Kinds of rows that a host's groups report: a page without main markup, a number of contents, a window and its count.
+UNMARKED, CONTENTS, WINDOW, CANDIDATE = range(4)
+
+
+def contents(marked: DataFrame, inside: bool) -> DataFrame:
+    """(host, deals, content, text) of each page, once for each content in a task: main texts, or all blocks.
+
+    ``inside``: a page without main markup gives a row with a null text instead.
+    """
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            rows = []
+            for host, deals, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                blocks = page_blocks(html or "")
+                if not blocks:
+                    continue
+                text: str | None = None
+                if not inside or max(r for _, r in blocks):
+                    blocks = main_blocks(blocks) if inside else blocks
+                    text = "\n".join(t for t, _ in blocks)
+                row = host, content(blocks) if text is not None else None
+                if row not in seen:
+                    seen.add(row)
+                    rows.append((row[0], deals, row[1], text))
+            yield pa.RecordBatch.from_pylist([dict(zip(("host", "deals", "content", "text"), r, strict=True)) for r in rows], pa.schema([("host", pa.string()), ("deals", pa.int64()), ("content", pa.int64()), ("text", pa.string())]))
+
+    return marked.mapInArrow(run, "host string, deals long, content long, text string")
+
+
+def reports(found: DataFrame, inside: bool, every: bool) -> DataFrame:
+    """(host, kind, name, n) from each group of a host's distinct contents.
+
+    A host of one group gives the windows that reach its limit.  Of a larger
+    host each group gives all its windows (``every``), or else the candidates: a
+    window on a share of a host's contents is on that share in a group at least.
+    """
+    def report(host: str, deals: int, texts: dict[int | None, str | None]) -> list[tuple]:
+        pages = [t.split("\n") for t in texts.values() if t is not None]
+        out = [(host, CONTENTS, None, len(pages))] + [(host, UNMARKED, None, 1)] * (None in texts)
+        if deals == 1:
+            kind, least = WINDOW, limit(INSIDE if inside else OUTSIDE, len(pages))
+        else:
+            kind, least = (WINDOW, 0) if every else (CANDIDATE, INSIDE[1] * len(pages))
+        if len(pages) >= least:
+            for names, n in window_counts(pages, least):
+                out += [(host, kind, a, b) for a, b in zip(names.view(np.int64).tolist(), n.tolist(), strict=True)]
+        return out
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        key, texts = None, {}
+
+        def table(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["host", "kind", "name", "n"])
+
+        for batch in batches:
+            for host, deals, deal, name, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (host, deals, deal) != key:
+                    if key:
+                        yield table(report(key[0], key[1], texts))
+                    key, texts = (host, deals, deal), {}
+                texts.setdefault(name, text)
+        if key:
+            yield table(report(key[0], key[1], texts))
+
+    dealt = found.select("host", "deals", F.coalesce(F.pmod("content", "deals"), F.lit(0)).alias("deal"), "content", "text")
+    return dealt.repartition("host", "deal").sortWithinPartitions("host", "deal").mapInArrow(run, "host string, kind int, name long, n long")
+
+
+def repeated_windows(scratch: Scratch, marked: DataFrame) -> DataFrame:
+    """(host, inside, name) of the windows that reach the limit of their host, from (host, deals, html)."""
+    first = scratch.save(reports(contents(marked, True), True, False))
+    parts = [first.where(F.col("kind") == WINDOW).select("host", F.lit(True).alias("inside"), "name")]
+    sums = first.where(F.col("kind") == CONTENTS).groupBy("host").agg(F.sum("n").alias("pages"))
+    asked = first.where(F.col("kind") == CANDIDATE).select("host", "name").distinct()
+    if not asked.isEmpty():
+        again = marked.join(asked.select("host").distinct(), "host", "left_semi")
+        counts = reports(contents(again, True), True, True).where(F.col("kind") == WINDOW).join(asked, ["host", "name"], "left_semi")
+        enough = counts.groupBy("host", "name").agg(F.sum("n").alias("n")).join(sums, "host").where(F.col("n") >= F.greatest(F.lit(INSIDE[0]), INSIDE[1] * F.col("pages")))
+        parts.append(enough.select("host", F.lit(True).alias("inside"), "name"))
+    mixed_hosts = first.where(F.col("kind") == UNMARKED).select("host").distinct()
+    if not mixed_hosts.isEmpty():
+        counts = reports(contents(marked.join(mixed_hosts, "host", "left_semi"), False), False, True).where(F.col("kind") == WINDOW)
+        enough = counts.groupBy("host", "name").agg(F.sum("n").alias("n")).where(F.col("n") >= OUTSIDE[0])
+        parts.append(enough.select("host", F.lit(False).alias("inside"), "name"))
+    return scratch.save(functools.reduce(DataFrame.unionByName, parts))
+
+
 def extract(df: DataFrame, html: str = "html", url: str = "url", page_id: str = "page_id", out: str = "text", keep: list[str] | None = None, pages: int = PAGES) -> DataFrame:
     """``keep`` (default: all but the html) columns plus the main text ``out``."""
     keep = [c for c in df.columns if c != html] if keep is None else keep
     scratch = Scratch(df.sparkSession, "html")
-    host, group, n = (fresh(df, x) for x in ("host", "grp", "pages_of_host"))
-    marked = df.select(*dict.fromkeys([*keep, html, page_id]), host_of(F.col(url)).alias(host))
-    # only hosts of more than ``pages`` pages, a small share of the pages' number
+    host, raw, n = (fresh(df, x) for x in ("host", "raw", "pages_of_host"))
+    marked = df.select(*keep, host_of(F.col(url)).alias(host), F.col(html).alias(raw))
+    # hosts of more than ``pages`` pages, a small share of the pages' number, are counted in several groups
     large = scratch.save(marked.groupBy(host).agg(F.count("*").alias(n)).where(F.col(n) > pages))
     deals = F.ceil(F.coalesce(F.col(n), F.lit(1)) / F.lit(pages))
-    dealt = marked.join(large, host, "left").withColumn(group, F.concat_ws("\n", host, F.pmod(F.xxhash64(page_id), deals).cast("string")))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.select(*keep).schema), f"`{out}` string"])
-
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        open_: list[tuple] = []
-        name = None
-
-        def done() -> pa.RecordBatch:
-            texts = main_texts([x[1] for x in open_])
-            kept = [x[0] for x in open_]
-            return pa.RecordBatch.from_arrays([*(pa.concat_arrays([k.column(c) for k in kept]) for c in range(len(keep))), pa.array(texts, pa.string())], names=[*keep, out])
-
-        for batch in batches:
-            names, htmls = batch.column(len(keep)).to_pylist(), batch.column(len(keep) + 1).to_pylist()
-            own = batch.select(list(range(len(keep))))
-            for k, (g, h) in enumerate(zip(names, htmls, strict=True)):
-                if g != name and open_:
-                    yield done()
-                    open_ = []
-                name = g
-                open_.append((own.slice(k, 1), page_blocks(h or "")))
-        if open_:
-            yield done()
-
-    ready = dealt.select(*keep, group, F.col(html).alias(fresh(dealt, "raw"))).repartition(group).sortWithinPartitions(group)
-    return ready.mapInArrow(run, schema)
+    dealt = marked.join(large, host, "left").withColumn(n, deals.cast("long"))
+    often = repeated_windows(scratch, dealt.select(F.col(host).alias("host"), F.col(n).alias("deals"), F.col(raw).alias("html")))
+    fields = [*dealt.select(*keep).schema, T.StructField(out, T.StringType())]
+
+    def texts(column: pa.ChunkedArray | pa.Array, names: dict[bool, np.ndarray]) -> pa.Array:
+        return pa.array([main_text(page_blocks(h or ""), names) for h in column.to_pylist()], pa.string())
+
+    hosts = often.select(F.col("host").alias(host)).distinct()
+    rest = dealt.join(hosts, host, "left_anti") if not often.isEmpty() else dealt
+    whole = map_batches(rest.select(*keep, raw), lambda batch: [texts(batch.column(len(keep)), {})], fields[-1:], keep)
+    if often.isEmpty():
+        return whole
+
+    def cut(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        inside = np.array(right["inside"].to_pylist(), bool)
+        names = right["name"].to_numpy().view(np.uint64)
+        made = texts(left[raw], {x: names[inside == x] for x in (False, True)})
+        return left.select(keep).append_column(out, made)
+
+    # rows are dealt evenly, and each group gets its host's windows
+    deal = fresh(dealt, "deal")
+    mine = dealt.join(hosts, host, "left_semi").withColumn(deal, F.pmod(F.xxhash64(*keep, raw), F.col(n)))
+    theirs = often.select(F.col("host").alias(host), "inside", "name").join(large, host, "left").withColumn(deal, F.explode(F.sequence(F.lit(0).cast("long"), deals.cast("long") - 1)))
+    done = mine.groupBy(host, deal).cogroup(theirs.groupBy(host, deal)).applyInArrow(cut, T.StructType(fields))
+    return whole.unionByName(done)
