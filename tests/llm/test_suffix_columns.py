@@ -43,6 +43,20 @@ def test_odd_rows(spark, make_docs, folder, monkeypatch):
     assert sorted(map(tuple, queries.op10_suffix_columns(spark, folder(documents=make_docs(docs))).collect()), key=str) == plain(docs)
 
 
+def test_hot_anchors_are_dealt(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(suffix_columns, "HOT", 5, raising=False)
+    pick = random.Random(6)
+    noise = lambda n: "".join(pick.choice("abcdefgh é") for _ in range(n))
+    c, d = noise(900), noise(500)
+    docs = [(k, noise(20 + k) + c[k % 7: 700 - k] + noise(300) + d * (k < 3)) for k in range(40)] + [(50, c + c), (51, "x" * 1500), (52, c), (52, c)]
+    found = suffix_columns.RepeatedStrings(make_docs(docs), keep=["doc_id"])
+    largest = found.segments.where("anchor is not null").groupBy("anchor").agg({"row": "count"}).collect()
+    assert 1 < max(r[1] for r in largest) <= 2 * suffix_columns.HOT
+    got = found.stripped().collect()
+    want = plain(docs)
+    assert sorted((r.doc_id, len(r.removed), hashlib.sha256(r.kept).hexdigest()) for r in got) == sorted((r[0], r[3], r[4]) for r in want)
+
+
 def test_empty_table(spark, make_docs, folder):
     assert queries.op10_suffix_columns(spark, folder(documents=make_docs([]))).collect() == []
 

@@ -20,6 +20,8 @@ works on short aligned segments here:
    order is updated by a stable sort on that symbol, and the common prefix of
    new neighbours is one more than the least between their old places.  A window
    repeats if a neighbour shares ``length`` bytes or more.
+4. Anchors in more than ``HOT`` texts do not go to one task.  Their windows are
+   counted one by one under the 128-bit digest of their bytes, with partial sums.
 
 Documents, anchors and results between the passes are tables in the shared
 folder, written and read in sequence.  Exact copies of a text are found by their
@@ -44,6 +46,8 @@ from tillwise.llm.common import Scratch, blocks, fresh, map_batches, mixed, powe
 LENGTH, GRAM = 400, 64
 #: Segments whose columns a task inserts together, and digests that it remembers to send bytes once.
 TOGETHER, REMEMBERED = 1 << 14, 1 << 17
+#: Texts that an anchor's bucket may have in one task; parts that the rows of one repeated window are dealt to.
+HOT, DEALT = 1 << 14, 16
 #: Window starts that are hashed at once.
 PIECE = 1 << 22
 
@@ -219,10 +223,14 @@ class RepeatedStrings:
         row = F.col(self.row).alias("row")
         copies = scratch.save(self.marked.groupBy(F.col(digest).alias("digest")).agg(F.count("*").alias("n"), F.min(self.row).alias("row")))
         each = self.marked.select(row, F.explode(anchors).alias("anchor")).join(copies.select("row"), "row", "left_semi")
-        twice = each.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-        wanted = scratch.save(each.join(twice, "anchor").distinct().groupBy("row").agg(F.collect_list("anchor").alias("wanted")))
-        segments = self._segments(self.marked.select(row, F.col(text).alias("text")).join(wanted, "row"), gram)
-        spans = segments.repartition("anchor").sortWithinPartitions("anchor", "digest").mapInArrow(self._bucketed(gram), "row long, start long, end long")
+        twice = each.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor", (F.col("n") > HOT).alias("is_hot"))
+        lists = (F.collect_list(F.when(x, F.col("anchor"))) for x in (~F.col("is_hot"), F.col("is_hot")))
+        wanted = scratch.save(each.join(twice, "anchor").distinct().groupBy("row").agg(*(x.alias(name) for x, name in zip(lists, ("wanted", "hot"), strict=True))))
+        texts = self.marked.select(row, F.col(text).alias("text")).join(wanted, "row")
+        self.segments = self._segments(texts, gram)
+        spans = self.segments.repartition("anchor").sortWithinPartitions("anchor", "digest").mapInArrow(self._bucketed(gram), "row long, start long, end long")
+        if not wanted.where(F.size("hot") > 0).isEmpty():
+            spans = spans.union(self._hot_spans(texts.where(F.size("hot") > 0), gram))
         # all bytes of a text with copies are covered; -1: up to its end
         again = self.marked.select(row, F.col(digest).alias("digest")).join(copies.where("n > 1").select("digest"), "digest")
         spans = spans.union(again.select("row", F.lit(0).cast("long"), F.lit(-1).cast("long")))
@@ -285,6 +293,33 @@ class RepeatedStrings:
 
         return texts.select("row", "text", "wanted").mapInArrow(cut, SEGMENT)
 
+    def _hot_spans(self, texts: DataFrame, gram: int) -> DataFrame:
+        """(row, start, end) of the repeated windows of hot anchors; equal windows have equal anchors."""
+        length = self.length
+
+        def cut(batches):
+            for batch in batches:
+                data, offsets = utf8(batch.column(1))
+                ids, hot = batch.column(0).to_pylist(), batch.column(2)
+                for i, j in blocks(offsets):
+                    of, first, last, _, h = window_anchors(data, offsets[i: j + 1], length, gram)
+                    cuts = np.searchsorted(of, np.arange(j - i + 1))
+                    for t in range(j - i):
+                        own = slice(int(cuts[t]), int(cuts[t + 1]))
+                        pick = np.flatnonzero(np.isin(h[own], hot[i + t].values.to_numpy(zero_copy_only=False))) + own.start
+                        zero = int(offsets[i + t])
+                        whole = data[zero: int(offsets[i + t + 1])].tobytes()
+                        starts = [int(offsets[i]) - zero + a for k in pick.tolist() for a in range(int(first[k]), int(last[k]) + 1)]
+                        for a in range(0, len(starts), PIECE >> 8):
+                            some = starts[a: a + (PIECE >> 8)]
+                            digests = [hashlib.md5(whole[x: x + length]).digest() for x in some]
+                            yield pa.RecordBatch.from_arrays([pa.array([ids[i + t]] * len(some), pa.int64()), pa.array(some, pa.int64()), pa.array(digests, pa.binary())], names=["row", "start", "digest"])
+
+        windows = texts.select("row", "text", "hot").mapInArrow(cut, "row long, start long, digest binary")
+        part = F.pmod(F.xxhash64("row", "start"), F.lit(DEALT))
+        again = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(DEALT - 1).cast("long"))).alias("part"))
+        return windows.withColumn("part", part).join(again, ["digest", "part"]).select("row", "start", (F.col("start") + length).alias("end"))
+
     def _bucketed(self, gram: int):
         length = self.length
 
