@@ -70,6 +70,16 @@ def test_cutoffs_are_chosen(spark):
     assert sorted(map(tuple, got.collect()), key=str) == want
 
 
+def test_rules_together_keep_the_limit(spark):
+    """Four rules that each reject 0.6 % of the good documents would reject 2.4 % of them; 0.06 % each is certified."""
+    for rejected, want in ((30, 0), (3, 4)):
+        rows = [("en", True, {r: 90 if rejected * j <= i < rejected * (j + 1) else 1 for j, r in enumerate(quality_rules.RULES)}) for i in range(5000)]
+        rows += [("en", False, dict.fromkeys(quality_rules.RULES, 90))] * 400
+        df = spark.createDataFrame(rows, "stratum string, good boolean, scores map<string,int>")
+        got = quality_rules.chosen(quality_rules.certified(quality_rules.Scratch(spark, "test"), df)).collect()
+        assert sum(len(r.cutoffs) for r in got) == want
+
+
 def test_odd_rows(spark, make_docs, folder):
     docs = [*ODD, (40, "a b c d e f g h " * 4 + "\nx y\nx y\n\n"), (41, "a\x0bb\x1cc d"), (42, "a b c d e f g h i " * 2 + "z " * 30)]
     labels = spark.createDataFrame([(1, 0, 0), (1, 1, 0), (None, 1, 1), (40, None, 0), (99, 1, 0)], "doc_id long, quality int, toxic int")

@@ -10,7 +10,8 @@ the labelled documents of good quality, the holdout:
 * The level is ``risk`` divided by strata x rules (Bonferroni); inside a rule
   the cutoffs are tested in a fixed order, from the mildest on, up to the first
   that is not certified, which needs no further correction.  So with probability
-  1 - ``risk`` no chosen cutoff of any stratum rejects more than ``limit``.
+  1 - ``risk`` no chosen cutoff of any stratum rejects more than ``limit``, and
+  all cutoffs of a stratum together no more than ``TOGETHER``.
 * Of a rule's certified cutoffs the one with the largest gain is taken: rejected
   poor documents less ``COST`` times rejected good ones, and none if no cutoff
   has a gain.  A stratum with too few labels gets no cutoffs, and loses nothing.
@@ -33,8 +34,11 @@ from pyspark.sql import functions as F
 from tillwise.llm.common import SPACE, Scratch, fresh
 
 WINDOW = 8
-LIMIT, RISK, COST = 0.01, 0.05, 5
 RULES = ("symbols", "dup_lines", "repeats", "capitals")
+#: Share of a stratum's good documents that all its rules together may reject.
+TOGETHER = 0.01
+#: Share for one rule.
+LIMIT, RISK, COST = TOGETHER / len(RULES), 0.05, 5
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
