@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import byte_bpe, decontaminate, html_hosts, lm_mixing, pii, quality_rules, sharding, simhash_gray, suffix_columns, training_order
+from tillwise.llm import byte_bpe, decontaminate, divergence, exact_dedup, html_hosts, lm_mixing, oracle, pii, prefix_trie, quality_rules, sharding, simhash_gray, suffix_columns, training_order
 from tillwise.llm.common import table
 from tillwise.session import apply_job_conf
 
@@ -89,6 +89,21 @@ def op10_suffix_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of equal texts of every document and whether it is the row that stays."""
+    return exact_dedup.ExactDedup(table(spark, sf_dir, "documents")).classes()
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.hundreds_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of each source from the others of its language, and its most particular terms."""
+    return divergence.Divergence(table(spark, sf_dir, "documents")).report()
+
+
 def prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """``query`` on a session with the settings that all jobs rely on."""
     @functools.wraps(query)
@@ -109,8 +124,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_host_html": op8_host_html,
     "op9_simhash": op9_simhash,
     "op10_suffix_columns": op10_suffix_columns,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_divergence": op13_divergence,
 }
 
 QUERIES = {name: prepared(query) for name, query in QUERIES.items()}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_exact_dedup": oracle.EXACT_DEDUP,
+    "op12_prefix_trie": oracle.PREFIX_TRIE,
+    "op13_divergence": oracle.DIVERGENCE,
+}
