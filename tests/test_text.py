@@ -56,18 +56,125 @@ def test_unseen_terms_are_dropped(spark):
     assert abs(by_id[4].norm(2) - 1.0) < 1e-12
 
 
+WORDS = {"bebidas": ["suco", "refrigerante", "agua", "cerveja"], "limpeza": ["sabao", "detergente", "esponja", "alvejante"],
+         "padaria": ["pao", "bolo", "biscoito", "torrada"]}
+
+
+def planted(spark, words=WORDS, each=40):
+    rows = [(f"{v[k % len(v)]} {v[(k + 1) % len(v)]} marca {k % 7} embalagem {k % 3}", label) for label, v in words.items() for k in range(each)]
+    return spark.createDataFrame([(i, t, y, i % 5 == 0) for i, (t, y) in enumerate(rows)], "id int, text string, label string, is_test boolean")
+
+
 def test_classifier_planted_signal(spark):
-    from tillwise.operators.text_model import accuracy, score, train_classifier
-    words = {"bebidas": ["suco", "refrigerante", "agua", "cerveja"], "limpeza": ["sabao", "detergente", "esponja", "alvejante"],
-             "padaria": ["pao", "bolo", "biscoito", "torrada"]}
-    rows, i = [], 0
-    for label, vocab in words.items():
-        for k in range(40):
-            rows.append((i, f"{vocab[k % 4]} {vocab[(k + 1) % 4]} marca {k % 7} embalagem {k % 3}", label))
-            i += 1
-    df = spark.createDataFrame(rows, "id int, text string, label string")
-    train, test = df.where("id % 5 <> 0"), df.where("id % 5 = 0")
-    scored = score(train_classifier(train, "id", "label", kind="svm"), test, "id", "label")
+    from tillwise.operators.text_model import LinearTexts, accuracy
+    scored = LinearTexts(planted(spark), "id", "label").scored("id")
     assert accuracy(scored).first().accuracy > 0.95
-    confs = [r.conf for r in scored.collect()]
-    assert all(0 < c <= 1 for c in confs)
+    rows = scored.collect()
+    assert len(rows) == 24 and all(0 < r.conf <= 1 for r in rows)
+
+
+def test_classifier_odd_rows(spark):
+    from tillwise.operators.text_model import LinearTexts
+    odd = spark.createDataFrame([(900, None, "bebidas", False), (901, "", "padaria", True), (902, "suco agua", None, False), (903, "pao bolo", None, True), (904, "nunca visto", "limpeza", True)],
+                                "id int, text string, label string, is_test boolean")
+    got = {r.id: r for r in LinearTexts(planted(spark).unionByName(odd), "id", "label").scored("id").collect()}
+    assert got[903].pred == "padaria" and got[903].correct is None
+    assert got[901].pred == got[904].pred is not None and got[901].conf == got[904].conf
+    assert 902 not in got and 900 not in got
+
+
+def test_margins_over_blocks_and_class_groups(spark, monkeypatch):
+    """Several blocks and groups of classes reach the optimum that one block reaches by itself."""
+    import numpy as np
+
+    from tillwise.operators import linear_margins as LM
+    words = {f"c{c:02d}": [f"w{c}a", f"w{c}b", f"w{(c + 1) % 8}a"] for c in range(8)}
+    rng = np.random.default_rng(3)
+    rows, folds = [], 2
+    for i in range(160):
+        c = int(rng.integers(8))
+        ts = sorted({int(t) for t in rng.choice(np.arange(1, 40), 5)} | {100 + 2 * c, 101 + 2 * ((c + 1) % 8)})
+        x = rng.random(len(ts)) + 0.2
+        rows.append((i, [0, *ts], [1.0, *(x / np.linalg.norm(x)).tolist()], c, i % folds))
+    assert len(words) == 8
+    df = spark.createDataFrame(rows, "row long, ts array<long>, xs array<double>, y int, fold int")
+    # plain dual ascent to the end, one class and model at a time
+    dense = np.zeros((160, 120))
+    for i, ts, xs, _, _ in rows:
+        dense[i, ts] = xs
+    y, fold = np.array([r[3] for r in rows]), np.array([r[4] for r in rows])
+
+    def plain(c, use):
+        sign, a, w = np.where(y == c, 1.0, -1.0), np.zeros(160), np.zeros(120)
+        for _ in range(400):
+            for i in np.flatnonzero(use):
+                new = np.clip(a[i] + (1 - sign[i] * dense[i] @ w) / (dense[i] @ dense[i]), 0, 1)
+                w += (new - a[i]) * sign[i] * dense[i]
+                a[i] = new
+        return w
+
+    monkeypatch.setattr(LM, "BLOCK_TERMS", 400)
+    monkeypatch.setattr(LM, "COLUMNS", 9)
+    monkeypatch.setattr(LM, "TOLERANCE", 1e-4)
+    fitted = LM.Margins(df, 8, folds)
+    assert fitted.groups == 3
+    steps = zip(fitted.progress, fitted.progress[1:], strict=False)
+    assert all(after[k][0] > before[k][0] - 1e-9 for before, after in steps for k in before)  # the dual never falls
+    w = np.zeros((8, 120))
+    for r in fitted.weights.collect():
+        w[r.cls, r.t] = r.w
+
+    def objective(c, v, use):
+        sign = np.where(y == c, 1.0, -1.0)
+        return 0.5 * v @ v + np.maximum(0, 1 - sign * (dense @ v))[use].sum()
+    every = np.ones(160, bool)
+    for c in range(8):
+        best = plain(c, every)
+        least = objective(c, best, every)
+        dual = fitted.progress[-1][c // 3, c % 3 * (folds + 1)][0]
+        # the optimum lies between dual and objective, and the dual's distance bounds that of the weights
+        assert 0.99 * least < dual < least + 1e-6 and objective(c, w[c], every) > least - 1e-6
+        assert np.sum((w[c] - best) ** 2) <= 2 * (least - dual) + 1e-6
+    oof = {(r.row, r.cls): r.margin for r in fitted.out_of_fold.collect()}
+    assert len(oof) == 160 * 8
+    best = plain(2, fold != 1)
+    mine = np.array([oof[i, 2] for i in range(160) if fold[i] == 1])
+    assert np.corrcoef(mine, (dense @ best)[fold == 1])[0, 1] > 0.99
+
+
+def test_platt_equals_a_plain_newton_fit(spark):
+    import numpy as np
+
+    from tillwise.operators import linear_margins as LM
+    rng = np.random.default_rng(1)
+    rows = [(c, float(m), float(rng.random() < 1 / (1 + np.exp(-(c + 1) * m + 0.5 * c)))) for c in range(3) for m in rng.normal(size=80)]
+    rows += [(3, float(m), float(m > 0)) for m in rng.normal(size=40)] + [(4, 0.5, 0.0)] * 5  # separable; one class without members
+    got = {r.cls: (r.a, r.b) for r in LM.platt(spark.createDataFrame(rows, "cls int, margin double, target double").repartition(4)).collect()}
+    for c in range(5):
+        m, y = (np.array([r[i] for r in rows if r[0] == c]) for i in (1, 2))
+        pos, neg = y.sum(), len(y) - y.sum()
+        t = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
+        a, b = 0.0, np.log((neg + 1) / (pos + 1))
+        for _ in range(100):
+            p = 1 / (1 + np.exp(np.clip(a * m + b, -30, 30)))
+            g, v = np.array([((t - p) * m).sum(), (t - p).sum()]), p * (1 - p)
+            h = np.array([[(v * m * m).sum(), (v * m).sum()], [(v * m).sum(), v.sum()]]) + 1e-12 * np.eye(2)
+            step = np.linalg.solve(h, g)
+            a, b = a - step[0], b - step[1]
+            if np.abs(step).max() < 1e-10:
+                break
+        if c < 4:
+            assert np.allclose(got[c], (a, b), rtol=1e-9, atol=1e-9)
+        else:  # only a * 0.5 + b is determined
+            assert abs(got[c][0] * 0.5 + got[c][1] - (a * 0.5 + b)) < 1e-6
+
+
+def test_bayes_scores_labels_without_shared_terms(spark):
+    from tillwise.operators.naive_bayes import fit, predict
+    train = spark.createDataFrame([(i, "A") for i in range(2)] + [(9, "B")], "doc_id long, label string")
+    tf = spark.createDataFrame([(0, "x", 1), (0, "y", 300), (1, "z", 400), (9, "q", 1), (50, "x", 1), (51, "never", 3)], "doc_id long, term string, tf long")
+    got = {r.doc_id: r for r in predict(tf, spark.createDataFrame([(50,), (51,)], "doc_id long"), *fit(tf, train)).collect()}
+    # ln(2/3) + ln 2 - ln(701 + 4) against ln(1/3) - ln(1 + 4): B is likelier although it never saw the word
+    a, b = 2 / 3 * 2 / 705, 1 / 3 / 5
+    assert got[50].pred == "B" and math.isclose(got[50].conf, b / (a + b), rel_tol=1e-9)
+    assert got[51].pred == "A" and math.isclose(got[51].conf, 2 / 3, rel_tol=1e-9)

@@ -1,11 +1,14 @@
 """Multinomial naive Bayes in long form (M13-M16, A16, A17), for any number of labels.
 
 Training is two sums: (term, label) -> occurrences and label -> documents.
-Scoring joins a document's terms with the labels that share them, so rows grow
-with shared terms, not with documents x labels; nothing of the vocabulary is on
-the driver.  score = ln(prior) + sum tf * ln((count + 1) / (total + V)) over the
-document's known terms, for each label that shares a term with it; confidence is
-the softmax over those.  A document without known terms gets the commonest label.
+Scoring joins a document's terms with the labels that share them; a term that all
+labels know makes a row for each.  Nothing of the vocabulary is on the driver.
+score = ln(prior) + sum tf * ln((count + 1) / (total + V)) over the n known terms of
+the document, confidence the softmax over all labels, ties go to the last label in order.
+
+A label without a term of the document scores ln(prior) - n ln(total + V), which
+depends on n alone: the best such label and the sum over all of them are worked out
+once for each n (distinct n x labels rows), so these labels join no document.
 """
 
 from __future__ import annotations
@@ -35,13 +38,22 @@ def predict(tf: DataFrame, test: DataFrame, counts: DataFrame, labels: DataFrame
     own = tf.join(test.select("doc_id"), "doc_id")
     known = own.join(counts.select("term").distinct(), "term").groupBy("doc_id").agg(F.sum("tf").alias("n"))
     shared = own.join(counts, "term").groupBy("doc_id", "label").agg(F.sum(F.col("tf") * F.log(F.col("c") + 1)).alias("s"))
-    scored = shared.join(known, "doc_id").join(labels, "label").select(
-        "doc_id", "label", (F.log("prior") + F.col("s") - F.col("n") * F.log(F.col("total") + F.col("v"))).alias("score"))
-    best = scored.groupBy("doc_id").agg(F.max("score").alias("top"), F.max_by("label", F.struct("score", "label")).alias("pred"))
-    conf = scored.join(best, "doc_id").groupBy("doc_id", "pred").agg((1 / F.sum(F.exp(F.col("score") - F.col("top")))).alias("conf"))
-    common = labels.agg(F.max_by(F.struct("label", "prior"), F.struct("prior", "label"))).scalar()
-    return test.select("doc_id").join(conf, "doc_id", "left").select(
-        "doc_id", F.coalesce("pred", common["label"]).alias("pred"), F.coalesce("conf", common["prior"]).alias("conf"))
+    base = F.log("prior") - F.col("n") * F.log(F.greatest(F.col("total") + F.col("v"), F.lit(1)))
+    # without known terms the labels differ by their priors alone
+    lengths = known.select("n").distinct().unionByName(known.sparkSession.createDataFrame([(0,)], "n long")).distinct()
+    bases = lengths.join(labels).select("n", "label", base.alias("base"))
+    alone = bases.groupBy("n").agg(F.max("base").alias("most"), F.max(F.struct("base", "label")).alias("first"), F.collect_list("base").alias("all"))
+    alone = alone.select("n", "most", F.col("first.label").alias("first"), F.aggregate("all", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("most"))).alias("sum"))
+    scored = shared.join(known, "doc_id").join(labels, "label").select("doc_id", "label", base.alias("base"), (base + F.col("s")).alias("score"))
+    own = scored.groupBy("doc_id").agg(F.max(F.struct("score", "label")).alias("top"), F.collect_list(F.struct("base", "score")).alias("all"))
+    rows = test.select("doc_id").join(known, "doc_id", "left").withColumn("n", F.coalesce("n", F.lit(0))).join(alone, "n").join(own, "doc_id", "left")
+    rows = rows.withColumn("best", F.greatest(F.col("top"), F.struct(F.col("most").alias("score"), F.col("first").alias("label"))))
+    high, none = F.col("best.score"), F.array().cast("array<struct<base:double,score:double>>")
+    # labels that share a term count with their full score in place of the base
+    mine = F.aggregate(F.coalesce("all", none), F.lit(0.0), lambda s, x: s + F.exp(x["score"] - high))
+    known_base = F.aggregate(F.coalesce("all", none), F.lit(0.0), lambda s, x: s + F.exp(x["base"] - F.col("most")))
+    rest = F.greatest(F.col("sum") - known_base, F.lit(0.0)) * F.exp(F.col("most") - high)
+    return rows.select("doc_id", F.col("best.label").alias("pred"), (1 / F.greatest(mine + rest, F.lit(1.0))).alias("conf"))
 
 
 def classify(docs: DataFrame, tf: DataFrame, id_col: str, label_col: str, test_percent: int = 20) -> DataFrame:

@@ -1,45 +1,40 @@
 """Text classifier with calibrated confidence.
 
-Features: cleaned uni+bigram terms -> hashed counts (``HashingTF``) -> smoothed
-IDF with the +1 term (Spark's ``IDF`` omits it, so the fitted vector is
-shifted and applied with ``ElementwiseProduct``) -> L2 ``Normalizer``.
-Terms unseen in training drop out; no other term does, and the driver holds
-no vocabulary.
-
-Classifier: one-vs-rest linear SVM (``OneVsRest(LinearSVC)``), margins per
-class; ``kind="gbt"`` uses one-vs-rest boosted trees instead (M15), whose
-confidence is a softmax over the class margins, uncalibrated like the
-original boosted model's probabilities.  Confidence: Platt scaling per class, fitted on out-of-fold margins
-(k folds of the training set), then normalised to sum 1; ``conf`` is the
-largest probability, as the original reports it.  The two-parameter logistic
-fit per class is a tiny Newton solve run in a grouped map keyed by class, so
-the margins never leave the executors.  For thousands of classes use
-``kind="logreg"`` (multinomial logistic regression, probabilities directly).
+``kind="svm"`` (the default): every term of the training texts has a weight of its
+own, and all classes and folds are fitted in the same passes (``linear_margins``).
+Confidence: Platt scaling per class on out-of-fold margins (k folds of the training
+set), by Newton steps over sums grouped by class, then normalised to sum 1; ``conf``
+is the largest probability, as the original reports it.
+
+``kind="gbt"`` (M15) and ``kind="logreg"`` use ``pyspark.ml`` on hashed features:
+cleaned uni+bigram terms -> hashed counts (``HashingTF``) -> smoothed IDF with the +1
+term (Spark's ``IDF`` omits it, so the fitted vector is shifted and applied with
+``ElementwiseProduct``) -> L2 ``Normalizer``.  The confidence of the boosted trees is a
+softmax over the class margins, uncalibrated like the original boosted model's
+probabilities.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
 from pyspark.ml.feature import ElementwiseProduct, HashingTF, IDF, Normalizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.functions.text import terms
+from tillwise.operators import linear_margins as LM
 
-# Feature slots: every term counts in the slot it hashes to.  Tree split search
+# Feature slots of the pyspark.ml kinds: every term counts in the slot it hashes to.  Tree split search
 # scales with the number of features, so the boosted model has fewer slots.
 SLOTS = 1 << 18
 BYTES_PER_TASK = 8 << 20
 GBT_SLOTS = 1 << 12
 GBT_TREES = 100
-PLATT_SCHEMA = "cls int, a double, b double"
 
 
 def split_holdout(df: DataFrame, id_col: str, test_percent: int = 20, seed: int = 42) -> DataFrame:
@@ -70,98 +65,77 @@ def _classifier(kind: str):
         gbt = GBTClassifier(featuresCol="features", labelCol="label_idx", maxIter=GBT_TREES, maxDepth=3,
                             stepSize=0.1, seed=42)
         return OneVsRest(classifier=gbt, featuresCol="features", labelCol="label_idx", parallelism=4)
-    if kind == "logreg":
-        return LogisticRegression(featuresCol="features", labelCol="label_idx", family="multinomial",
-                                  maxIter=50, regParam=1e-3)
-    svc = LinearSVC(featuresCol="features", labelCol="label_idx", maxIter=30, regParam=1e-3)
-    return OneVsRest(classifier=svc, featuresCol="features", labelCol="label_idx", parallelism=4)
-
-
-def _platt(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Fit P(y=1 | m) = 1 / (1 + exp(a*m + b)) by Newton steps with Platt's smoothed targets."""
-    m = pdf["margin"].to_numpy(dtype=float)
-    y = pdf["target"].to_numpy(dtype=float)
-    n_pos, n_neg = y.sum(), len(y) - y.sum()
-    t = np.where(y > 0, (n_pos + 1) / (n_pos + 2), 1 / (n_neg + 2))
-    a, b = 0.0, float(np.log((n_neg + 1) / (n_pos + 1)))
-    for _ in range(100):
-        z = np.clip(a * m + b, -30, 30)
-        p = 1 / (1 + np.exp(z))
-        g = np.array([np.sum((t - p) * m), np.sum(t - p)])
-        w = p * (1 - p)
-        h = np.array([[np.sum(w * m * m), np.sum(w * m)], [np.sum(w * m), np.sum(w)]]) + 1e-12 * np.eye(2)
-        step = np.linalg.solve(h, g)
-        a, b = a - step[0], b - step[1]
-        if np.max(np.abs(step)) < 1e-10:
-            break
-    return pd.DataFrame({"cls": [int(pdf["cls"].iloc[0])], "a": [a], "b": [b]})
-
-
-def _margins(model, df: DataFrame, id_col: str) -> DataFrame:
-    """(id, label_idx, cls, margin) long rows, one per class."""
-    raw = model.transform(df).select(id_col, "label_idx", vector_to_array("rawPrediction").alias("_r"))
-    return raw.select(id_col, "label_idx", F.posexplode("_r").alias("cls", "margin"))
-
-
-def train_classifier(train: DataFrame, id_col: str, label_col: str, kind: str = "svm", calib_folds: int = 5):
-    """Fit label index, features, classifier and (for the SVM) per-class Platt parameters."""
+    return LogisticRegression(featuresCol="features", labelCol="label_idx", family="multinomial",
+                              maxIter=50, regParam=1e-3)
+
+
+def train_classifier(train: DataFrame, id_col: str, label_col: str, kind: str = "gbt"):
+    """Fit label index, hashed features and a ``pyspark.ml`` classifier."""
     indexer = StringIndexer(inputCol=label_col, outputCol="label_idx", stringOrderType="alphabetAsc",
                             handleInvalid="keep").fit(train)
     feats = fit_features(train, slots=GBT_SLOTS if kind == "gbt" else SLOTS)
     # an optimiser step adds up a gradient of all slots for each task, so tasks get texts by the megabyte
     size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     data = indexer.transform(transform_features(feats, train.repartition(1 + size // BYTES_PER_TASK))).cache()
-    if kind == "logreg":
-        return indexer, feats, _classifier(kind).fit(data), None
-    if kind == "gbt":  # boosted trees report class scores directly (softmax of margins), no calibration
-        return indexer, feats, _classifier(kind).fit(data), "softmax"
-    folded = data.withColumn("_fold", F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.lit(calib_folds)))
-    # the final model and the out-of-fold models are independent fits: run them together
-    jobs = [None] + list(range(calib_folds))
-
-    def fit(f):
-        return _classifier(kind).fit(data if f is None else folded.where(F.col("_fold") != f))
-
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        fitted = list(pool.map(fit, jobs))
-    clf, oof = fitted[0], None
-    for f, m in zip(jobs[1:], fitted[1:]):
-        part = _margins(m, folded.where(F.col("_fold") == f), id_col)
-        oof = part if oof is None else oof.unionByName(part)
-    platt = (oof.withColumn("target", (F.col("label_idx") == F.col("cls")).cast("double"))
-             .groupBy("cls").applyInPandas(_platt, PLATT_SCHEMA)).cache()
-    return indexer, feats, clf, platt
+    clf = _classifier(kind).fit(data)
+    data.unpersist()
+    return indexer, feats, clf, "softmax" if kind == "gbt" else None
 
 
 def score(models, df: DataFrame, id_col: str, label_col: str) -> DataFrame:
-    """(id, label, pred, conf, correct) with conf = largest calibrated probability."""
-    indexer, feats, clf, platt = models
-    labels = indexer.labels
+    """(id, label, pred, conf, correct) of a ``pyspark.ml`` classifier."""
+    indexer, feats, clf, how = models
     data = indexer.transform(transform_features(feats, df))
-    names = F.array(*[F.lit(x) for x in labels])
-    if platt is None:
-        out = clf.transform(data).select(
-            id_col, label_col, F.col("prediction").cast("int").alias("_p"),
-            F.array_max(vector_to_array("probability")).alias("conf"))
-    elif isinstance(platt, str):  # softmax over the one-vs-rest margins, row by row
+    names = F.array(*[F.lit(x) for x in indexer.labels])
+    if how is None:
+        conf = F.array_max(vector_to_array("probability"))
+        out = clf.transform(data).select(id_col, label_col, F.col("prediction").cast("int").alias("_p"), conf.alias("conf"))
+    else:  # softmax over the one-vs-rest margins, row by row
         scored = clf.transform(data).withColumn("_r", vector_to_array("rawPrediction"))
         top = F.array_max("_r")
         denom = F.aggregate(F.transform("_r", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, b: a + b)
         out = scored.select(id_col, label_col, F.col("prediction").cast("int").alias("_p"),
                             (F.lit(1.0) / denom).alias("conf"))
-    else:
-        # a pair of numbers for each class, and everything else inside the row
-        ab = platt.agg(F.sort_array(F.collect_list(F.struct("cls", "a", "b")))).scalar()
-        scored = clf.transform(data).withColumn("_r", vector_to_array("rawPrediction")).withColumn("_ab", ab)
-        prob = F.zip_with("_r", "_ab", lambda m, x: 1 / (1 + F.exp(x["a"] * m + x["b"])))
-        scored = scored.withColumn("_q", prob)
-        total = F.aggregate("_q", F.lit(0.0), lambda s_, x: s_ + x)
-        out = scored.select(id_col, label_col, (F.array_position("_r", F.array_max("_r")) - 1).cast("int").alias("_p"),
-                            (F.array_max("_q") / total).alias("conf"))
     return out.select(id_col, F.col(label_col).alias("label"), names[F.col("_p")].alias("pred"), "conf",
                       (F.col(label_col) == names[F.col("_p")]).cast("int").alias("correct"))
 
 
+class LinearTexts:
+    """M13 + M14 on (id, text, label, is_test): trained on the rest, ready to score the test rows.
+
+    Rows with a null label do not train; a text without known terms is scored by the bias alone.
+    """
+
+    def __init__(self, docs: DataFrame, id_col: str, label_col: str, folds: int = 5):
+        spark = docs.sparkSession
+        picked = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(label_col).alias("label"), "is_test",
+                             F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.lit(folds)).cast("int").alias("fold"), terms(F.coalesce("text", F.lit(""))).alias("terms"))
+        texts = LM.saved(picked.where("is_test or label is not null"), "texts")
+        tf = LM.saved(texts.select("row", "is_test", F.explode("terms").alias("term")).groupBy("row", "is_test", "term").agg(F.count("*").alias("tf")), "text-terms")
+        train = texts.where("not is_test")
+        #: Class names in alphabetical order; their place is the class number.
+        self.labels = [r[0] for r in train.select("label").distinct().orderBy("label").collect()]
+        if not self.labels:
+            raise ValueError("no labelled training text")
+        index = spark.createDataFrame(list(enumerate(self.labels)), T.StructType([T.StructField("y", T.IntegerType()), train.schema["label"]]))
+        rows = texts.drop("terms").join(F.broadcast(index), "label", "left")
+        self.vocabulary = LM.Vocabulary(tf.where("not is_test"), train.count())
+        x = LM.saved(rows.join(self.vocabulary.vectors(rows, tf), "row").withColumn("y", F.coalesce("y", F.lit(-1))), "text-vectors")
+        self.test = x.where("is_test")
+        self.model = LM.Margins(x.where("not is_test").select("row", "ts", "xs", "y", "fold"), len(self.labels), folds)
+        self.weights = LM.saved(self.model.weights, "svm-weights")
+        held_out = self.model.out_of_fold.select("cls", "margin", (F.col("y") == F.col("cls")).cast("double").alias("target"))
+        self.platt = LM.platt(LM.saved(held_out, "platt-margins"))
+
+    def scored(self, id_col: str) -> DataFrame:
+        """(id, label, pred, conf, correct) of the test rows."""
+        margins = LM.score(self.test, self.weights).join(F.broadcast(self.platt), "cls")
+        own = F.struct("margin", (-F.col("cls")).alias("cls"), (1 / (1 + F.exp(F.col("a") * F.col("margin") + F.col("b")))).alias("q"))
+        best = margins.groupBy("row").agg(F.max(own).alias("top"), F.max(own["q"]).alias("most"), F.sum(own["q"]).alias("total"))
+        pred = F.element_at(F.array(*[F.lit(x) for x in self.labels]), 1 - F.col("top.cls"))
+        return self.test.join(best, "row").select(F.col("id").alias(id_col), "label", pred.alias("pred"), (F.col("most") / F.col("total")).alias("conf"), (F.col("label") == pred).cast("int").alias("correct"))
+
+
 def accuracy(scored: DataFrame) -> DataFrame:
     """Share of correct predictions."""
     return scored.agg(F.avg("correct").alias("accuracy"), F.count(F.lit(1)).alias("n"))
@@ -171,5 +145,7 @@ def classify_texts(labelled: DataFrame, id_col: str, text_col: str, label_col: s
                    kind: str = "svm", test_percent: int = 20) -> DataFrame:
     """S4 + M13-M16 on any labelled text table: hash split, train on the rest, score the held-out rows."""
     docs = split_holdout(labelled.select(id_col, F.col(text_col).alias("text"), label_col), id_col, test_percent)
+    if kind == "svm":
+        return LinearTexts(docs, id_col, label_col).scored(id_col)
     train, test = docs.where(~F.col("is_test")), docs.where(F.col("is_test"))
     return score(train_classifier(train, id_col, label_col, kind=kind), test, id_col, label_col)

@@ -73,6 +73,35 @@ def text_classifier_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classifier_scores(spark, sf_dir)
 
 
+def linear_scores_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M13's scoring step with given weights: margins of the held-out texts under the mean vector of each class."""
+    from tillwise.operators import linear_margins as LM
+    from tillwise.operators.naive_bayes import split_md5
+
+    docs = split_md5(_documents(spark, sf_dir).where("lang is not null"), "doc_id")
+    rows = LM.saved(docs.select(F.col("doc_id").alias("row"), F.col("lang").alias("cls"), "is_test"), "linear-rows")
+    tf = LM.saved(term_counts(docs, "doc_id", terms(F.col("text"))).withColumnRenamed("doc_id", "row"), "linear-terms")
+    train = rows.where("not is_test")
+    x = LM.Vocabulary(tf.join(train.select("row"), "row"), train.count()).vectors(rows, tf)
+    x = LM.saved(x.join(rows, "row"), "linear-vectors")
+    known = x.where("not is_test")
+    sizes = known.groupBy("cls").agg(F.count("*").alias("n"))
+    pairs = known.select("cls", F.explode(F.arrays_zip("ts", "xs")).alias("e")).groupBy("cls", F.col("e.ts").alias("t")).agg(F.sum("e.xs").alias("s"))
+    weights = pairs.join(sizes, "cls").select("t", "cls", (F.col("s") / F.col("n")).alias("w"))
+    return LM.score(x.where("is_test"), weights).select(F.col("row").alias("doc_id"), "cls", F.round("margin", 9).alias("margin"))
+
+
+def platt_step_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14's Newton step: Platt parameters after one step on the scored labels, in three classes at once."""
+    from tillwise.operators import linear_margins as LM
+    from tillwise.operators.metrics import significant
+
+    scored = fixtures.scored_labels(Tables(spark, sf_dir))
+    margins = scored.select(F.pmod("doc_id", F.lit(3)).cast("int").alias("cls"), (F.col("conf") * 4 - 2).alias("margin"), F.col("truth").cast("double").alias("target"))
+    done = LM.platt_step(margins, LM.platt_start(margins))
+    return done.select("cls", *(significant(F.col(c)).alias(c) for c in ("a", "b", "step")))
+
+
 def classifier_threshold_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A13 on the classifier's own output: truth = correct flag, score = confidence."""
     return threshold_sweep(_classifier_scores(spark, sf_dir), conf="conf", truth="correct")

@@ -96,6 +96,8 @@ register("gbt_forecast_wide", models.gbt_forecast_wide_q)
 register("bayes_classifier", text.bayes_classifier_q, O.bayes_classifier_sql())
 register("classifier_accuracy", text.classifier_accuracy_q, O.classifier_accuracy_sql())
 register("text_classifier", text.text_classifier_q)
+register("linear_scores", text.linear_scores_q, O.linear_scores_sql())
+register("platt_step", text.platt_step_q, O.platt_step_sql())
 register("classifier_threshold", text.classifier_threshold_q)
 register("text_classifier_gbt", text.text_classifier_gbt_q)
 
