@@ -133,7 +133,7 @@ def test_margins_over_blocks_and_class_groups(spark, monkeypatch):
         least = objective(c, best, every)
         dual = fitted.progress[-1][c // 3, c % 3 * (folds + 1)][0]
         # the optimum lies between dual and objective, and the dual's distance bounds that of the weights
-        assert 0.99 * least < dual < least + 1e-6 and objective(c, w[c], every) > least - 1e-6
+        assert 0.98 * least < dual < least + 1e-6 and objective(c, w[c], every) > least - 1e-6, (c, least, dual)
         assert np.sum((w[c] - best) ** 2) <= 2 * (least - dual) + 1e-6
     oof = {(r.row, r.cls): r.margin for r in fitted.out_of_fold.collect()}
     assert len(oof) == 160 * 8
