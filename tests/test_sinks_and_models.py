@@ -96,7 +96,7 @@ def test_csv_forecast(spark):
     tests = {(r.series, r.OUTLIER) for r in marked.where("split = 'test'").collect()}
     assert {o for s, o in tests if s == "VLR_REDE"} == {0}
     assert {o for s, o in tests if s == "VALOR_TOTAL"} == {0, 1}  # one planted test day lies over the fence
-    got = CF.forecast_csv(spark, base, "2001-06-01", "2001-06-30", trees=[dict(kind="gbt", maxIter=5, maxDepth=3, stepSize=0.3)])
+    got = CF.forecast_csv(spark, base, "2001-06-01", "2001-06-30", grids={c: [dict(objective="reg:squarederror", max_depth=3, learning_rate=0.3, n_estimators=n) for n in (5, 20)] for c in CF.CSV_LABELS})
     assert got.columns == ["DATA", "PREVISAO", "PREVISAO_REDE"] and got.count() == 30
     sat, mon = (got.where(F.col("DATA") == dt.date(2001, 6, d)).first() for d in (2, 4))
     assert sat.PREVISAO > mon.PREVISAO + 25
@@ -159,14 +159,84 @@ def test_outlier_class_edges(spark):
     assert got == [0, 1, 0]                                       # on the bound -> 0, NULL -> 0
 
 
-def test_gbt_recovers_planted_weekday_effect(spark):
-    from tillwise.operators.boosted import DEFAULT_GRID, estimator
-    rows = [(float(d % 7 == 5), float(d % 7 == 6), 100.0 + 80.0 * (d % 7 == 5) - 60.0 * (d % 7 == 6))
-            for d in range(300)]
-    df = spark.createDataFrame(rows, "SEX double, SAB double, y double")
-    model = estimator(DEFAULT_GRID[0], ["SEX", "SAB"]).fit(df)
-    pred = {(r.SEX, r.SAB): r.prediction for r in model.transform(df).select("SEX", "SAB", "prediction").distinct().collect()}
-    assert abs(pred[(1.0, 0.0)] - 180) < 10 and abs(pred[(0.0, 1.0)] - 40) < 10 and abs(pred[(0.0, 0.0)] - 100) < 10
+def panel(spark, days=300):
+    """Two series with a weekday effect, folds of 60 days, and 14 days without a fold."""
+    first = dt.date(2000, 1, 1)
+    rows = []
+    for series, scale in (("a", 1.0), ("b", 3.0)):
+        for d in range(days + 14):
+            w = d % 7
+            rows.append((series, first + dt.timedelta(d), scale * (100 + 80 * (w == 5) - 60 * (w == 6)), float(w == 5), float(w == 6), float(d % 3), d // 60 if d < days else -1))
+    return spark.createDataFrame(rows, "series string, DATA date, y double, SEX double, SAB double, noise double, fold int")
+
+
+def test_boosting_recovers_planted_weekday_effect(spark):
+    from tillwise.operators import boosted
+    features = {"a": ["SEX", "SAB", "noise"], "b": ["noise", "SAB", "SEX"]}
+    grid = [dict(objective=o, max_depth=d, learning_rate=0.3, n_estimators=n) for o in (boosted.SQUARED, boosted.TWEEDIE) for d in (1, 3) for n in (2, 40)]
+    rows = panel(spark)
+    cv = boosted.cross_validate(rows, features, {"a": grid, "b": grid[:4]}, k=5)
+    got = {(r.series, r.param_id, r.fold): r for r in cv.collect()}
+    assert len(got) == 5 * (8 + 4) and all(r.n == 60 for r in got.values())
+    for key, r in got.items():  # 40 trees get there, 2 do not
+        assert (r.MAPE < 1.5) == (key[1] % 2 == 1), (key, r.MAPE)
+    best = {r.series: r.param_id for r in boosted.choose(boosted.fold_means(cv, ["series"]), "MAE", ["series"]).collect()}
+    fitted = boosted.refit(rows, features, {"a": grid, "b": grid[:4]}, best).collect()
+    days = [r for r in fitted if r.feature is None]
+    assert len(days) == 28 and all(abs(r.value - r.y) < 0.02 * r.y for r in days)
+    shares = {(r.series, features[r.series][r.feature]): r.value for r in fitted if r.feature is not None}
+    assert math.isclose(sum(shares.values()), 2.0) and shares["a", "noise"] < 0.01 and shares["b", "SEX"] > 0.2
+
+
+def test_a_tree_takes_the_best_of_all_cuts():
+    """The first cut of a tree against all cuts tried one by one, with missing values and more values than bins."""
+    from tillwise.operators import boosted
+    rng = np.random.default_rng(4)
+    x = np.c_[rng.normal(size=700), rng.integers(0, 5, 700), rng.random(700) < 0.1].astype(float)
+    x[::50, 1] = np.nan
+    y = np.where(x[:, 0] > 0.3, 5.0, 1.0) + (np.nan_to_num(x[:, 1]) == 2) + rng.random(700)
+    learn = rng.random(700) < 0.8
+    g, h = boosted.gradients(boosted.TWEEDIE, y, np.full(700, 0.4))
+    e = 1e-5
+    for sign, got in ((1, g), (2, h)):  # derivatives of the deviance by differences
+        f = lambda s: -y * np.exp(-0.5 * s) / -0.5 + np.exp(0.5 * s) / 0.5
+        want = (f(0.4 + e) - f(0.4 - e)) / (2 * e) if sign == 1 else (f(0.4 + 1e-3) - 2 * f(0.4) + f(0.4 - 1e-3)) / 1e-6
+        assert np.allclose(got, want, rtol=1e-4, atol=1e-6)
+    bins = boosted.Bins(x, learn)
+    assert (np.bincount(bins.feature) <= 256).all()
+    g, h = g[learn], h[learn]
+    gains = np.zeros(3)
+    weight = boosted.grow(bins, learn, g, h, 1, gains)
+    best = (-np.inf,)
+    for f in range(3):
+        for cut in range(bins.codes[:, f].max()):
+            left = bins.codes[learn, f] <= cut
+            if min(h[left].sum(), h[~left].sum()) >= 1:
+                gain = g[left].sum() ** 2 / (h[left].sum() + 1) + g[~left].sum() ** 2 / (h[~left].sum() + 1) - g.sum() ** 2 / (h.sum() + 1)
+                best = max(best, (gain, f, cut))
+    gain, f, cut = best
+    left = bins.codes[:, f] <= cut
+    assert np.isclose(gains[f], gain) and gains.sum() == gains[f]
+    for side in (left, ~left):
+        assert np.allclose(weight[side], -g[side[learn]].sum() / (h[side[learn]].sum() + 1))
+
+
+def test_deviance_falls_each_round_and_stages_are_prefixes():
+    from tillwise.operators import boosted
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 12, (400, 4)).astype(float)
+    y = rng.poisson(np.exp(0.2 * x[:, 0])) * rng.gamma(2, 1, 400)
+    every = np.ones(400, bool)
+    for objective in (boosted.SQUARED, boosted.TWEEDIE):
+        stages, _ = boosted.boost(x, y, every, objective, 3, 0.1, list(range(1, 31)))
+        if objective == boosted.TWEEDIE:
+            loss = [np.mean(2 * y / np.sqrt(p) + 2 * np.sqrt(p)) for p in stages]
+        else:
+            loss = [np.mean((y - p) ** 2) for p in stages]
+        assert all(b < a for a, b in zip(loss, loss[1:], strict=False))
+        assert np.array_equal(boosted.boost(x, y, every, objective, 3, 0.1, [7])[0][0], stages[6])
+    zero, _ = boosted.boost(x, np.zeros(400), every, boosted.TWEEDIE, 3, 0.3, [20])
+    assert np.isfinite(zero[0]).all() and zero[0].max() < 1e-3
 
 
 def test_run_log_schema(spark):

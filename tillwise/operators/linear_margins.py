@@ -35,7 +35,7 @@ from tillwise.sources.sinks import scratch_dir
 #: Fixed value of the original: weight of a text's loss against the squared weights.
 COST = 1.0
 #: Largest gain of a last round, as a share of the dual objective, and the rounds that may take.
-TOLERANCE, ROUNDS = 0.002, 30
+TOLERANCE, ROUNDS = 0.005, 30
 #: Passes over a block's texts in a round.
 EPOCHS = 3
 #: Terms of texts in a block, and classes x folds side by side: together they bound a task's weights.

@@ -49,9 +49,8 @@ BASE_SCHEMA = T.StructType([T.StructField("DATA", T.StringType())]
                            + [T.StructField(c, T.IntegerType()) for c in FLAGS])
 
 
-def grids(trees: list[dict]) -> dict[str, list[dict]]:
-    """Search space per label: only the total is also tried with the Tweedie objective."""
-    return {"VALOR_TOTAL": trees, "VLR_REDE": [g for g in trees if g["kind"] == "gbt"]}
+#: Search space per label: only the total is also tried with the Tweedie objective.
+GRIDS = {"VALOR_TOTAL": boosted.FULL_GRID, "VLR_REDE": boosted.SQUARED_GRID}
 
 
 def read_base(spark: SparkSession, path: str) -> DataFrame:
@@ -86,21 +85,13 @@ def model_rows(base: DataFrame, test_from: str, last: str, reference_mode: bool
 
 
 def forecast_csv(spark: SparkSession, base: DataFrame, test_from: str, last: str,
-                 trees: list[dict] | None = None) -> DataFrame:
+                 grids: dict[str, list[dict]] | None = None) -> DataFrame:
     """DATA, PREVISAO, PREVISAO_REDE of the test days, each from its label's best parameter set."""
     from tillwise.plans.models import train_labels
 
-    spaces = grids(trees or boosted.DEFAULT_GRID)
-    rows = model_rows(base, test_from, last).persist()
-    out = None
-    for label, spec in CSV_LABELS.items():
-        preds, _, _ = train_labels(spark, rows, {label: spec}, spaces[label])
-        one = preds.select("DATA", F.col("PREVISAO").alias(spec["output"]))
-        out = one if out is None else out.join(one, "DATA")
-    out = out.persist()
-    out.count()
-    rows.unpersist()
-    return out
+    preds, _, _ = train_labels(spark, model_rows(base, test_from, last), CSV_LABELS, grids or GRIDS)
+    one = [F.max(F.when(F.col("series") == label, F.col("PREVISAO"))).alias(spec["output"]) for label, spec in CSV_LABELS.items()]
+    return preds.groupBy("DATA").agg(*one)
 
 
 # --------------------------------------------------------------------------- registered jobs

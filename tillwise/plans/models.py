@@ -18,7 +18,6 @@ from tillwise.plans.retail import FORECAST_AS_OF, long_series
 from tillwise.session import per_application
 
 COST_AS_OF, COST_PREVIOUS_RUN = "2024-01-31", "2024-01-24"
-ROWS_PER_PARTITION = 100_000
 COST_HOLDOUT_DAYS = 7  # the billing stand-in covers 30 days; a 31-day holdout would leave no training data
 
 
@@ -84,62 +83,38 @@ def train_retail_gbt(spark: SparkSession, sf_dir: str | None, grid: list[dict] |
     from tillwise.operators import boosted
     from tillwise.plans.retail import LABELS
 
-    return train_labels(spark, retail_model_frame(spark, sf_dir, abt, as_of), LABELS, grid or boosted.DEFAULT_GRID)
+    return train_labels(spark, retail_model_frame(spark, sf_dir, abt, as_of), LABELS, {label: grid or boosted.FULL_GRID for label in LABELS})
 
 
-def train_labels(spark: SparkSession, rows: DataFrame, labels: dict[str, dict], grid: list[dict]):
-    """Per label: CV over the grid, refit the winner on all training days, score the test days.
+def train_labels(spark: SparkSession, rows: DataFrame, labels: dict[str, dict], grids: dict[str, list[dict]]):
+    """All labels: CV over their grids, refit the winners on all training days, score the test days.
 
-    ``labels`` names each label's features and refit metric.
-    Returns (predictions, importances, fold-mean metrics) DataFrames."""
-    from concurrent.futures import ThreadPoolExecutor
+    ``labels`` names each label's features and refit metric, ``grids`` its search space.
+    Returns (predictions, importances, fold-mean metrics) DataFrames; the fitted rows are
+    written in the shared folder, so nothing is fitted twice."""
+    from functools import reduce
 
     from tillwise.operators import boosted
+    from tillwise.operators.linear_margins import saved
 
-    base = rows.cache()
-    n_rows = base.count()
-    # partitions sized by rows: per-task overhead dominates fits on small frames
-    frame = base.repartition(max(1, -(-n_rows // ROWS_PER_PARTITION))).cache()
-    frame.count()
-    base.unpersist()
-    frames = {label: frame.where(F.col("series") == label) for label in labels}
-    trains = {label: f.where(F.col("split") == "train") for label, f in frames.items()}
+    frame = saved(rows.where(F.col("series").isin(list(labels))), "model-frame")
     feats = {label: list(spec["features"]) for label, spec in labels.items()}
-    means = boosted.fold_means(boosted.cross_validate(trains, feats, grid), ["series"]).cache()
-    chosen = {}
-    for label, spec in labels.items():
-        row = boosted.choose(means.where(F.col("series") == label), spec["refit"]).first()
-        if row is not None:  # a series where no candidate could be fitted gets no model
-            chosen[label] = int(row["param_id"])
-
-    def refit(label: str):
-        return label, boosted.estimator(grid[chosen[label]], feats[label]).fit(trains[label])
-
-    with ThreadPoolExecutor(max_workers=max(1, len(chosen))) as pool:
-        models_ = dict(pool.map(refit, list(chosen)))
-    preds, imps = [], []
-    for label, model in models_.items():
-        test = frames[label].where(F.col("split") == "test")
-        preds.append(model.transform(test).select(
-            F.lit(label).alias("series"), "DATA", "y", F.col("prediction").alias("PREVISAO"),
-            F.lit(chosen[label]).alias("param_id")))
-        imps.append(spark.createDataFrame(
-            [(label, f, v) for f, v in boosted.importances(model, feats[label])],
-            "series string, feature string, importance double"))
-
-    def union(parts):
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-    return union(preds), union(imps), means
+    means = saved(boosted.fold_means(boosted.cross_validate(frame, feats, grids), ["series"]), "fold-means")
+    best = reduce(DataFrame.unionByName, (boosted.choose(means.where(F.col("series") == label), spec["refit"], ["series"]) for label, spec in labels.items()))
+    chosen = {r["series"]: r["param_id"] for r in best.collect()}  # a series without training days has no model
+    if not chosen:
+        raise ValueError("no label has training days")
+    fitted = saved(boosted.refit(frame, feats, grids, chosen), "refitted")
+    preds = fitted.where(F.col("feature").isNull()).select("series", "DATA", "y", F.col("value").alias("PREVISAO"), "param_id")
+    names = spark.createDataFrame([(label, i, f) for label, own in feats.items() for i, f in enumerate(own)], "series string, feature int, name string")
+    imps = fitted.where(F.col("feature").isNotNull()).join(F.broadcast(names), ["series", "feature"]).select("series", F.col("name").alias("feature"), F.col("value").alias("importance"))
+    return preds, imps, means
 
 
 def _trained_gbt(spark: SparkSession, sf_dir: str):
     def build():
-        preds, imps, means = train_retail_gbt(spark, sf_dir)
-        return preds.persist(), imps.persist(), means
+        return train_retail_gbt(spark, sf_dir)
+
     return per_application(spark, ("retail_gbt", sf_dir), build)
 
 
@@ -189,11 +164,11 @@ def run_retail_forecast_job(spark: SparkSession, sf_dir: str | None, run_log_pat
     """E1 as a job: per label, grid search on contiguous folds, refit, score the test month;
     the chosen parameters and their fold-mean metrics are appended to the run log (S12).
     ``abt`` takes the caller's feature table (``build_abt``); else the test data's."""
-    from tillwise.operators.boosted import DEFAULT_GRID, METRICS
+    from tillwise.operators.boosted import FULL_GRID, METRICS
     from tillwise.sources.sinks import append_run_log, run_log_rows
 
-    grid = grid or DEFAULT_GRID  # boosted.FULL_GRID is the original 54-combination search space
-    if abt is None and grid is DEFAULT_GRID:
+    grid = grid or FULL_GRID  # the original 54-combination search space
+    if abt is None and grid is FULL_GRID:
         preds, _, means = _trained_gbt(spark, sf_dir)
     else:
         preds, _, means = train_retail_gbt(spark, sf_dir, grid=grid, abt=abt, as_of=as_of)
