@@ -85,6 +85,80 @@ def test_one_design_serves_all_prior_scales():
         assert np.array_equal(shared.solve(*scales).beta, alone.beta) and shared.sigma == alone.sigma
 
 
+def two_breaks(n, seed=0, noise=0.5):
+    """Days with a slope that changes twice, a weekly wave and noise."""
+    rng = np.random.default_rng(seed)
+    t = np.arange(n, dtype=float)
+    trend = 100 + 0.05 * t + 0.3 * np.maximum(0, t - n * 0.3) - 0.4 * np.maximum(0, t - n * 0.6)
+    return pd.Series(pd.date_range("2021-01-01", periods=n, freq="D")), pd.Series(trend + 3 * np.sin(2 * np.pi * t / 7) + noise * rng.normal(size=n))
+
+
+def test_laplace_slopes_are_sparse():
+    days, y = two_breaks(600)
+    m = additive.AdditiveModel(0.05, 0.1, 100).fit(days, y, [None] * 600)
+    slopes = np.abs(m.beta[2:2 + len(m.changepoints)])
+    gauss = np.abs(np.linalg.solve(m.gram + np.diag(m._penalty(np.full(100, m.cps))), m.moments)[2:102])
+    many = lambda v: int((v > 0.05 * v.max()).sum())
+    assert many(slopes) < 30 < 60 < many(gauss)
+    near = np.min(np.abs(m.changepoints[:, None] - np.array([0.3, 0.6])), axis=1) < 0.05
+    assert slopes[near].sum() > 0.9 * slopes.sum()
+    # the reweighted steps reach a point that no slope can leave with profit
+    def loss(beta):
+        fit = np.sum((m.yv / m.y_scale - m.X @ beta) ** 2) / (2 * additive.NOISE_VAR)
+        return fit + np.sum(np.abs(beta[2:2 + len(m.changepoints)])) / m.cps
+    for j in np.r_[2:2 + len(m.changepoints):9]:
+        for step in (-0.02, 0.02):
+            moved = m.beta.copy()
+            moved[j] += step
+            assert loss(moved) > loss(m.beta) - 1e-3
+
+
+def test_band_widens_and_covers():
+    """Series drawn as the model assumes: trend changes at its changepoints and at the same rate after them."""
+    rng = np.random.default_rng(8)
+    n, ahead, n_cp, series = 400, 30, 10, 100
+    days = pd.Series(pd.date_range("2021-01-01", periods=n + ahead, freq="D"))
+    at = np.linspace(0, int(n * 0.8) - 1, n_cp + 1).round()[1:]
+    t = np.arange(n + ahead, dtype=float)
+    inside = total = 0
+    for _ in range(series):
+        later = n - 1 + ahead * rng.random(rng.poisson(n_cp * ahead / (n - 1)))
+        changes = np.r_[at, later]
+        trend = 0.5 * t + np.maximum(0, t[:, None] - changes) @ rng.laplace(0, 6, len(changes))
+        y = 1000 + trend - trend.min() + 20 * rng.normal(size=n + ahead)
+        m = additive.AdditiveModel(2, 0.1, n_cp).fit(days[:n], pd.Series(y[:n]), [None] * n)
+        pred = m.predict(days[n:].reset_index(drop=True), [None] * ahead)
+        width = (pred.yhat_upper - pred.yhat_lower).to_numpy()
+        assert width[-5:].mean() > 1.1 * width[:5].mean()
+        inside += int(((y[n:] >= pred.yhat_lower) & (y[n:] <= pred.yhat_upper)).sum())
+        total += ahead
+    assert 0.75 <= inside / total <= 0.85, inside / total
+
+
+def test_tracking_equals_refits_from_scratch(spark):
+    days, y = two_breaks(200)
+    rows = [("s", d.date(), float(v)) for d, v in zip(days, y, strict=True)] + [("short", days[195].date(), 1.0)]
+    rows = [r for r in rows if r[1] != dt.date(2021, 7, 5)]  # a day without a value
+    series = spark.createDataFrame(rows, "series string, ds date, y double")
+    holidays = spark.createDataFrame([(dt.date(2021, 2, 1), "X"), (dt.date(2021, 7, 4), "X")], "ds date, holiday string")
+    best = spark.createDataFrame([("s", 0.1, 0.2, 20), ("short", 0.1, 0.2, 20)], "series string, changepoint_prior_scale double, holidays_prior_scale double, n_changepoints int")
+    got = sorted(additive.track(series, best, holidays, "2021-07-01", "2021-07-10").collect(), key=lambda r: r.data)
+    assert len(got) == 10 and {r.series for r in got} == {"s"}
+    names = {dt.date(2021, 2, 1): np.array(["X"]), dt.date(2021, 7, 4): np.array(["X"])}
+    own = [r for r in rows if r[0] == "s"]
+    base = [r for r in own if r[1] < dt.date(2021, 7, 1)]
+    for r in got:
+        m = additive.AdditiveModel(0.1, 0.2, 20).prepare(pd.Series([x[1] for x in base]), pd.Series([x[2] for x in base]), [names.get(x[1]) for x in base])
+        seen = [x for x in own if x[1] < r.data]
+        m.X = m._design(m._days(pd.Series([x[1] for x in seen])), [names.get(x[1]) for x in seen])
+        m.yv = np.array([x[2] for x in seen])
+        m.gram, m.moments = m.X.T @ m.X, m.X.T @ (m.yv / m.y_scale)
+        want = m.solve(0.1, 0.2).point(pd.Series([r.data]), [names.get(r.data)])[0]
+        assert np.isclose(r.previsao_ajustada, want, rtol=1e-8)
+        assert (r.real is None or np.isnan(r.real)) == (r.data == dt.date(2021, 7, 5))
+    assert got[0].previsao_inicial == got[0].previsao_ajustada
+
+
 def test_csv_forecast(spark):
     from tillwise.plans import csv_forecast as CF
     days = pd.date_range("2000-01-01", "2001-06-30", freq="D")

@@ -40,6 +40,21 @@ def additive_forecast_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fc.join(hist.select("series", "ds", "y"), ["series", "ds"], "left")
 
 
+def additive_tracking_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M17 with the trained model: the tracked month's first forecast, daily re-forecasts and actuals."""
+    from calendar import monthrange
+
+    from tillwise.plans.tracking import TRACK_MONTH
+
+    year, month = (int(x) for x in TRACK_MONTH.split("-")[:2])
+    last = f"{TRACK_MONTH[:8]}{monthrange(year, month)[1]:02d}"
+    long_df = long_series(abt_daily(spark, sf_dir, as_of=FORECAST_AS_OF, start=ABT_START, persist=True))
+    series = long_df.select("series", F.col("DATA").alias("ds"), "y")
+    holidays = holiday_union_q(spark, sf_dir)
+    best = additive.best_parameters(additive.tune(additive.prepare_history(series, holidays, TRACK_MONTH), TRACK_MONTH))
+    return additive.track(series, best, holidays, TRACK_MONTH, last)
+
+
 def forecast_result(fc: DataFrame, history: DataFrame, as_of: str) -> DataFrame:
     """Target-table shape (data, previsao, real, bands; lower band clipped), rows >= as_of."""
     j = fc.join(history.select("series", "ds", F.col("y").alias("real")), ["series", "ds"], "left")

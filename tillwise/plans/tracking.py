@@ -79,20 +79,20 @@ def _retail_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forecast_rows(fc: DataFrame) -> DataFrame:
     """M12 shape: target table columns, lower band clipped at 0 (NULL kept)."""
-    return fc.select("data", "previsao", "real", "previsao_superior",
+    return fc.select("series", "data", "previsao", "real", "previsao_superior",
                      clip_below_zero(F.col("previsao_inferior")).cast("double").alias("previsao_inferior"))
 
 
-def upsert_forecast_q(spark: SparkSession, sf_dir: str, series: str = "VALOR_TOTAL") -> DataFrame:
-    """Table holding the first run's forecast, merged with the second run's rows dated
-    on or after the second run (P9)."""
-    long_df = _retail_long(spark, sf_dir).where(F.col("series") == series)
+def upsert_forecast_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table holding the first run's forecasts of all series, merged on (series, data) with
+    the second run's rows dated on or after the second run (P9)."""
+    long_df = _retail_long(spark, sf_dir)
     fc = naive_forecasts(long_df, _runs(spark, [UPSERT_FIRST_RUN, UPSERT_SECOND_RUN]),
                          spread_before=UPSERT_FIRST_RUN)
     target = forecast_rows(fc.where(F.col("run_date") == F.to_date(F.lit(UPSERT_FIRST_RUN))))
     source = forecast_rows(fc.where((F.col("run_date") == F.to_date(F.lit(UPSERT_SECOND_RUN)))
                                     & (F.col("data") >= F.to_date(F.lit(UPSERT_SECOND_RUN)))))
-    return merge_frames(target, source, ["data"])
+    return merge_frames(target, source, ["series", "data"])
 
 
 def forecast_tracking_q(spark: SparkSession, sf_dir: str) -> DataFrame:

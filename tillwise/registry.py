@@ -89,6 +89,7 @@ from tillwise.plans import models  # noqa: E402
 
 register("tune_additive", models.tune_additive_q)
 register("additive_forecast", models.additive_forecast_q)
+register("additive_tracking", models.additive_tracking_q)
 register("cost_forecast", models.cost_forecast_q)
 register("gbt_forecast", models.gbt_forecast_q)
 register("feature_importance", models.feature_importance_q)
