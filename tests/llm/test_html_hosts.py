@@ -109,6 +109,19 @@ def test_hosts_of_copies_stay(spark, folder):
     assert {got[200 + i] for i in range(400)} == {"a hot copy with some words"}
 
 
+def test_hosts_of_near_copies_stay(spark):
+    """Ten near copies of an article of seven blocks, one paragraph different: with markup, without, and beside boilerplate."""
+    words = lambda name, n=12: " ".join(f"{name}x{k}" for k in range(n))
+    blocks = [[words(f"p{j}" if j != 3 else f"own{i}") for j in range(7)] for i in range(10)]
+    rows = [(i, "http://a.example/x", "<article>" + "".join(f"<p>{b}</p>" for b in blocks[i]) + "</article>") for i in range(10)]
+    rows += [(100 + i, "http://b.example/x", "<body>" + "".join(f"<div>{b}</div>" for b in blocks[i]) + "</body>") for i in range(10)]
+    rows += [(200 + i, "http://c.example/x", f"<article><p>{words(f'a{i}', 30)}</p><p>{words('more')}</p><p>{words(f'b{i}', 20)}</p></article>") for i in range(20)]
+    got = {r.page_id: r.text for r in html_hosts.extract(pages(spark, rows)).collect()}
+    for i in range(10):
+        assert got[i] == got[100 + i] == "\n".join(blocks[i])
+    assert all(got[200 + i] == f"{words(f'a{i}', 30)}\n{words(f'b{i}', 20)}" for i in range(20))
+
+
 def test_groups_do_not_change_the_result(spark):
     """A rare notice on a large host goes; a passage in most of its main texts goes; both as with one group."""
     own = lambda i: " ".join(f"w{i}x{k}" for k in range(12))

@@ -10,8 +10,10 @@
    their counts are summed, so that they do not change the result.
 3. A block goes if ``COVERED`` of it lies in substrings, about half as long as
    itself or longer, that the host repeats: on ``OUTSIDE`` contents on pages without
-   main markup; in main texts, on most of the host's main texts.  Unique runs stay,
-   and copied articles stay whole.
+   main markup; in main texts, on most of the host's main texts.  Unique runs stay.
+4. What repeats around a text is less than the text.  A main text that would lose
+   more than half of its tokens, or a page without main markup that would lose more
+   than four fifths, is a copy or near copy of other pages and stays whole.
 
 Defined results: null or empty html, or a page without an article's text, gives
 an empty text; a null or unreadable url is a host of its own (the empty one);
@@ -40,6 +42,8 @@ LONG, PAGES = 4, 512
 COVERED = 0.6
 #: Contents that must share a substring: outside an article, inside one (least number, share of the host's).
 OUTSIDE, INSIDE = (3, 0.0), (8, 0.6)
+#: Largest share of its tokens that a page may lose: main texts, pages without main markup.
+LOSS = {True: 0.5, False: 0.8}
 
 # HTML's elements by what they mean here, and usual class names.
 BLOCK_TAGS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -269,14 +273,16 @@ def main_text(blocks: list[tuple[str, int]], often: dict[bool, np.ndarray]) -> s
         hit = starts[np.isin(h, names)]
         edge = np.bincount(hit, minlength=len(tokens) + 1) - np.bincount(hit + depth, minlength=len(tokens) + 1)
         covered[depth] = np.concatenate(([0], np.cumsum(np.cumsum(edge)[:-1] > 0)))
-    kept, at = [], 0
+    kept, at, lost = [], 0, 0
     for text, _ in held:
         size = text.count(" ") + 1
         sums = covered.get(window_of(size))
         if sums is None or sums[at + size] - sums[at] < COVERED * size:
             kept.append(text)
+        else:
+            lost += size
         at += size
-    return "\n".join(kept)
+    return "\n".join(kept if lost <= LOSS[best > 0] * at else (t for t, _ in held))
 
 
 def host_of(url):
