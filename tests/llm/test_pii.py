@@ -99,3 +99,23 @@ def test_redaction(spark, make_docs):
 def test_no_python_in_the_plan(spark):
     got = queries.op7_pii(spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in got and "Arrow" not in got and "Pandas" not in got
+
+
+def test_many_matches_and_long_pieces(spark):
+    """A text of many separate matches, and spans at the seams of the pieces that redaction cuts a text into."""
+    seams = "x" * 4094 + " 1.2.3.4 " + "é" * 4085 + " a@b.org " + "\U0001f600" * 9000 + " +49 30 1234567 end"
+    many = " ".join(f"{i % 250}.7.2.{i % 99}" if i % 3 else f"n{i}" for i in range(6_000))
+    rows = [(1, many), (2, seams), (3, "1.2.3.4"), (4, "x" * 4096), (5, None)]
+    found = pii.Extractor(spark.createDataFrame(rows, "doc_id long, text string"))
+    spans = {r.doc_id: [(x["kind"], x["start"], x["end"]) for x in r.spans] for r in found.spans().collect()}
+    want = {i: [("ip", m.start(), m.end()) for m in re.finditer(r"[0-9]+(?:\.[0-9]+){3}", t or "")] for i, t in rows}
+    want[2] = want[2][:1] + [("email", seams.index("a@b.org"), seams.index("a@b.org") + 7), ("phone", seams.index("+49"), seams.index(" end"))]
+    for i in want:
+        assert sorted(spans[i], key=lambda x: x[1]) == want[i]
+    for r in found.redacted(["doc_id", "text"]).collect():
+        out, at = [], 0
+        text = dict(rows)[r.doc_id]
+        for kind, start, end in want[r.doc_id]:
+            out += [text[at:start], f"[{kind.upper()}]"]
+            at = end
+        assert r.text == (None if text is None else "".join(out) + text[at:])

@@ -80,24 +80,66 @@ def valid(kind: str, value: Column) -> Column:
 FOUND = "array<struct<start: int, end: int, value: string, context: string>>"
 
 
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """What ``combine`` makes of 0 and the values before each one, with the total at the end.
+
+    Blocks of about n ** (1/3) values: their totals are run through once, and each value goes
+    through its own block only, so that the work grows with n ** (4/3).
+    """
+    def over(part: Column, start: Column) -> Column:
+        return F.aggregate(part, start, combine)
+
+    def scan(s: Column) -> Column:
+        v, size = s["v"], s["size"]
+        total = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / size).cast("int")), lambda k: over(F.slice(v, k * size + 1, size), F.lit(0)))
+        before = F.aggregate(total, F.array(F.lit(0)), lambda out, x: F.concat(out, F.array(combine(F.element_at(out, -1), x))))
+
+        def of(b: Column) -> Column:
+            def at(i: Column) -> Column:
+                k = F.floor(i / size).cast("int")
+                return over(F.slice(v, k * size + 1, i - k * size), F.get(b, k))
+
+            return F.transform(F.sequence(F.lit(0), F.size(v)), at)
+
+        return bind(before, of)
+
+    size = F.greatest(F.lit(8), F.cbrt(F.size(values)).cast("int"))
+    return F.when(F.size(values) > 0, bind(F.struct(values.alias("v"), size.alias("size")), scan)).otherwise(F.array(F.lit(0)))
+
+
 def found(text: Column, pattern: str) -> Column:
     """All matches in order: start, end, value, and the word before, in lower case."""
     def place(v: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("out"))
+        part = F.slice(v["part"], 1, F.size(v["hit"]))
+        lens = F.zip_with(part, v["hit"], lambda p, h: F.length(p) + F.length(h))
 
-        def step(a: Column, x: Column) -> Column:
-            start = a["at"] + F.length(x["part"])
-            end = start + F.length(x["hit"])
+        def one(x: Column) -> Column:
+            start = x["at"] + F.length(x["part"])
             before = F.substring_index(F.rtrim(F.translate(x["part"], "\t\n\x0b\x0c\r", "     ")), " ", -1)
-            one = F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("value"), F.lower(before).alias("context"))
-            return F.struct(end.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
+            return F.struct(start.alias("start"), (start + F.length(x["hit"])).alias("end"), x["hit"].alias("value"), F.lower(before).alias("context"))
+
+        def placed(at: Column) -> Column:
+            pairs = F.arrays_zip(part.alias("part"), v["hit"].alias("hit"), F.slice(at, 1, F.size(v["hit"])).alias("at"))
+            return F.transform(pairs, one)
 
-        pairs = F.arrays_zip(F.slice(v["part"], 1, F.size(v["hit"])).alias("part"), v["hit"].alias("hit"))
-        return F.when(F.size(v["hit"]) > 0, F.aggregate(pairs, zero, step)["out"]).otherwise(F.array().cast(FOUND))
+        return F.when(F.size(v["hit"]) > 0, bind(running(lens, lambda a, x: a + x), placed)).otherwise(F.array().cast(FOUND))
 
     return bind(F.struct(F.split(text, pattern).alias("part"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit")), place)
 
 
+#: Characters of a piece that a long text is cut into; a position is counted inside its piece only.
+PIECE = 4096
+
+
+def between(pieces: Column, a: Column, b: Column) -> Column:
+    """Characters ``a`` (included) to ``b`` of the text in ``pieces``."""
+    first, last = F.floor(a / PIECE).cast("int"), F.floor(b / PIECE).cast("int")
+    head, tail = F.coalesce(F.get(pieces, first), F.lit("")), F.coalesce(F.get(pieces, last), F.lit(""))
+    whole = F.array_join(F.slice(pieces, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    apart = F.concat(F.substring(head, a % PIECE + 1, F.lit(PIECE)), whole, F.substring(tail, F.lit(1), b % PIECE))
+    return F.when(first == last, F.substring(head, a % PIECE + 1, b - a)).otherwise(apart)
+
+
 def seeds(text: Column, kind: str) -> Column:
     hits = F.filter(found(text, FORMS[kind]), lambda x: valid(kind, x["value"]))
     return F.when(text.rlike(HINTS[kind]), hits).otherwise(F.array().cast(FOUND))
@@ -156,7 +198,9 @@ class Extractor:
         slot = marked.select(self.row, F.explode(slots).alias("s")).select(self.row, "s.*").join(able.select("context").distinct(), "context")
         slot = scratch.save(slot.select(self.row, "start", "end", "value", "context", F.explode(loose(F.col("value"))).alias("kind")))
         words = df.select(F.explode(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), f"[{SPACE}]+")).alias("context"))
-        total = scratch.save(words.join(able.select("context").distinct(), "context").groupBy("context").agg(F.count("*").alias("total")))
+        # words are counted before the join, so that no common word is shuffled more often than once a task
+        words = words.groupBy("context").agg(F.count("*").alias("total"))
+        total = scratch.save(words.join(able.select("context").distinct(), "context"))
         plain = slot.join(sown.select("kind", "value").distinct(), ["kind", "value"], "left_anti").groupBy("context", "kind", "value").agg(F.count("*").alias("n"))
         edges = sown.withColumn("seed", F.lit(True)).join(able.select("context", "kind"), ["context", "kind"]).union(plain.withColumn("seed", F.lit(False)).select("context", "kind", "value", "n", "seed"))
         edges = scratch.save(edges)
@@ -194,16 +238,22 @@ class Extractor:
         df = self.spans()
         spans = df.columns[-1]
         by_start = F.array_sort(F.transform(F.col(spans), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
-        def step(a: Column, x: Column) -> Column:
-            new = F.array(F.substring(F.col(text), a["at"] + 1, x["start"] - a["at"]), F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))
-            return F.struct(F.greatest(a["at"], x["end"]).alias("at"), F.when(x["start"] >= a["at"], F.concat(a["out"], new)).otherwise(a["out"]).alias("out"))
+        def rebuilt(v: Column) -> Column:
+            def joined(at: Column) -> Column:
+                def piece(x: Column) -> Column:
+                    # a span that begins inside what is already replaced adds nothing
+                    new = F.concat(between(v["pieces"], x["at"], x["start"]), F.lit("["), F.upper(x["kind"]), F.lit("]"))
+                    return F.when(x["start"] >= x["at"], new).otherwise(F.lit(""))
+
+                each = F.zip_with(v["own"], F.slice(at, 1, F.size(v["own"])), lambda x, t: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), t.alias("at")))
+                end = F.element_at(at, -1)
+                return F.concat(F.array_join(F.transform(each, piece), ""), between(v["pieces"], end, F.size(v["pieces"]) * PIECE))
 
-        def rebuilt(a: Column) -> Column:
-            return F.concat(F.array_join(a["out"], ""), F.substring(F.col(text), a["at"] + 1, F.length(F.col(text))))
+            return bind(running(F.transform(v["own"], lambda x: x["end"]), lambda a, x: F.greatest(a, x)), joined)
 
-        clean = F.when(F.size(spans) > 0, bind(F.aggregate(by_start, zero, step), rebuilt)).otherwise(F.col(text))
+        pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+        clean = F.when(F.size(spans) > 0, bind(F.struct(by_start.alias("own"), pieces.alias("pieces")), rebuilt)).otherwise(F.col(text))
         return df.select(*(clean.alias(c) if c == text else F.col(c) for c in columns))
 
 
