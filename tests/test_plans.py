@@ -26,7 +26,7 @@ def test_no_cartesian_or_python(spark, name):
 def test_expected_physical_choices(spark):
     assert "WindowGroupLimit" in plan_text(spark, "top_sellers")       # partial top-k before the shuffle
     assert "WindowGroupLimit" in plan_text(spark, "flyer_feed")
-    assert "BroadcastHashJoin" in plan_text(spark, "priced_usage")     # price list broadcast after the count check
+    assert "BroadcastHashJoin" in plan_text(spark, "priced_usage")     # price list broadcast by its measured size
     abt = plan_text(spark, "abt_daily")
     assert "InMemoryTableScan" in abt                                  # fact pre-aggregate read from one persisted copy
     assert "Subquery" in abt or "subquery" in abt                      # theta join as a scalar subquery
@@ -34,4 +34,4 @@ def test_expected_physical_choices(spark):
 
 def test_forecaster_is_grouped_pandas(spark):
     p = plan_text(spark, "tune_additive")
-    assert "FlatMapGroupsInPandas" in p                                # one task per (series, params) group
+    assert "FlatMapGroupsInPandas" in p                                # one task per (series, number of changepoints) group

@@ -8,7 +8,7 @@ the document, confidence the softmax over all labels, ties go to the last label
 
 A label without a term of the document scores ln(prior) - n ln(total + V), which
 depends on n alone: the best such label and the sum over all of them are worked out
-once for each n (distinct n x labels rows), so these labels join no document.
+once for each n, from the list of all labels' sizes, so these labels join no document.
 """
 
 from __future__ import annotations
@@ -38,15 +38,20 @@ def predict(tf: DataFrame, test: DataFrame, counts: DataFrame, labels: DataFrame
     own = tf.join(test.select("doc_id"), "doc_id")
     known = own.join(counts.select("term").distinct(), "term").groupBy("doc_id").agg(F.sum("tf").alias("n"))
     shared = own.join(counts, "term").groupBy("doc_id", "label").agg(F.sum(F.col("tf") * F.log(F.col("c") + 1)).alias("s"))
-    base = F.log("prior") - F.col("n") * F.log(F.greatest(F.col("total") + F.col("v"), F.lit(1)))
+    def base(prior, total, v):
+        return F.log(prior) - F.col("n") * F.log(F.greatest(total + v, F.lit(1)))
+
     # without known terms the labels differ by their priors alone
-    lengths = known.select("n").distinct().unionByName(known.sparkSession.createDataFrame([(0,)], "n long")).distinct()
-    bases = lengths.join(labels).select("n", "label", base.alias("base"))
-    alone = bases.groupBy("n").agg(F.max("base").alias("most"), F.max(F.struct("base", "label")).alias("first"), F.collect_list("base").alias("all"))
-    alone = alone.select("n", "most", F.col("first.label").alias("first"), F.aggregate("all", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("most"))).alias("sum"))
-    scored = shared.join(known, "doc_id").join(labels, "label").select("doc_id", "label", base.alias("base"), (base + F.col("s")).alias("score"))
+    sized = test.select("doc_id").join(known, "doc_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    every = labels.agg(F.collect_list(F.struct("label", "prior", "total", "v"))).scalar()
+    alone = sized.select("n").distinct().withColumn("every", every).select(
+        "n", F.transform("every", lambda r: F.struct(base(r["prior"], r["total"], r["v"]).alias("base"), r["label"].alias("label"))).alias("every"))
+    alone = alone.withColumn("first", F.array_max("every")).select("n", F.col("first.base").alias("most"), F.col("first.label").alias("first"), "every")
+    alone = alone.select("n", "most", "first", F.aggregate("every", F.lit(0.0), lambda s, x: s + F.exp(x["base"] - F.col("most"))).alias("sum"))
+    own_base = base(F.col("prior"), F.col("total"), F.col("v"))
+    scored = shared.join(known, "doc_id").join(labels, "label").select("doc_id", "label", own_base.alias("base"), (own_base + F.col("s")).alias("score"))
     own = scored.groupBy("doc_id").agg(F.max(F.struct("score", "label")).alias("top"), F.collect_list(F.struct("base", "score")).alias("all"))
-    rows = test.select("doc_id").join(known, "doc_id", "left").withColumn("n", F.coalesce("n", F.lit(0))).join(alone, "n").join(own, "doc_id", "left")
+    rows = sized.join(alone, "n").join(own, "doc_id", "left")
     rows = rows.withColumn("best", F.greatest(F.col("top"), F.struct(F.col("most").alias("score"), F.col("first").alias("label"))))
     high, none = F.col("best.score"), F.array().cast("array<struct<base:double,score:double>>")
     # labels that share a term count with their full score in place of the base
