@@ -8,6 +8,7 @@ from tests.conftest import SF001, SF01
 from tests.llm.conftest import ODD
 from tillwise.llm import quality_rules, queries
 
+SF1 = "/root/testdata/sf0.1"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -25,30 +26,49 @@ def tail(k, n, p):
 
 
 def plain(docs, labels, limit=quality_rules.LIMIT, risk=quality_rules.RISK):
-    made = [(i, lang or "", counts(t)) for i, t, lang in docs]
+    """The rows that the query must give, and {language: {rule: cutoff}}."""
+    made = [(i, lang, counts(t)) for i, t, lang in docs]
     failed = [c[0] < 20 or 100 * c[4] > 30 * c[0] for _, _, c in made]
     share = lambda a, b: min(100 * a // max(b, 1), 100)
     points = [{"symbols": share(c[2], c[1]), "dup_lines": share(c[3], c[5]), "repeats": share(c[4], c[0]), "capitals": share(c[6], c[1])} for _, _, c in made]
-    good = {}
+    label = {}
     for i, q in labels:
         if i is not None and q is not None:
-            good[i] = min(q, good.get(i, q))
-    seen = defaultdict(list)
+            label[i] = min(q, label.get(i, q))
+    good, poor, other = defaultdict(list), defaultdict(list), defaultdict(list)
     for (i, lang, _), bad, p in zip(made, failed, points, strict=True):
-        if i in good and not bad:
-            for rule, x in p.items():
-                seen[lang, rule].append((x, good[i] > 0))
+        if not bad:
+            if label.get(i, 0) > 0:
+                good[lang].append(p)
+            else:
+                other[lang].append(p)
+                if i in label:
+                    poor[lang].append(p)
+    tested = [x for x in good if (1 - limit) ** len(good[x]) <= risk]
     cutoffs = {}
-    for key, rows in seen.items():
-        n, best = sum(g for _, g in rows), (0, 0)
-        for c in range(100, 0, -1):
-            k = sum(g for x, g in rows if x >= c)
-            if k > n * limit or tail(k, n, limit) > risk / len(seen):
+    for lang in tested:
+        def reach(rows, rule, c):
+            return sum(p[rule] >= c for p in rows)
+
+        lift = {}
+        for rule in quality_rules.RULES:
+            top = 0.0
+            for c in range(1, 101):
+                caught = reach(poor[lang], rule, c)
+                if caught:
+                    top = max(top, caught / len(poor[lang]) / (reach(other[lang], rule, c) / len(other[lang])))
+                lift[rule, c] = top
+        best = (0, 0.0)
+        for least in sorted({x for x in lift.values() if x > 0}, reverse=True):
+            goes = lambda p: any(p[r] and lift[r, p[r]] >= least for r in p)  # noqa: E731, B023
+            k = sum(map(goes, good[lang]))
+            if k > len(good[lang]) * limit or tail(k, len(good[lang]), limit) > risk / len(tested):
                 break
-            best = max(best, (sum(not g for x, g in rows if x >= c) - quality_rules.COST * k, c))
+            best = max(best, (sum(map(goes, poor[lang])) - quality_rules.COST * k, least))
         if best[0] > 0:
-            cutoffs[key] = best[1]
-    return sorted(((i, *c[:5], bad, not bad and not any(p[r] >= cutoffs.get((lang, r), 101) for r in p)) for (i, lang, c), bad, p in zip(made, failed, points, strict=True)), key=str), cutoffs
+            cutoffs[lang] = {r: min(c for c in range(1, 101) if lift[r, c] >= best[1]) for r in quality_rules.RULES if lift[r, 100] >= best[1]}
+    over = lambda lang, p: any(p[r] >= c for r, c in cutoffs.get(lang, {}).items())
+    return sorted(((i, *c[:5], bad, not bad and not over(lang, p)) for (i, lang, c), bad, p in zip(made, failed, points, strict=True)), key=str), cutoffs
 
 
 def table_rows(spark, sf):
@@ -70,14 +90,40 @@ def test_cutoffs_are_chosen(spark):
     assert sorted(map(tuple, got.collect()), key=str) == want
 
 
+def test_cutoffs_of_the_query(spark):
+    """At the query's own limit and risk, three languages have labels enough; poor documents go, no good one does."""
+    docs, labels = table_rows(spark, SF1)
+    want, cutoffs = plain(docs, labels)
+    assert len(cutoffs) >= 3
+    got = sorted(map(tuple, queries.op4_quality_rules(spark, SF1).collect()), key=str)
+    assert got == want
+    rejected = {r[0] for r in got if not r[6] and not r[7]}
+    good = {i for i, q in labels if q == 1}
+    assert len(rejected) > 100 and len(rejected & good) <= quality_rules.LIMIT * len(good)
+
+
 def test_rules_together_keep_the_limit(spark):
-    """Four rules that each reject 0.6 % of the good documents would reject 2.4 % of them; 0.06 % each is certified."""
-    for rejected, want in ((30, 0), (3, 4)):
+    """Four rules that reject 0.6 % of the good documents each would reject 2.4 %; at 0.06 % each all are certified."""
+    for rejected, want in ((30, False), (3, True)):
         rows = [("en", True, {r: 90 if rejected * j <= i < rejected * (j + 1) else 1 for j, r in enumerate(quality_rules.RULES)}) for i in range(5000)]
         rows += [("en", False, dict.fromkeys(quality_rules.RULES, 90))] * 400
         df = spark.createDataFrame(rows, "stratum string, good boolean, scores map<string,int>")
-        got = quality_rules.chosen(quality_rules.certified(quality_rules.Scratch(spark, "test"), df)).collect()
-        assert sum(len(r.cutoffs) for r in got) == want
+        unlabelled = spark.createDataFrame([("en", dict.fromkeys(quality_rules.RULES, 1))] * 3000, "stratum string, scores map<string,int>")
+        lifts, tested = quality_rules.certified(quality_rules.Scratch(spark, "test"), df.drop("good").union(unlabelled), df)
+        got = quality_rules.chosen(lifts, tested).collect()
+        assert [len(r.cutoffs) for r in got] == [4] * want
+        assert all(r.k <= 50 for r in tested.where("certified").collect())
+
+
+def test_null_language_is_a_stratum(spark):
+    """With labels enough in both, a null language has cutoffs and the empty one, without poor labels, has none."""
+    text = lambda i, junk: " ".join(f"w{i}x{j}" + "#" * junk for j in range(25))
+    docs = [(i, text(i, i % 5 == 0), None if i < 600 else "") for i in range(1200)]
+    labels = [(i, int(i % 5 > 0 or i >= 600)) for i in range(1200) if i % 5 or i < 600]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    got = quality_rules.judge(df, spark.createDataFrame(labels, "doc_id long, quality int"), "q", keep=["doc_id"]).where("not q.kept").select("doc_id")
+    assert sorted(r[0] for r in got.collect()) == list(range(0, 600, 5))
+    assert list(plain(docs, labels)[1]) == [None]
 
 
 def test_odd_rows(spark, make_docs, folder):

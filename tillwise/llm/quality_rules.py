@@ -1,26 +1,34 @@
 """Quality rules whose cutoffs are certified on labelled documents (DataFrame functions only).
 
-Every rule gives a document a score in whole per cent; a document goes if a
-score reaches the rule's cutoff in its stratum (language).  Cutoffs come from
+Every rule gives a document a score in whole per cent; a document goes if one
+reaches the rule's cutoff in its stratum (language).  Cutoffs come from
 the labelled documents of good quality, the holdout:
 
-* A cutoff that rejects k of a stratum's n good documents is certified if the
-  exact binomial tail P(X <= k | n, limit) is at most the level, that is, if the
+* The cutoffs of a stratum form one nested family.  The lift of a rule's cutoff is
+  the share of the poor labelled documents that reach it, divided by the share of
+  all documents but the good labelled ones (running maximum, so it never falls as
+  the cutoff rises).  A document's combined score is the largest lift that one of
+  its scores reaches; to reject from a lift on is to set one cutoff for each rule.
+  The good labelled documents, on which the family is tested, do not shape it.
+* A lift that rejects k of a stratum's n good documents is certified if the exact
+  binomial tail P(X <= k | n, limit) is at most the level, that is, if the
   Clopper-Pearson upper bound of its false rejection rate is below ``limit``.
-* The level is ``risk`` divided by strata x rules (Bonferroni); inside a rule
-  the cutoffs are tested in a fixed order, from the mildest on, up to the first
-  that is not certified, which needs no further correction.  So with probability
-  1 - ``risk`` no chosen cutoff of any stratum rejects more than ``limit``, and
-  all cutoffs of a stratum together no more than ``TOGETHER``.
-* Of a rule's certified cutoffs the one with the largest gain is taken: rejected
-  poor documents less ``COST`` times rejected good ones, and none if no cutoff
-  has a gain.  A stratum with too few labels gets no cutoffs, and loses nothing.
+* The level is ``risk`` divided by the strata tested (Bonferroni); inside a stratum
+  lifts are tested in a fixed order, from the largest, mildest one on, up to the
+  first that is not certified, which needs no further correction.  So with
+  probability 1 - ``risk`` no stratum's rules together reject more than ``limit``
+  of its good documents.
+* Of the certified lifts the one with the largest gain is taken: rejected poor
+  documents less ``COST`` times rejected good ones, and none if no lift has a gain.
+  A stratum with too few labels (see ``least_labels``) gets no cutoffs, and loses
+  nothing.
 
 Defined results: a null or empty text has no words and fails the base rules; a
 null language is a stratum of its own; labels without a document, or with a null
 quality, count for nothing, and of several labels the lowest counts; repeated
-documents are judged alike; without labels only the base rules hold; other
-columns are left alone.
+documents are judged alike; without labels only the base rules hold, and so they
+do where every document has a label (all lifts are one then, and no order is
+left); other columns are left alone.
 """
 
 from __future__ import annotations
@@ -35,10 +43,10 @@ from tillwise.llm.common import SPACE, Scratch, fresh
 
 WINDOW = 8
 RULES = ("symbols", "dup_lines", "repeats", "capitals")
-#: Share of a stratum's good documents that all its rules together may reject.
-TOGETHER = 0.01
-#: Share for one rule.
-LIMIT, RISK, COST = TOGETHER / len(RULES), 0.05, 5
+#: Share of a stratum's good documents that its rules together may reject; chance that a stratum's limit
+#: is broken; rejected poor documents that outweigh a good one.
+LIMIT, RISK, COST = 0.01, 0.05, 5
+TOP = 100
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -123,29 +131,57 @@ def log_tail(k: Column, n: Column, limit: float) -> Column:
     return F.aggregate(terms, zero, step)["sum"]
 
 
-def certified(scratch: Scratch, labelled: DataFrame, limit: float = LIMIT, risk: float = RISK) -> DataFrame:
-    """Every rule's and stratum's cutoffs, tested: from (stratum, good, scores as a map).
+def least_labels(limit: float, risk: float) -> int:
+    """Good documents below which no cutoff of a stratum can be certified, even if it rejects none."""
+    return math.ceil(math.log(risk) / math.log1p(-limit))
 
-    The result has at most strata x rules x 100 rows.
+
+def binned(df: DataFrame, *counts: Column) -> DataFrame:
+    """(stratum, rule, score) and the sums ``counts`` of rows with a map ``scores``: at most 404 rows a stratum."""
+    return df.select("*", F.explode("scores").alias("rule", "score")).groupBy("stratum", "rule", "score").agg(*counts)
+
+
+def family(everything: DataFrame, labelled: DataFrame, strata: DataFrame) -> DataFrame:
+    """(stratum, rule, cutoff, lift) for the cutoffs 1 to 100 of the ``strata``."""
+    rows = binned(everything, F.count(F.lit(1)).alias("rows"))
+    known = binned(labelled, F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("poor"))
+    grid = strata.select("stratum", F.explode(F.array(*map(F.lit, RULES))).alias("rule")).withColumn("score", F.explode(F.sequence(F.lit(0), F.lit(TOP))))
+    own = grid.join(rows, ["stratum", "rule", "score"], "left").join(known, ["stratum", "rule", "score"], "left").na.fill(0, ["rows", "good", "poor"])
+    down = Window.partitionBy("stratum", "rule").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    up = Window.partitionBy("stratum", "rule").orderBy("score").rowsBetween(Window.unboundedPreceding, 0)
+    every = Window.partitionBy("stratum", "rule")
+    other = F.col("rows") - F.col("good")
+    sums = own.select("stratum", "rule", "score", F.sum("poor").over(down).alias("poor"), F.sum(other).over(down).alias("others"), F.sum("poor").over(every).alias("all_poor"), F.sum(other).over(every).alias("all_others"))
+    lift = F.when(F.col("poor") > 0, (F.col("poor") / F.col("all_poor")) / (F.col("others") / F.col("all_others"))).otherwise(0.0)
+    return sums.where(F.col("score") > 0).select("stratum", "rule", F.col("score").alias("cutoff"), F.max(lift).over(up).alias("lift"))
+
+
+def certified(scratch: Scratch, everything: DataFrame, labelled: DataFrame, limit: float = LIMIT, risk: float = RISK) -> tuple[DataFrame, DataFrame]:
+    """The family of cutoffs, and every stratum's lifts, tested.
+
+    ``everything`` has (stratum, scores as a map) of all documents that pass the base
+    rules, ``labelled`` (stratum, good, scores) of those with a label.  Both results
+    have at most 400 rows a tested stratum, and each of these has hundreds of labels.
     """
-    bins = labelled.select("stratum", "good", F.explode("scores").alias("rule", "score")).groupBy("stratum", "rule", "score").agg(F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("poor"))
-    bins = scratch.save(bins)
-    tests = max(1, bins.select("stratum", "rule").distinct().count())
-    grid = bins.select("stratum", "rule").distinct().withColumn("cutoff", F.explode(F.sequence(F.lit(1), F.lit(100))))
-    # score 0 is below every cutoff, but counts as a document
-    own = grid.join(bins.withColumnRenamed("score", "cutoff"), ["stratum", "rule", "cutoff"], "left").na.fill(0, ["good", "poor"])
-    sizes = bins.groupBy("stratum", "rule").agg(F.sum("good").alias("n"))
-    down = Window.partitionBy("stratum", "rule").orderBy(F.desc("cutoff")).rowsBetween(Window.unboundedPreceding, 0)
-    sums = own.withColumn("k", F.sum("good").over(down)).withColumn("caught", F.sum("poor").over(down)).join(sizes, ["stratum", "rule"])
-    level = math.log(risk / tests)
+    sizes = labelled.groupBy("stratum").agg(F.sum(F.col("good").cast("long")).alias("n"))
+    strata = scratch.save(sizes.where(F.col("n") >= least_labels(limit, risk)))
+    lifts = scratch.save(family(everything, labelled, strata))
+    curves = lifts.groupBy("stratum", "rule").agg(F.transform(F.sort_array(F.collect_list(F.struct("cutoff", "lift"))), lambda x: x["lift"]).alias("curve")).groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "curve"))).alias("curves"))
+    reached = [F.when(F.col("scores")[r] > 0, F.element_at(F.col("curves")[r], F.col("scores")[r])).otherwise(0.0) for r in RULES]
+    points = labelled.join(F.broadcast(curves), "stratum").select("stratum", "good", F.greatest(*reached).alias("lift"))
+    bins = points.groupBy("stratum", "lift").agg(F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("poor"))
+    down = Window.partitionBy("stratum").orderBy(F.desc("lift")).rowsBetween(Window.unboundedPreceding, 0)
+    sums = bins.join(strata, "stratum").withColumn("k", F.sum("good").over(down)).withColumn("caught", F.sum("poor").over(down)).where("lift > 0")
+    level = math.log(risk / max(1, strata.count()))
     passed = (F.col("k") <= F.col("n") * limit) & (log_tail(F.col("k"), F.col("n"), limit) <= level)
-    return sums.withColumn("passed", F.coalesce(passed, F.lit(False))).withColumn("certified", F.min("passed").over(down)).withColumn("gain", F.col("caught") - COST * F.col("k"))
+    return lifts, sums.withColumn("passed", F.coalesce(passed, F.lit(False))).withColumn("certified", F.min("passed").over(down)).withColumn("gain", F.col("caught") - COST * F.col("k"))
 
 
-def chosen(tested: DataFrame) -> DataFrame:
+def chosen(lifts: DataFrame, tested: DataFrame) -> DataFrame:
     """(stratum, cutoffs): a map from rule to its cutoff, for strata that have any."""
-    best = tested.where("certified and gain > 0").groupBy("stratum", "rule").agg(F.max_by("cutoff", F.struct("gain", "cutoff")).alias("cutoff"))
-    return best.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
+    best = tested.where("certified and gain > 0").groupBy("stratum").agg(F.max_by("lift", F.struct("gain", "lift")).alias("least"))
+    cutoffs = lifts.join(best, "stratum").where("lift >= least").groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
+    return cutoffs.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
 
 
 def judge(df: DataFrame, labels: DataFrame, out: str, text: str = "text", doc_id: str = "doc_id", stratum: str = "lang", keep: list[str] | None = None, limit: float = LIMIT, risk: float = RISK) -> DataFrame:
@@ -154,12 +190,14 @@ def judge(df: DataFrame, labels: DataFrame, out: str, text: str = "text", doc_id
     scratch = Scratch(df.sparkSession, "quality")
     made = scratch.save(measured(df.select(*dict.fromkeys([*keep, text, doc_id, stratum])), text, out).select(*dict.fromkeys([*keep, doc_id, stratum]), out))
     m = F.col(out)
-    own = F.coalesce(F.col(stratum), F.lit(""))
+    # a null stratum differs from an empty one
+    own = F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit(""))
     as_map = F.create_map(*(x for name, s in scores(m).items() for x in (F.lit(name), s)))
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.min("quality") > 0).alias("good")).select(F.col("doc_id").alias("_id"), "good")
     # documents that the base rules reject are gone before any cutoff is tried
-    judged = made.where(~base_failed(m)).select(F.col(doc_id).alias("_id"), own.alias("stratum"), as_map.alias("scores")).join(known, "_id")
-    cutoffs = scratch.save(chosen(certified(scratch, judged, limit, risk)))
+    passing = made.where(~base_failed(m)).select(F.col(doc_id).alias("_id"), own.alias("stratum"), as_map.alias("scores"))
+    labelled = scratch.save(passing.join(known, "_id").drop("_id"))
+    cutoffs = scratch.save(chosen(*certified(scratch, passing, labelled, limit, risk)))
     # a row for each stratum with a certified cutoff: each of them has hundreds of labels
     wide, at = made.withColumn(fresh(made, "stratum_of"), own), fresh(made, "stratum_of")
     limits = F.broadcast(cutoffs.select(F.col("stratum").alias(f"{at}_"), F.col("cutoffs").alias(f"{at}_cutoffs")))
