@@ -31,6 +31,21 @@ def test_clean_keeps_spaces_untrimmed(spark):
     assert df.select(clean_special(F.col("t")).alias("c")).first().c == " a b c "
 
 
+def test_frequent_terms_join_map_side(spark):
+    """A term that holds a third of the rows, rare ones and one that the fit has not seen: each row once, with its own idf."""
+    from tillwise.operators.tfidf import SHARE, frequent, with_idf
+
+    tf = spark.range(6000).select("id", F.explode(F.array(F.lit("the"), F.concat(F.lit("a"), F.col("id") % 1500), F.concat(F.lit("b"), F.col("id")))).alias("term")).select(F.col("id").alias("doc_id"), "term", F.lit(1).alias("tf"))
+    idf = fit_idf(tf, 6000)
+    assert [r.term for r in frequent(idf).collect()] == ["the"]
+    assert frequent(idf.where("term != 'the'")).count() < SHARE
+    unseen = spark.createDataFrame([(1, "new", 1)], "doc_id long, term string, tf int")
+    got = with_idf(tf.union(unseen), idf)
+    want = tf.join(idf, "term").select(*got.columns)
+    assert got.count() == 18000 and got.exceptAll(want).count() == 0
+    assert frequent(idf.limit(0)).count() == 0 and with_idf(tf, idf.limit(0)).count() == 0
+
+
 def test_tfidf_matches_formula(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id int, text string")
     tf = term_counts(df, "doc_id", terms(F.col("text")))

@@ -5,29 +5,26 @@ every document), weight = tf * idf, then L2-normalised per document.
 
 Plan: explode terms -> (doc, term) counts (partial aggregation map-side) ->
 document frequency per term (partial aggregation again, so a term present in
-every document is combined before the shuffle) -> join back on term.  A
-hot term makes that join skewed; AQE's skew-join split handles it without a
-cap on the vocabulary.  Document norms are a grouped sum joined back on the
-document key.
+every document is combined before the shuffle) -> weights.  Terms on more than
+one (doc, term) row in ``SHARE`` are frequent; there are fewer than ``SHARE`` of
+them whatever the corpus, so they go to the tasks as a map-side table and their
+rows never shuffle on the term.  All other terms join by a shuffle in which no
+key holds more than that share.  Norms are a window over the rows of a document.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: A term on more than one (doc, term) row in so many is frequent.
+SHARE = 1024
 
-def term_counts(docs: DataFrame, id_col: str, terms_col, persist: bool = False) -> DataFrame:
-    """(doc_id, term, tf) from a column of term arrays.
 
-    ``persist=True`` keeps the counts (memory, spilling to disk) for plans that
-    read them several times - document frequencies, weights and norms - so the
-    text is tokenised once; lost blocks are recomputed from lineage.
-    """
-    tf = (docs.select(F.col(id_col).alias("doc_id"), F.explode(terms_col).alias("term"))
-          .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
-    return tf.persist(StorageLevel.MEMORY_AND_DISK) if persist else tf
+def term_counts(docs: DataFrame, id_col: str, terms_col) -> DataFrame:
+    """(doc_id, term, tf) from a column of term arrays."""
+    return (docs.select(F.col(id_col).alias("doc_id"), F.explode(terms_col).alias("term"))
+            .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
 def fit_idf(tf: DataFrame, n_docs) -> DataFrame:
@@ -37,16 +34,26 @@ def fit_idf(tf: DataFrame, n_docs) -> DataFrame:
     return df.withColumn("idf", F.log((1 + n) / (1 + F.col("df"))) + 1)
 
 
-def tfidf(tf: DataFrame, idf: DataFrame, persist: bool = False) -> DataFrame:
-    """Weights for ``tf`` rows with a fitted ``idf``; terms missing from it are dropped.
+def frequent(idf: DataFrame) -> DataFrame:
+    """The fewer than ``SHARE`` rows of ``idf`` whose terms hold more than one row in ``SHARE``."""
+    rows = idf.agg(F.sum("df")).first()[0] or 0
+    return idf.where(F.col("df") * SHARE > rows)
+
+
+def with_idf(tf: DataFrame, idf: DataFrame) -> DataFrame:
+    """``tf`` joined with a fitted ``idf`` on the term: frequent terms map-side, the rest by a shuffle.
 
-    The joined rows feed both the per-document norms and the output;
-    ``persist=True`` keeps them so the term join runs once.
+    Both frames are read several times, so callers pass written tables; terms
+    missing from ``idf`` are dropped.
     """
-    w = tf.join(idf, "term", "inner").withColumn("raw", F.col("tf") * F.col("idf"))
-    if persist:
-        w = w.persist(StorageLevel.MEMORY_AND_DISK)
-    norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return (w.join(norms, "doc_id")
-            .withColumn("weight", F.col("raw") / F.col("norm"))
-            .drop("raw", "norm"))
+    top = frequent(idf)
+    common = tf.join(F.broadcast(top), "term")
+    rare = tf.join(F.broadcast(top.select("term")), "term", "left_anti")
+    return common.unionByName(rare.join(idf, "term"))
+
+
+def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
+    """(doc_id, term, tf, df, idf, weight) of ``tf`` rows with a fitted ``idf``."""
+    own = Window.partitionBy("doc_id")
+    raw = with_idf(tf, idf).withColumn("raw", F.col("tf") * F.col("idf"))
+    return raw.withColumn("weight", F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(own))).drop("raw")

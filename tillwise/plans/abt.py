@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,8 @@ from tillwise.operators.calendar_features import calendar_features
 from tillwise.operators.cohort import daily_values_by_segment, same_store_panel, store_day_values
 from tillwise.sources import fixtures
 from tillwise.session import per_application
-from tillwise.sources.tables import Tables
+from tillwise.sources.sinks import overwrite_table, work_table
+from tillwise.sources.tables import Tables, read_holiday_table
 
 COHORT_AS_OF = "2001-12-15"
 ABT_START = "1995-01-01"
@@ -119,6 +122,13 @@ def holiday_union_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regional.unionByName(hol.select(F.col("data").alias("ds"), "holiday"))
 
 
+def holiday_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 + S2: the holidays replace a catalog table, from which they are read under its own column names."""
+    name = work_table(spark, f"holidays_{zlib.crc32(sf_dir.encode()):08x}")
+    overwrite_table(holiday_union_q(spark, sf_dir).withColumnRenamed("ds", "DATA"), name)
+    return read_holiday_table(spark, name)
+
+
 def holidays_for_span(df: DataFrame, date_col: str) -> DataFrame:
     """U1 for any dated frame: regional fixed holidays + generated holidays of the years it spans."""
     spark = df.sparkSession

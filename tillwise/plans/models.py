@@ -55,11 +55,12 @@ def additive_tracking_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return additive.track(series, best, holidays, TRACK_MONTH, last)
 
 
-def forecast_result(fc: DataFrame, history: DataFrame, as_of: str) -> DataFrame:
-    """Target-table shape (data, previsao, real, bands; lower band clipped), rows >= as_of."""
+def forecast_result(fc: DataFrame, history: DataFrame, as_of: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """J10 + M12: ``keep`` columns and the target-table shape (data, previsao, real, bands; lower band
+    clipped), rows >= as_of."""
     j = fc.join(history.select("series", "ds", F.col("y").alias("real")), ["series", "ds"], "left")
     return j.where(F.col("ds") >= F.to_date(F.lit(as_of))).select(
-        F.col("ds").alias("data"), F.col("yhat").alias("previsao"), "real",
+        *keep, F.col("ds").alias("data"), F.col("yhat").alias("previsao"), "real",
         F.col("yhat_upper").alias("previsao_superior"),
         clip_below_zero(F.col("yhat_lower")).cast("double").alias("previsao_inferior"))
 

@@ -30,10 +30,11 @@ def token_ngrams_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tfidf_long_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillwise.operators import linear_margins as LM
+
     docs = _documents(spark, sf_dir)
-    tf = term_counts(docs, "doc_id", terms(F.col("text")), persist=True)
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    w = tfidf(tf, fit_idf(tf, n_docs), persist=True)
+    tf = LM.saved(term_counts(docs, "doc_id", terms(F.col("text"))), "term-counts")
+    w = tfidf(tf, LM.saved(fit_idf(tf, docs.count()), "idf"))
     return w.select("doc_id", "term", "tf", "df", F.round("idf", 9).alias("idf"),
                     F.round("weight", 9).alias("weight"))
 

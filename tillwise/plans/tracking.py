@@ -27,6 +27,7 @@ LAG_GRID = [7, 14, 21, 28, 364]
 
 UPSERT_FIRST_RUN = "2001-06-01"
 UPSERT_SECOND_RUN = "2001-06-15"
+RESULT_FROM = "2001-06-08"
 TRACK_MONTH = "2001-06-01"
 
 
@@ -95,6 +96,18 @@ def upsert_forecast_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_frames(target, source, ["series", "data"])
 
 
+def forecast_result_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J10 + M12: the first run's forecasts from a later day on, next to the values known at the second run."""
+    from tillwise.plans.models import forecast_result
+
+    long_df = _retail_long(spark, sf_dir)
+    fc = naive_forecasts(long_df, _runs(spark, [UPSERT_FIRST_RUN]), spread_before=UPSERT_FIRST_RUN).select(
+        "series", F.col("data").alias("ds"), F.col("previsao").alias("yhat"),
+        F.col("previsao_superior").alias("yhat_upper"), F.col("previsao_inferior").alias("yhat_lower"))
+    known = long_df.where(F.col("DATA") < F.to_date(F.lit(UPSERT_SECOND_RUN))).select("series", F.col("DATA").alias("ds"), "y")
+    return forecast_result(fc, known, RESULT_FROM, keep=("series",))
+
+
 def forecast_tracking_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per series and day of the month: forecast of the run on the 1st, forecast of
     the last run before the day (data to d-1), and the realised value."""

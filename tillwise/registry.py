@@ -36,6 +36,7 @@ register("same_store_panel", abt.same_store_panel_q, O.same_store_panel_sql(AS_O
 register("daily_value_by_segment", abt.daily_value_by_segment_q, O.daily_value_by_segment_sql(AS_OF))
 register("calendar_features", abt.calendar_features_q, O.calendar_features_data_sql())
 register("holiday_union", abt.holiday_union_q, O.holiday_union_sql())
+register("holiday_table", abt.holiday_table_q, O.holiday_union_sql())
 
 from tillwise.plans import billing  # noqa: E402
 
@@ -80,6 +81,8 @@ from tillwise.plans import tracking  # noqa: E402
 
 register("upsert_forecast", tracking.upsert_forecast_q,
          O.upsert_forecast_sql(FC, START, tracking.UPSERT_FIRST_RUN, tracking.UPSERT_SECOND_RUN))
+register("forecast_result", tracking.forecast_result_q,
+         O.forecast_result_sql(FC, START, tracking.UPSERT_FIRST_RUN, tracking.UPSERT_SECOND_RUN, tracking.RESULT_FROM))
 register("forecast_tracking", tracking.forecast_tracking_q, O.forecast_tracking_sql(FC, START, tracking.TRACK_MONTH))
 register("best_params", tracking.best_params_q, O.best_params_sql(FC, START, tracking.LAG_GRID))
 register("run_log", tracking.run_log_q, O.run_log_sql(FC, START, tracking.LAG_GRID))

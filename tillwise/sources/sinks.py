@@ -16,6 +16,13 @@ def overwrite_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
+def work_table(spark: SparkSession, name: str) -> str:
+    """Full name of a table in the database ``tillwise_work``, which lies in the shared folder where it is first made."""
+    if not spark.catalog.databaseExists("tillwise_work"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS tillwise_work LOCATION '{scratch_dir(spark, 'tables')}'")
+    return f"tillwise_work.{name}"
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Header CSV, one directory of part files (no driver-side pandas)."""
     df.write.mode("overwrite").option("header", True).csv(path)
