@@ -193,3 +193,20 @@ def test_bayes_scores_labels_without_shared_terms(spark):
     a, b = 2 / 3 * 2 / 705, 1 / 3 / 5
     assert got[50].pred == "B" and math.isclose(got[50].conf, b / (a + b), rel_tol=1e-9)
     assert got[51].pred == "A" and math.isclose(got[51].conf, 2 / 3, rel_tol=1e-9)
+
+
+def shuffled_columns(df):
+    """The different shuffles of a plan (adaptive plans are printed twice)."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sorted({line[line.index("Exchange"):].split(", [plan_id")[0] for line in plan.splitlines() if "Exchange hash" in line})
+
+
+def test_term_counts_shuffle_texts_not_terms(spark):
+    """Dealt by id, the (id, term) rows are counted where the texts land; repeated and null ids count as before."""
+    rows = [(1, "arroz branco arroz"), (1, "arroz"), (None, "feijao preto"), (None, "feijao"), (2, None), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    plain, dealt = (term_counts(df, "doc_id", terms(F.col("text")), n) for n in (None, 3))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.collect()))
+    assert {(r.doc_id, r.term): r.tf for r in dealt.collect()}[1, "arroz"] == 3
+    moves = shuffled_columns(dealt)
+    assert len(moves) == 1 and "REPARTITION_BY_NUM" in moves[0]
