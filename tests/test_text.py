@@ -210,3 +210,20 @@ def test_term_counts_shuffle_texts_not_terms(spark):
     assert {(r.doc_id, r.term): r.tf for r in dealt.collect()}[1, "arroz"] == 3
     moves = shuffled_columns(dealt)
     assert len(moves) == 1 and "REPARTITION_BY_NUM" in moves[0]
+
+
+def test_bayes_joins_labels_where_terms_were_counted(spark):
+    """``tasks`` changes the plan, not the rows, with repeated and null ids; the counts themselves are not shuffled on the id."""
+    from tillwise.operators.naive_bayes import classify
+    words = {"A": "suco agua cerveja", "B": "sabao esponja agua", "C": "pao bolo"}
+    rows = [(i % 90, f"{words[k]} n{i % 11}", k) for i in range(120) for k in [list(words)[i % 3]]] + [(None, "pao", "A"), (500, "nunca", "B"), (501, "", "C"), (502, None, "C")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = []
+    for tasks in (None, 4):
+        tf = term_counts(df, "doc_id", terms(F.col("text")), tasks)
+        out = classify(df.select("doc_id", "lang"), tf, "doc_id", "lang", tasks=tasks)
+        got.append(sorted(map(str, out.collect())))
+    assert got[0] == got[1] and len(got[0]) > 20
+    tf = term_counts(df, "doc_id", terms(F.col("text")), 4)
+    marks = df.select("doc_id", "lang").repartition(4, "doc_id").hint("shuffle_hash")
+    assert len(shuffled_columns(tf.join(marks, "doc_id"))) == 2  # texts and marks; no (id, term) row
