@@ -227,3 +227,16 @@ def test_bayes_joins_labels_where_terms_were_counted(spark):
     tf = term_counts(df, "doc_id", terms(F.col("text")), 4)
     marks = df.select("doc_id", "lang").repartition(4, "doc_id").hint("shuffle_hash")
     assert len(shuffled_columns(tf.join(marks, "doc_id"))) == 2  # texts and marks; no (id, term) row
+
+
+def test_tfidf_dealt_gives_the_same_rows(spark):
+    """``tasks`` bounds the parts of both shuffles; weights are worked out after the rows are back with their text."""
+    rows = [(i % 50, " ".join(f"w{(i * k) % 37} comum" for k in range(1, 6))) for i in range(60)] + [(None, "comum raro"), (70, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    tf = term_counts(df, "doc_id", terms(F.col("text")), 3).localCheckpoint()
+    idf = fit_idf(tf, len(rows)).localCheckpoint()
+    key = lambda r: (r.doc_id is None, r.doc_id, r.term)
+    plain, dealt = (sorted(tfidf(tf, idf, n).collect(), key=key) for n in (None, 3))
+    assert [key(r) for r in plain] == [key(r) for r in dealt] and len(plain) > 300
+    assert all(math.isclose(a.weight, b.weight, rel_tol=1e-12) for a, b in zip(plain, dealt, strict=True))
+    assert any("hashpartitioning(doc_id" in m and ", 3), REPARTITION_BY_NUM" in m for m in shuffled_columns(tfidf(tf, idf, 3)))
