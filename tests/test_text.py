@@ -240,3 +240,16 @@ def test_tfidf_dealt_gives_the_same_rows(spark):
     assert [key(r) for r in plain] == [key(r) for r in dealt] and len(plain) > 300
     assert all(math.isclose(a.weight, b.weight, rel_tol=1e-12) for a, b in zip(plain, dealt, strict=True))
     assert any("hashpartitioning(doc_id" in m and ", 3), REPARTITION_BY_NUM" in m for m in shuffled_columns(tfidf(tf, idf, 3)))
+
+
+def test_vectors_join_frequent_terms_map_side(spark):
+    from tillwise.operators import linear_margins as LM
+    rows = spark.createDataFrame([(1,), (2,), (3,)], "row long")
+    tf = spark.createDataFrame([(1, "hot", 2), (2, "hot", 1), (1, "rare", 1), (2, "unknown", 4)], "row long, term string, tf long")
+    vocabulary = LM.Vocabulary(tf.where("term != 'unknown'"), 3)
+    plan = vocabulary.vectors(rows, tf, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(row" in plan
+    for tasks in (None, 2):
+        got = {r.row: dict(zip(r.ts, r.xs, strict=True)) for r in vocabulary.vectors(rows, tf, tasks).collect()}
+        assert got[3] == {LM.BIAS: 1.0} and len(got[1]) == 3 and len(got[2]) == 2
+        assert math.isclose(sum(x * x for t, x in got[1].items() if t != LM.BIAS), 1.0, rel_tol=1e-12)
