@@ -36,6 +36,19 @@ def test_resolve_prices_cases(spark):
     assert got["s4"] == (None, None, "missing")
 
 
+def test_resolve_prices_parses_each_answer_once(spark):
+    """Both lists come from one pass; a missing list, a null entry and an empty answer are no entries."""
+    req = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (3, "a"), (4, "a")], "codcli long, codmersrr string")
+    bodies = [(1, 1, '{"resultado": [{"codigoMercadoria": "a", "precos": []}], "lstPrecoSeller": [{"codigoMercadoria": "b", "preco": 2.0}]}'),
+              (1, 0, '{"lstPrecoSeller": [null, {"codigoMercadoria": "b", "preco": 3.0}]}'),
+              (2, 0, '{"resultado": [{"codigoMercadoria": "a", "precos": [{"precoNormal": 4.0, "precoCaixa": 9.0}]}]}'), (3, 0, "{}"), (4, 0, None)]
+    out = FL.resolve_prices(req, spark.createDataFrame(bodies, "codcli long, page int, body string"))
+    got = {(r.codcli, r.codmersrr): (r.preco, r.preco_cx, r.status) for r in out.collect()}
+    assert got == {(1, "a"): (None, None, "zero"), (1, "b"): (3.0, None, "priced"), (2, "a"): (4.0, 9.0, "priced"),
+                   (3, "a"): (None, None, "missing"), (4, "a"): (None, None, "missing")}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
 def py_wrap(desc, width=FL.CAPTION_WIDTH, n=FL.CAPTION_LINES):
     lines, cur = [""] * n, 0
     for w in desc.upper().split(" "):
