@@ -70,3 +70,22 @@ def test_permutation(n):
     if n >= 1000:
         assert (slots != training_order.permuted(numbers, n, 78)).mean() > 0.9
         assert abs(np.corrcoef(numbers, slots)[0, 1]) < 0.1
+
+
+def test_shards_are_written_in_runs_without_old_shuffles(spark, make_docs):
+    """Each run of shards has a folder; the shuffle of a run is gone when it is written."""
+    import glob
+    import os
+
+    scratch = Scratch(spark, "test")
+    df = make_docs([(i, f"text number {i}") for i in range(50)])
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    files = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    old, path = files(), scratch.path("runs")
+    n = training_order.write_shards(scratch, training_order.sequences(df, queries.VOCABULARY, queries.PATTERN, width=8), path, 9, 8, 6)
+    assert sorted(f for f in os.listdir(path) if f.startswith("first=")) == ["first=0", "first=3", "first=6"]
+    assert spark.conf.get(training_order.CLEANUP) != "true"
+    got = training_order.read_shards(spark, path, 8, per_shard=6).collect()
+    assert n == 50 and sorted((r.shard, r.place, r.slot) for r in got) == [(*divmod(s, 6), s) for s in range(50)]
+    left = sum(os.path.getsize(f) for f in files() - old)
+    assert left < 50 * training_order.record_type(8).itemsize  # at most the counts' shuffle
