@@ -76,6 +76,7 @@ def test_shards_are_written_in_runs_without_old_shuffles(spark, make_docs):
     """Each run of shards has a folder; the shuffle of a run is gone when it is written."""
     import glob
     import os
+    import time
 
     scratch = Scratch(spark, "test")
     df = make_docs([(i, f"text number {i}") for i in range(50)])
@@ -87,5 +88,12 @@ def test_shards_are_written_in_runs_without_old_shuffles(spark, make_docs):
     assert spark.conf.get(training_order.CLEANUP) != "true"
     got = training_order.read_shards(spark, path, 8, per_shard=6).collect()
     assert n == 50 and sorted((r.shard, r.place, r.slot) for r in got) == [(*divmod(s, 6), s) for s in range(50)]
-    left = sum(os.path.getsize(f) for f in files() - old)
-    assert left < 50 * training_order.record_type(8).itemsize  # at most the counts' shuffle
+    # records that fill the shuffle: what is left is the counts' shuffle, files being deleted in the background
+    pick = np.random.default_rng(4)
+    large = make_docs([(i, " ".join(map(str, pick.integers(0, 1 << 60, 300)))) for i in range(50)])
+    n = training_order.write_shards(scratch, training_order.sequences(large, queries.VOCABULARY, queries.PATTERN), scratch.path("large"), 9, per_shard=20)
+    size = lambda: sum(os.path.getsize(f) for f in files() - old if os.path.exists(f))
+    end = time.time() + 10
+    while size() > n * 200 and time.time() < end:
+        time.sleep(0.2)
+    assert size() <= n * 200  # a record has 1,057 bytes
