@@ -253,3 +253,73 @@ def test_vectors_join_frequent_terms_map_side(spark):
         got = {r.row: dict(zip(r.ts, r.xs, strict=True)) for r in vocabulary.vectors(rows, tf, tasks).collect()}
         assert got[3] == {LM.BIAS: 1.0} and len(got[1]) == 3 and len(got[2]) == 2
         assert math.isclose(sum(x * x for t, x in got[1].items() if t != LM.BIAS), 1.0, rel_tol=1e-12)
+
+
+def svm_rows(n=90, seed=5):
+    import numpy as np
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        ts = sorted({int(t) for t in rng.choice(np.arange(1, 60), 6)} | {1000 + i, 1000 + i // 2})
+        x = rng.random(len(ts)) + 0.2
+        rows.append((i, [0, *ts], [1.0, *(x / np.linalg.norm(x)).tolist()], int(rng.integers(3)), i % 2))
+    return rows
+
+
+def test_block_moves_like_plain_coordinate_ascent(monkeypatch):
+    """Margins kept by the Gram matrix, whole or a few texts at a time, give the moves that the weights give."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tillwise.operators import linear_margins as LM
+    rows, rng = svm_rows(), np.random.default_rng(6)
+    left = pa.table({name: [r[k] for r in rows] for k, name in enumerate(("row", "ts", "xs", "y", "fold"))})
+    shared = np.array([0, *range(1, 60, 3), 1000, 1004, 1041])
+    uses, given = rng.integers(2, 5, len(shared)), rng.normal(size=(len(shared), 9)) * 0.1
+    right = pa.concat_tables([LM._table(0, 0, LM.WEIGHT, part, shared[own], uses[own], given[own]) for part, own in enumerate(LM.spread_terms(shared, 4))])
+    dense = np.zeros((len(rows), 1100))
+    for i, ts, xs, _, _ in rows:
+        dense[i, ts] = xs
+    spread, w = np.ones(1100), np.zeros((1100, 9))
+    spread[shared], w[shared] = uses, given
+    for side, pairs, share in ((2048, 1 << 20, 10), (17, 50, 3), (2048, 64, 1000)):
+        monkeypatch.setattr(LM, "SIDE", side)
+        monkeypatch.setattr(LM, "PAIRS", pairs)
+        monkeypatch.setattr(LM, "DENSE", share)
+        block = LM.Block(left, right, [0, 1, 2], 2)
+        np.testing.assert_allclose(block.margins().T, dense @ w, atol=1e-12)
+        block.ascend(3, 11)
+        order, v, alpha = np.random.default_rng(11), w.copy(), np.zeros((len(rows), 9))
+        for _ in range(3):
+            for i in order.permutation(len(rows)):
+                new = np.clip(alpha[i] + (1 - block.sign[i] * (dense[i] @ v)) / (spread * dense[i] @ dense[i]), 0, LM.COST) * block.active[i]
+                v += (spread * dense[i])[:, None] * ((new - alpha[i]) * block.sign[i])[None, :]
+                alpha[i] = new
+        np.testing.assert_allclose(block.alpha, alpha, atol=1e-12)
+        np.testing.assert_allclose(block.parts(*block.every, len(block.terms)).T, (dense.T @ (alpha * block.sign))[block.terms], atol=1e-12)
+
+
+def test_blocks_exchange_rows_of_many_terms(spark, monkeypatch):
+    """A round writes one row for each block and part, not one for each term; rounds that no later one reads are deleted."""
+    import os
+
+    from tillwise.operators import linear_margins as LM
+    monkeypatch.setattr(LM, "BLOCK_TERMS", 300)
+    monkeypatch.setattr(LM, "ROUNDS", 4)
+    monkeypatch.setattr(LM, "TOLERANCE", -1.0)
+    counts, paths, write = [], [], LM.saved
+
+    def saved(df, name, *by):
+        out = write(df, name, *by)
+        if name == "svm-round":
+            counts.append(out.where(f"kind = {LM.WEIGHT}").count())
+            paths.append(out._saved)
+        return out
+    monkeypatch.setattr(LM, "saved", saved)
+    rows = svm_rows()
+    blocks = -(-sum(len(r[1]) for r in rows) // 300)
+    fitted = LM.Margins(spark.createDataFrame(rows, "row long, ts array<long>, xs array<double>, y int, fold int"), 3, 2)
+    assert blocks > 2 and len(counts) == 5 and all(0 < n <= blocks**2 for n in counts)
+    assert [os.path.exists(p) for p in paths] == [False] * 4 + [True]
+    assert fitted.weights.count() == 3 * len({t for r in rows for t in r[1]})
+    assert fitted.out_of_fold.count() == 3 * len(rows)
