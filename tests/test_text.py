@@ -242,6 +242,37 @@ def test_tfidf_dealt_gives_the_same_rows(spark):
     assert any("hashpartitioning(doc_id" in m and ", 3), REPARTITION_BY_NUM" in m for m in shuffled_columns(tfidf(tf, idf, 3)))
 
 
+def block_documents(spark, folder):
+    """A documents table with repeated, null and test ids, null and empty texts, and terms of one text alone."""
+    say = {"A": "suco água cerveja", "B": "sabão esponja água", "C": "pão bolo de milho"}
+    rows = [(i % 160, f"{say[k]} n{i % 13} só{i} n{i % 13} {say[k]}", k) for i in range(200) for k in [list(say)[i % 3]]]
+    rows += [(None, "pão raro", "A"), (None, "pão", "B"), (500, "nunca dito", "B"), (501, "", "C"), (502, None, "C"), (7, "sem rótulo água", None), (503, "água\nsuco", None)]
+    df = spark.createDataFrame([(i, t, k, "web", 0) for i, t, k in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    df.write.parquet(f"{folder}/documents.parquet")
+    return df
+
+
+def test_tfidf_long_shuffles_texts_not_terms(spark, tmp_path, monkeypatch):
+    """Blocks exchange document frequencies: the rows are those of the joins, and none of them is shuffled."""
+    from tillwise.operators import term_blocks
+    from tillwise.plans.text import tfidf_long_q
+
+    df = block_documents(spark, tmp_path)
+    tf = term_counts(df, "doc_id", terms(F.col("text"))).localCheckpoint()
+    plain = tfidf(tf, fit_idf(tf, df.count()).localCheckpoint()).withColumns({c: F.round(c, 9) for c in ("idf", "weight")})
+    monkeypatch.setattr(term_blocks, "BLOCK_BYTES", 900)
+    assert term_blocks.TermBlocks(df.withColumnRenamed("doc_id", "id")).blocks > 5
+    got = tfidf_long_q(spark, str(tmp_path))
+    moves = shuffled_columns(got)
+    assert moves and all("hashpartitioning(block" in m for m in moves)
+    want = {(r.doc_id, r.term): r for r in plain.collect()}
+    rows = got.collect()
+    assert len(rows) == len(want) > 1000
+    for r in rows:
+        x = want[r.doc_id, r.term]
+        assert (r.tf, r.df) == (x.tf, x.df) and math.isclose(r.idf, x.idf, abs_tol=2e-9) and math.isclose(r.weight, x.weight, abs_tol=2e-9)
+
+
 def test_vectors_join_frequent_terms_map_side(spark):
     from tillwise.operators import linear_margins as LM
     rows = spark.createDataFrame([(1,), (2,), (3,)], "row long")
