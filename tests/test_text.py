@@ -273,6 +273,22 @@ def test_tfidf_long_shuffles_texts_not_terms(spark, tmp_path, monkeypatch):
         assert (r.tf, r.df) == (x.tf, x.df) and math.isclose(r.idf, x.idf, abs_tol=2e-9) and math.isclose(r.weight, x.weight, abs_tol=2e-9)
 
 
+def test_bayes_sums_by_term_between_blocks(spark, tmp_path, monkeypatch):
+    """Blocks exchange label sums: the rows are those of the joins, and only texts and (document, label) rows are shuffled."""
+    from tillwise.operators import naive_bayes, term_blocks
+    from tillwise.plans.text import bayes_classifier_q, classifier_accuracy_q
+
+    df = block_documents(spark, tmp_path)
+    plain = naive_bayes.classify(df.select("doc_id", "lang"), term_counts(df, "doc_id", terms(F.col("text"))).localCheckpoint(), "doc_id", "lang")
+    monkeypatch.setattr(term_blocks, "BLOCK_BYTES", 900)
+    names, write = [], naive_bayes.saved
+    monkeypatch.setattr(naive_bayes, "saved", lambda x, name, *by: names.append(name) or write(x, name, *by))
+    got = sorted(map(str, bayes_classifier_q(spark, str(tmp_path)).collect()))
+    assert names == ["labels", "label-scores"]  # no (document, term, label) rows
+    assert got == sorted(map(str, plain.collect())) and len(got) > 20
+    assert sum(r.n for r in classifier_accuracy_q(spark, str(tmp_path)).collect()) == len(got)
+
+
 def test_vectors_join_frequent_terms_map_side(spark):
     from tillwise.operators import linear_margins as LM
     rows = spark.createDataFrame([(1,), (2,), (3,)], "row long")
