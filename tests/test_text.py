@@ -289,6 +289,31 @@ def test_bayes_sums_by_term_between_blocks(spark, tmp_path, monkeypatch):
     assert sum(r.n for r in classifier_accuracy_q(spark, str(tmp_path)).collect()) == len(got)
 
 
+def test_linear_scores_keep_vectors_in_blocks(spark, tmp_path, monkeypatch):
+    """Vectors, class means and margins between blocks are those of the joins, repeated ids counting as often as there; only texts are shuffled."""
+    from tillwise.operators import linear_margins as LM
+    from tillwise.operators import term_blocks
+    from tillwise.operators.naive_bayes import split_md5
+    from tillwise.plans.text import linear_scores_q
+
+    docs = split_md5(block_documents(spark, tmp_path).where("lang is not null"), "doc_id")
+    rows = docs.select(F.col("doc_id").alias("row"), F.col("lang").alias("cls"), "is_test")
+    tf = term_counts(docs, "doc_id", terms(F.col("text"))).withColumnRenamed("doc_id", "row").localCheckpoint()
+    train = rows.where("not is_test")
+    x = LM.Vocabulary(tf.join(train.select("row"), "row"), train.count()).vectors(rows, tf).join(rows, "row").localCheckpoint()
+    known = x.where("not is_test")
+    sums = known.select("cls", F.explode(F.arrays_zip("ts", "xs")).alias("e")).groupBy("cls", F.col("e.ts").alias("t")).agg(F.sum("e.xs").alias("s"))
+    weights = sums.join(known.groupBy("cls").agg(F.count("*").alias("n")), "cls").select("t", "cls", (F.col("s") / F.col("n")).alias("w"))
+    want = {(r.row, r.cls): r.margin for r in LM.score(x.where("is_test"), weights).collect()}
+    for size in (term_blocks.BLOCK_BYTES, 900):
+        monkeypatch.setattr(term_blocks, "BLOCK_BYTES", size)
+        got = linear_scores_q(spark, str(tmp_path))
+        assert all("hashpartitioning(block" in m for m in shuffled_columns(got))
+        rows = got.collect()
+        assert len(rows) == len(want) > 60
+        assert all(math.isclose(r.margin, want[r.doc_id, r.cls], abs_tol=2e-9) for r in rows)
+
+
 def test_vectors_join_frequent_terms_map_side(spark):
     from tillwise.operators import linear_margins as LM
     rows = spark.createDataFrame([(1,), (2,), (3,)], "row long")
